@@ -6,9 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe
+from . import bpe, packing, quality_rules, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_bpe": bpe.op3_bpe,
+    "op6_quality_rules": quality_rules.op6_quality_rules,
+    "op8_url_filter": url_filter.op8_url_filter,
+    "op10_packing": packing.op10_packing,
+}
+ORACLES: dict[str, str] = {
+    "op6_quality_rules": quality_rules.oracle(),
+    "op8_url_filter": url_filter.ORACLE,
 }
-ORACLES: dict[str, str] = {}
