@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, fingerprints, language_mix, packing, pairwise_quality, quality_rules, url_filter
+from . import bpe, fingerprints, language_mix, packing, pairwise_quality, quality_rules, substring_dedup, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_fingerprints": fingerprints.op1_fingerprints,
     "op2_language_mix": language_mix.op2_language_mix,
     "op3_bpe": bpe.op3_bpe,
     "op4_pairwise_quality": pairwise_quality.op4_pairwise_quality,
+    "op5_substring_dedup": substring_dedup.op5_substring_dedup,
     "op6_quality_rules": quality_rules.op6_quality_rules,
     "op8_url_filter": url_filter.op8_url_filter,
     "op10_packing": packing.op10_packing,
