@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, fingerprints, jaccard_join, language_mix, packing, pairwise_quality, quality_rules, substring_dedup, url_filter
+from . import bpe, fingerprints, jaccard_join, language_mix, packing, pairwise_quality, pitman_yor, quality_rules, substring_dedup, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_fingerprints": fingerprints.op1_fingerprints,
@@ -15,6 +15,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_pairwise_quality": pairwise_quality.op4_pairwise_quality,
     "op5_substring_dedup": substring_dedup.op5_substring_dedup,
     "op6_quality_rules": quality_rules.op6_quality_rules,
+    "op7_pitman_yor": pitman_yor.op7_pitman_yor,
     "op8_url_filter": url_filter.op8_url_filter,
     "op9_jaccard_join": jaccard_join.op9_jaccard_join,
     "op10_packing": packing.op10_packing,
