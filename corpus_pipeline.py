@@ -1,11 +1,65 @@
-"""A corpus pipeline of the training-data operators."""
+"""A corpus pipeline: language, quality, near duplicates, repeated passages, then packing.
 
-STAGES = []
+Every stage takes (spark, docs, sf_dir) and works on all its predecessor kept; all but the last return the columns of
+``documents``.  Nulls are as the operators define: a document without text has no language and goes at once; a table that is empty
+stays empty; repeated rows are near copies of each other.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from starfold.llm import bpe, jaccard_join, language_mix, packing, pairwise_quality, substring_dedup
+from starfold.llm.common import shared_checkpoint
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps documents in which a language was found that has most of the text."""
+    names, model = language_mix.learn(language_mix.learnable(docs))
+    return language_mix.predict(docs, names, model, keep=docs.columns).filter(language_mix.accepted()).select(docs.columns)
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps documents that the ranking puts above its threshold."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality")
+    model = pairwise_quality.learn(docs, labels)
+    return pairwise_quality.score(docs, model, keep=docs.columns).filter((F.col("predicted") == 1) | F.lit(model is None)).select(docs.columns)
+
+
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the document of least id of each component of near duplicates (five words, Jaccard index 0.8 or more)."""
+    found = jaccard_join.near_duplicates(docs.select("doc_id", "text"), size=5, least=(4, 5)).select(F.col("doc_id").alias("__id"), "n_shingles", "component_id")
+    first = shared_checkpoint(found.filter((F.col("__id") == F.col("component_id")) | (F.col("n_shingles") == 0) | F.col("component_id").isNull()).select("__id").distinct())
+    kept = docs.join(first, docs["doc_id"].eqNullSafe(first["__id"]), "left_semi")
+    # rows that repeat an id: one of them stays
+    repeated = Window.partitionBy("doc_id").orderBy("text", "source", "lang")
+    return kept.withColumn("__n", F.row_number().over(repeated)).filter("__n = 1 or doc_id is null").select(docs.columns)
+
+
+def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Cuts passages of 35 words or more that stand anywhere else; documents without one keep their text."""
+    found = substring_dedup.substring_dedup(docs)
+    found = found.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text").cast(dict(docs.dtypes)["n_chars"])).otherwise(F.col("n_chars")))
+    return found.select(docs.columns)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of all documents with their sequence and their place in it."""
+    return packing.pack_documents(docs, bpe.default_vocabulary(), bpe.default_vocabulary("byte_bpe_50k.tiktoken"))
+
+
+STAGES = [("language", language), ("quality", quality), ("near_copies", near_copies), ("passages", passages), ("packing", packed)]
+
+#: SQL can't express the learned models and the packing; tests compare the stages with brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages on ``documents``; each stage's rows are kept in the shared folder, as the next one reads them more than once."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
+    for name, stage in STAGES:
         docs = stage(spark, docs, sf_dir)
+        if name != STAGES[-1][0]:
+            docs = shared_checkpoint(docs)
     return docs
