@@ -5,7 +5,8 @@ rightmost of least hash is an anchor, so two equal runs of ``min_words`` words h
 joined on their anchors by a sort on (anchor, context), where the context is the anchor extended to both sides as far as a
 window that holds it can reach:
 
-* places with equal context match all over it: it is repeated as a whole, whatever the number of copies;
+* places with equal context match all over it: it is repeated as a whole, whatever the number of copies (within one document this
+  is settled before the sort);
 * of places with equal anchor but different contexts, the first and last of each context are extended window by
   window, and windows that occur at two places are repeated.  Copies of one context add nothing to this.
 
@@ -68,6 +69,20 @@ def anchors(words: np.ndarray, first: np.ndarray, min_words: int, seed_words: in
     return at, doc[at], seed[at], context
 
 
+def within(doc: np.ndarray, seed: np.ndarray, context: np.ndarray, at: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(own, seed): which anchors stand twice in their document with equal context, which is known without others.
+
+    Only the first of such a run keeps its hash for the others to meet; the rest get hashes of their own, so that a text that
+    repeats itself sends no more than one row to one place.
+    """
+    order = np.lexsort((at, context, seed, doc))
+    same = (np.diff(doc[order]) == 0) & (np.diff(seed[order]) == 0) & (np.diff(context[order]) == 0)
+    again, followed = np.zeros(len(at), dtype=bool), np.zeros(len(at), dtype=bool)
+    again[order[1:]], followed[order[:-1]] = same, same
+    alone = mix64(keys[doc] + at.astype(U64) * U64(0x8EBC6AF09C88C6E3))
+    return again | followed, np.where(again, alone, seed)
+
+
 def flagged(n: int, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
     """Booleans for ``range(n)`` that are true in some ``[lo, hi)``."""
     step = np.zeros(n + 1, dtype=np.int64)
@@ -89,21 +104,23 @@ def find_repeats(base: DataFrame, min_words: int, seed_words: int) -> tuple[Data
     reach = min_words - seed_words
 
     def seeds(batch: pa.RecordBatch) -> pa.RecordBatch:
-        places, hashes, contexts, sizes = [], [], [], []
-        for _, _, data, offsets in text_blocks(batch.column("__text")):
+        places, hashes, contexts, owns, sizes = [], [], [], [], []
+        keys = mix64(batch.column("__id").to_numpy().astype(U64)) + batch.column("__sig").to_numpy().astype(U64)
+        for lo, hi, data, offsets in text_blocks(batch.column("__text")):
             block = WordBlock(data, offsets)
             at, doc, seed, context = anchors(block.hash, block.first, min_words, seed_words)
-            places.append(at - block.first[doc]), hashes.append(seed), contexts.append(context)
+            own, seed = within(doc, seed, context, at, keys[lo:hi])
+            places.append(at - block.first[doc]), hashes.append(seed), contexts.append(context), owns.append(own)
             sizes.append(np.bincount(doc, minlength=len(offsets) - 1))
         offsets = np.concatenate([[0], np.cumsum(np.concatenate(sizes))])
-        lists = [list_array(offsets, np.concatenate(places), pa.int32()), list_array(offsets, signed(np.concatenate(hashes)), pa.int64()), list_array(offsets, signed(np.concatenate(contexts)), pa.int64())]
-        return pa.RecordBatch.from_arrays([batch.column(c) for c in _KEY] + lists, [*_KEY, "p", "a", "c"])
+        lists = [list_array(offsets, np.concatenate(places), pa.int32()), list_array(offsets, signed(np.concatenate(hashes)), pa.int64()), list_array(offsets, signed(np.concatenate(contexts)), pa.int64()), list_array(offsets, np.concatenate(owns), pa.bool_())]
+        return pa.RecordBatch.from_arrays([batch.column(c) for c in _KEY] + lists, [*_KEY, "p", "a", "c", "own"])
 
-    found = arrow_map(base, seeds, f"{_KEY_SCHEMA}, p array<int>, a array<long>, c array<long>")
-    rows = found.select(*_KEY, F.inline(F.arrays_zip("p", "a", "c")))
+    found = arrow_map(base, seeds, f"{_KEY_SCHEMA}, p array<int>, a array<long>, c array<long>, own array<boolean>")
+    rows = found.select(*_KEY, F.inline(F.arrays_zip("p", "a", "c", "own")))
     near = Window.partitionBy("a").orderBy("c", *_KEY, "p")
     before, after = F.lag("c").over(near), F.lead("c").over(near)
-    covered = F.coalesce(before == F.col("c"), F.lit(False)) | F.coalesce(after == F.col("c"), F.lit(False))
+    covered = F.col("own") | F.coalesce(before == F.col("c"), F.lit(False)) | F.coalesce(after == F.col("c"), F.lit(False))
     extended = F.coalesce(before != F.col("c"), F.lit(False)) | F.coalesce(after != F.col("c"), F.lit(False))
     marked = rows.select(*_KEY, "p", covered.alias("covered"), extended.alias("extended")).filter("covered or extended")
     own = lambda flag: F.collect_list(F.when(F.col(flag), F.col("p"))).alias(flag)
