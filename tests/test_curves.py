@@ -197,3 +197,13 @@ def test_network_trains(spark):
     model = modelling.train_network(x, ["a", "b"], hidden=[4])
     s = modelling.score(x, model, ["a", "b"], "p")
     assert modelling.roc_auc(s).first().auc > 0.9
+
+
+def test_feature_table_finds_the_period(spark):
+    from starfold.plans.features import feature_table
+
+    rng = np.random.default_rng(5)
+    rows = [(i, float(a), float(np.sin(2 * np.pi * a / 5) + 11 + rng.normal(0, 0.02)), 0.02) for i in (1, 2) for a in np.sort(rng.uniform(0, 100, 200))]
+    found = feature_table(points(spark, rows + [(3, 1.0, 10.0, 0.1)]), max_freq=1.0, top=2).collect()
+    assert sorted(r.id for r in found) == [1, 2]
+    assert all(min(abs(r.period_1_LS / q - 1) for q in (5, 2.5, 10)) < 0.05 and r.n_total_pairs == 3 and len(r.dmdt) == 26 for r in found)
