@@ -31,7 +31,11 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document of least id of each component of near duplicates (five words, Jaccard index 0.8 or more)."""
     found = jaccard_join.near_duplicates(docs.select("doc_id", "text"), size=5, least=(4, 5)).select(F.col("doc_id").alias("__id"), "n_shingles", "component_id")
     first = shared_checkpoint(found.filter((F.col("__id") == F.col("component_id")) | (F.col("n_shingles") == 0) | F.col("component_id").isNull()).select("__id").distinct())
+    # ids go to the documents where they are few enough, else both are shuffled
+    first = F.broadcast(first) if first.count() <= jaccard_join.BROADCAST_ROWS else first
     kept = docs.join(first, docs["doc_id"].eqNullSafe(first["__id"]), "left_semi")
+    if not docs.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").limit(1).count():
+        return kept.select(docs.columns)
     # rows that repeat an id: one of them stays
     repeated = Window.partitionBy("doc_id").orderBy("text", "source", "lang")
     return kept.withColumn("__n", F.row_number().over(repeated)).filter("__n = 1 or doc_id is null").select(docs.columns)
