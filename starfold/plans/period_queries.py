@@ -98,15 +98,15 @@ def nested_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def found_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A table of ranked periods that SQL can make too: three rows of an order for each of three algorithms."""
-    o = table(spark, sf_dir, "orders").filter("o_orderkey % 4 = 0").select(F.col("o_orderkey").alias("id"))
+    """A table of ranked periods that SQL can make too: three of a customer for each of three algorithms."""
+    o = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"))
     k = F.explode(F.array(*[F.struct(F.lit(a).alias("algorithm"), F.lit(i).alias("i"), F.lit(r).alias("rank")) for i, a in enumerate(NAMES) for r in (1, 2, 3)]))
     rows = o.select("id", k.alias("x")).select("id", "x.*")
     period = ((F.col("id") * (7 + 4 * F.col("i")) + 31 * F.col("rank")) % 97) / 10.0
     return rows.select("id", "algorithm", "rank", period.alias("period"), (10.0 / F.col("rank")).alias("significance"))
 
 
-FOUND = """o as (select o_orderkey as id, i, r as rank, ((o_orderkey * (7 + 4 * i) + 31 * r) % 97) / 10.0::double as p from orders, (values (0), (1), (2)) x(i), (values (1), (2), (3)) y(r) where o_orderkey % 4 = 0)"""
+FOUND = """o as (select c_custkey as id, i, r as rank, ((c_custkey * (7 + 4 * i) + 31 * r) % 97) / 10.0::double as p from customer, (values (0), (1), (2)) x(i), (values (1), (2), (3)) y(r))"""
 
 
 def match_sql(harmonics: tuple[str, ...]) -> str:

@@ -162,18 +162,17 @@ def bin_sql(x: str, edges: list[float]) -> str:
     return f"case when {x} between {edges[0]} and {edges[-1]} then {steps} end"
 
 
-DMDT = f"""with {SERIES}, a as (select id, t, m, row_number() over (partition by id order by t, m) as i from s where id < 40),
+DMDT = f"""with {SERIES}, a as (select id, t, m, row_number() over (partition by id order by t, m) as i from s),
 b as (select p.id, {bin_sql('(q.m - p.m)', DM)} as dm_bin, {bin_sql('(q.t - p.t)', DT)} as dt_bin from a p join a q on p.id = q.id and p.i < q.i),
 c as (select id, dm_bin, dt_bin, count(*) as n from b where dm_bin is not null and dt_bin is not null group by all)"""
-DMDT_ALL = DMDT.replace(" where id < 40", "")
 
 
-@query("dmdt", f"{DMDT_ALL} select id, dm_bin, dt_bin, n from c")
+@query("dmdt", f"{DMDT} select id, dm_bin, dt_bin, n from c")
 def dmdt(spark: SparkSession, sf_dir: str) -> DataFrame:
     return curves.dmdt_counts(series(spark, sf_dir))
 
 
-@query("dmdt_norm", f"{DMDT_ALL} select id, round(sqrt(sum(power(n / norm, 2))), 5) as norm, count(*) as cells from c join (select id, sqrt(sum(n * n)) as norm from c group by id) using (id) group by id")
+@query("dmdt_norm", f"{DMDT} select id, round(sqrt(sum(power(n / norm, 2))), 5) as norm, count(*) as cells from c join (select id, sqrt(sum(n * n)) as norm from c group by id) using (id) group by id")
 def dmdt_norm(spark: SparkSession, sf_dir: str) -> DataFrame:
     flat = curves.dmdt_images(series(spark, sf_dir)).select("id", F.flatten("dmdt").alias("x"))
     norm = F.sqrt(F.aggregate("x", F.lit(0.0), lambda a, v: a + v.cast("double") * v.cast("double")))
