@@ -6,6 +6,7 @@ boundaries and a 64-bit hash for every word, so that the cost for each document
 
 from __future__ import annotations
 
+import gc
 import tempfile
 from collections.abc import Callable, Iterator
 
@@ -32,6 +33,16 @@ def shared_checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def release(spark: SparkSession) -> None:
+    """Lets Spark delete shuffle and checkpoint files of DataFrames that are gone.
+
+    It does so when the driver's JVM finds them unreachable, which may be long after a lineage was cut; a job of many
+    large steps asks for it between them, so that their files don't stand side by side.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def read_documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", *columns)
 
