@@ -1,31 +1,33 @@
-"""LM scoring by a hierarchical Pitman-Yor model.
+"""LM scoring by a hierarchical Pitman-Yor model of words after the word before them.
 
-Every document is a context with a restaurant of its own; all of them share one parent, the restaurant of words (and of the end
-of a text); its parent is a spelling model: restaurants of symbols after the last three, two, one and no symbols of the word, each the
-parent of those with one symbol more, over a flat base.  Symbols are classes of bytes, so the spelling model is a table of bounded size.
+Every word (and the start of a text) is a context with a restaurant of the words that follow it, the end of a text among them.  The
+parent of all of these is the restaurant of words; its parent is a spelling model: restaurants of symbols after the last three, two, one
+and no symbols of the word, each the parent of those with one symbol more, over a flat base.  Symbols are classes of bytes, so the
+spelling model is a table of bounded size.
 
-Seating is sampled by Gibbs sweeps.  In a sweep each dish's customers leave and are seated again one after another by the
-Chinese-restaurant rule, given the number of all tables and the parent's probabilities of the sweep before; every table then sends one
-customer to the parent.  Dishes are reseated in parallel over Spark's partitions; large dishes are seated in growing steps (a binomial
-draw of new tables in each).  After ``BURN_IN`` sweeps the predictive probabilities are averaged over ``SAMPLES`` sweeps.  The documents'
-restaurants are leaves and are seated as the corpus is counted, given the words' shares among the documents of the same batch.
+Seating is sampled by Gibbs sweeps at all levels.  In a sweep each dish's customers leave and are seated again one after another by the
+Chinese-restaurant rule, given the number of the restaurant's tables and the parent's probabilities; every table then sends one customer
+to the parent.  The restaurant of words is seated first, given the tables of the sweep before, then the contexts, given its new
+probabilities.  Dishes are reseated in parallel; large dishes in growing steps (a binomial draw of new tables in each).  After
+``BURN_IN`` sweeps the predictive probabilities are averaged over ``SAMPLES`` sweeps.
 
-As in the base measure, words that the training texts lack are one further type: its probability is what the sampled model leaves to
-all of them.  A document's tokens are predicted one after another from its own restaurant (a table for each type it has had) and the
-parent, so probabilities of each step sum to 1.
+A word that the training texts lack has the share of a new table of words that its own spelling gets, so that the probabilities of all
+strings after a context sum to 1.
 
-Scoring groups documents in blocks of some megabytes; each asks for its distinct words once, so what is shuffled is texts and
-(block, word) rows, never (document, word) rows.
+Words and contexts live at a home by hash of the word.  Texts are dealt into blocks of some megabytes; a block sends one packed row to
+each home: its words, and for its contexts there the words that follow, so a pair that occurs once costs a few bytes.  Homes send each
+other one array a sweep: tables up, probabilities down.
 
 Defined results: a null text counts as empty and is its end alone; without learnable texts every count is 0 and every
-probability that of the unknown type, 1; repeated rows are scored alike and counted each; null ids are learned from; an empty table
-gives an empty result.
+probability 1; repeated rows are scored alike and counted each; null ids are learned from; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+import pickle
+import zlib
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 from itertools import count
 
@@ -34,17 +36,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import is_held_out, read_documents, shared_checkpoint
+from .common import is_held_out, read_documents, release, shared_checkpoint
 
 BURN_IN, SAMPLES = 2, 3
 BLOCK_TEXT = 24_000_000
-#: Bytes of text that are counted, or of tokens that are scored, at once.
-GROUP_BYTES = 16_000_000
 # Discounts of the contexts of 0, 1, 2 and 3 symbols, and the strength of all restaurants.
 SPELL_DISCOUNT = (0.3, 0.5, 0.6, 0.7)
 STRENGTH = 1.0
-# Of the documents' restaurants.
-OWN_DISCOUNT, OWN_STRENGTH = 0.8, 150.0
+#: Rows between blocks and homes, and what they hold.  Samples have the kinds WORDS + k and CONTEXTS + k.
+ROWS = "home int, frm int, kind int, data binary"
+STATE, LINK, TABLES, PLACES, CHANCES, SPELLING, TOTALS, ASKED, ANSWER = range(9)
+WORDS, CONTEXTS = 100, 200
 
 # The classes of bytes.  The last two symbols are the end and the start of a word.
 SYMBOLS = [bytes([c]) for c in range(97, 123)] + [b"0123456789"] + [bytes([c]) for c in b".,!?|'-"]
@@ -98,9 +100,11 @@ def spell_keys(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def spell(words: list[bytes], log_p: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(probability of each word's spelling, keys, first)."""
+    """(log-probability of each word's spelling, keys, first)."""
+    if not words:
+        return np.zeros(0), np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
     key, within, first = spell_keys(words)
-    return np.exp(np.add.reduceat(log_p[key] + within, first)), key, first
+    return np.add.reduceat(log_p[key] + within, first), key, first
 
 
 def sample_spelling(customers: np.ndarray, parents: list[np.ndarray], draw: np.random.Generator) -> list[np.ndarray]:
@@ -129,73 +133,173 @@ def sample_spelling(customers: np.ndarray, parents: list[np.ndarray], draw: np.r
     return found
 
 
-def own_seats(doc: np.ndarray, word: np.ndarray, draw: np.random.Generator) -> tuple[np.ndarray, np.ndarray]:
-    """(words, tables): each document's restaurant seated once; a new table's weight has the word's share among ``word``."""
-    kinds = int(word.max(initial=-1)) + 1
-    share = np.bincount(word, minlength=kinds) / max(1, len(word))
-    pair, customers = np.unique(doc * max(1, kinds) + word, return_counts=True)
-    owner, dish = pair // max(1, kinds), pair % max(1, kinds)
-    types = np.bincount(owner)
-    return dish, seat(customers, (OWN_STRENGTH + OWN_DISCOUNT * types[owner]) * share[dish], OWN_DISCOUNT, draw)
+def packed(*parts) -> bytes:
+    return zlib.compress(pickle.dumps(parts, 5), 1)
 
 
-def count_words(docs: DataFrame) -> DataFrame:
-    """(word binary, n, c): tokens of rows with ``learn`` and the tables that their documents send to the restaurant of words.
+def unpacked(data: bytes) -> tuple:
+    return pickle.loads(zlib.decompress(data))
 
-    The empty word is the end; a null word counts the bytes of all texts.
-    """
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            learn = batch.column("learn").to_pylist()
-            texts = batch.column("text")
-            at, total = 0, 0
-            while at < len(learn):
-                index: defaultdict[bytes, int] = defaultdict(count().__next__)
-                ids, sizes, size = [], [], 0
-                while at < len(learn) and size < GROUP_BYTES:
-                    raw = (texts[at].as_py() or "").encode("utf-8", "replace")
-                    size += len(raw)
-                    if learn[at]:
-                        own = tokens(raw)
-                        own.append(b"")
-                        ids.append(np.fromiter(map(index.__getitem__, own), dtype=np.int64, count=len(own)))
-                        sizes.append(len(own))
-                    at += 1
-                total += size
-                if not ids:
-                    continue
-                word = np.concatenate(ids)
-                dish, tables = own_seats(np.repeat(np.arange(len(sizes)), sizes), word, np.random.default_rng(len(word)))
-                customers = np.bincount(dish, tables, len(index)).astype(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(list(index), pa.binary()), pa.array(np.bincount(word)), pa.array(customers)], ["word", "n", "c"])
-            yield pa.RecordBatch.from_arrays([pa.array([None], pa.binary()), pa.array([total], pa.int64()), pa.array([0], pa.int64())], ["word", "n", "c"])
-
-    found = docs.select("text", "learn").mapInArrow(work, "word binary, n long, c long")
-    return found.groupBy("word").agg(F.sum("n").alias("n"), F.sum("c").alias("c"))
+def joined(words: list[bytes]) -> tuple[int, bytes]:
+    """Words have no spaces; the empty one is the end of a text, or its start as a context."""
+    return len(words), b" ".join(words)
+
+
+def parted(words: tuple[int, bytes]) -> list[bytes]:
+    return words[1].split(b" ") if words[0] else []
+
+
+def homes(words: list[bytes], blocks: int) -> np.ndarray:
+    return np.fromiter((zlib.crc32(w) % blocks for w in words), dtype=np.int64, count=len(words))
+
+
+@dataclass
+class Block:
+    """Tokens of some texts as indices into their sorted words; the empty word is the first."""
+
+    words: list[bytes]
+    sizes: np.ndarray
+    word: np.ndarray
+    before: np.ndarray
+
+    @classmethod
+    def of(cls, texts: Iterable[bytes]) -> Block:
+        index: defaultdict[bytes, int] = defaultdict(count().__next__)
+        ids, sizes, end = [], [], index[b""]
+        for text in texts:
+            own = tokens(text)
+            own.append(b"")
+            ids.append(np.fromiter(map(index.__getitem__, own), dtype=np.int64, count=len(own)))
+            sizes.append(len(own))
+        words = list(index)
+        order = sorted(range(len(words)), key=words.__getitem__)
+        rank = np.empty(len(words), dtype=np.int64)
+        rank[order] = np.arange(len(words))
+        word = rank[np.concatenate([*ids, np.zeros(0, dtype=np.int64)])]
+        before = np.roll(word, 1)
+        before[np.cumsum(sizes, dtype=np.int64) - np.array(sizes, dtype=np.int64)] = rank[end]
+        return cls([words[k] for k in order], np.array(sizes, dtype=np.int64), word, before)
+
+    def pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(context, word, count) of the distinct pairs, in order, and each token's pair."""
+        pair, at, n = np.unique(self.before * len(self.words) + self.word, return_inverse=True, return_counts=True)
+        return pair // len(self.words), pair % len(self.words), n, at
+
+
+def by_home(rows: DataFrame, blocks: int, work: Callable[[int, list[tuple[int, int, bytes]]], Iterator[tuple[int, int, int, bytes]]]) -> DataFrame:
+    """``work`` for each home on its rows (frm, kind, data), in a fixed order."""
+
+    def run(table: pa.Table) -> pa.Table:
+        got = sorted(zip(table.column("frm").to_pylist(), table.column("kind").to_pylist(), table.column("data").to_pylist()), key=lambda r: r[:2])
+        made = list(work(table.column("home")[0].as_py(), got))
+        columns = list(zip(*made)) if made else [()] * 4
+        return pa.table([pa.array(c, t) for c, t in zip(columns, (pa.int32(), pa.int32(), pa.int32(), pa.binary()))], ["home", "frm", "kind", "data"])
+
+    return rows.repartition(blocks, "home").groupBy("home").applyInArrow(lambda t: run(t), ROWS)
+
+
+def deal(docs: DataFrame, size: int) -> tuple[DataFrame, int]:
+    """Rows with their text and ``block``, and how many blocks there are for ``size`` bytes of text."""
+    blocks = max(1, -(-size // BLOCK_TEXT))
+    text = F.coalesce("text", F.lit(""))
+    block = F.pmod(F.xxhash64("doc_id", F.octet_length(text)), F.lit(blocks)).cast("int")
+    return docs.select("doc_id", text.alias("text"), block.alias("block")).repartition(blocks, "block"), blocks
+
+
+def sent_pairs(placed: DataFrame, blocks: int) -> DataFrame:
+    """For each block and home: the words there with their counts, and for each of them, as a context, the words that follow."""
+
+    def work(table: pa.Table) -> pa.Table:
+        block = Block.of(t.as_py().encode("utf-8", "replace") for t in table.column("text"))
+        own, n = homes(block.words, blocks), np.bincount(block.word, minlength=len(block.words))
+        context, word, times, _ = block.pairs()
+        of = own[context]
+        frm, out = table.column("block")[0].as_py(), []
+        for home in np.unique(own):
+            here, pair = np.flatnonzero(own == home), np.flatnonzero(of == home)
+            after, at = np.unique(word[pair], return_inverse=True)
+            sizes = np.bincount(np.searchsorted(here, context[pair]), minlength=len(here))
+            data = packed(joined([block.words[k] for k in here]), n[here], sizes.astype(np.int32), joined([block.words[k] for k in after]), at.astype(np.int32), times[pair].astype(np.int32))
+            out.append((int(home), frm, ASKED, data))
+        return pa.table([pa.array(c, t) for c, t in zip(zip(*out), (pa.int32(), pa.int32(), pa.int32(), pa.binary()))], ["home", "frm", "kind", "data"])
+
+    return placed.groupBy("block").applyInArrow(lambda t: work(t), ROWS)
+
+
+def settled(blocks: int):
+    """Adds up what the blocks sent: a home's words, and its contexts' pairs in order of (context, home of the word, word)."""
+
+    def work(home: int, rows: list[tuple[int, int, bytes]]) -> Iterator[tuple[int, int, int, bytes]]:
+        index: defaultdict[bytes, int] = defaultdict(count().__next__)
+        follow: defaultdict[bytes, int] = defaultdict(count().__next__)
+        of, n, context, after, times = [], [], [], [], []
+        for _, _, data in rows:
+            words, own, sizes, others, at, c = unpacked(data)
+            here = np.fromiter(map(index.__getitem__, parted(words)), dtype=np.int64, count=words[0])
+            of.append(here), n.append(own)
+            context.append(np.repeat(here, sizes)), times.append(c)
+            after.append(np.fromiter(map(follow.__getitem__, parted(others)), dtype=np.int64, count=others[0])[at])
+        words, names = list(index), list(follow)
+        total = np.bincount(np.concatenate(of), np.concatenate(n), len(words)).astype(np.int64)
+        at_home = homes(names, blocks)
+        order = sorted(range(len(names)), key=lambda k: (at_home[k], names[k]))
+        rank = np.empty(len(names), dtype=np.int64)
+        rank[order] = np.arange(len(names))
+        pair, back = np.unique(np.concatenate(context) * len(names) + rank[np.concatenate(after)], return_inverse=True)
+        c = np.bincount(back, np.concatenate(times), len(pair)).astype(np.int64)
+        at, sizes = (pair % max(1, len(names))).astype(np.int32), np.bincount(pair // max(1, len(names)), minlength=len(words)).astype(np.int32)
+        edges = np.searchsorted(at_home[order], np.arange(blocks + 1))
+        names = [names[k] for k in order]
+        yield home, home, STATE, packed(joined(words), total, sizes, joined(names), edges, at, c)
+        yield home, home, TOTALS, packed(int(total.sum()), len(words), int((c == 1).sum()), int((c == 2).sum()))
+        tables = np.bincount(at, minlength=len(names))
+        for g in np.flatnonzero(np.diff(edges)):
+            yield int(g), home, LINK, packed(joined(names[edges[g] : edges[g + 1]]), tables[edges[g] : edges[g + 1]].astype(np.int32))
+
+    return work
+
+
+def linked(home: int, rows: list[tuple[int, int, bytes]]) -> Iterator[tuple[int, int, int, bytes]]:
+    """The places, among a home's words, of the words that other homes send tables of; and the first tables."""
+    words, total = unpacked(next(data for _, kind, data in rows if kind == STATE))[:2]
+    index = {w: k for k, w in enumerate(parted(words))}
+    places, c = [], np.zeros(words[0])
+    for frm, kind, data in rows:
+        if kind == LINK:
+            names, tables = unpacked(data)
+            at = np.fromiter(map(index.__getitem__, parted(names)), dtype=np.int32, count=names[0])
+            places.append((frm, at))
+            np.add.at(c, at, tables)
+            yield home, frm, TABLES, packed(tables)
+    yield home, home, PLACES, packed(words, total, places)
+    yield home, home, TOTALS, packed(int(c.sum()), int((c == 1).sum()), int((c == 2).sum()))
 
 
 @dataclass
 class Sample:
-    """A kept sweep: what it began with, and the tables and spelling mass of the known words that it ended with."""
+    """A kept sweep of the restaurant of words: what it began with, and the tables, spelling mass of the known words and customers it ended with."""
 
     log_p: np.ndarray
     begun: float
     tables: float
     known: float
+    customers: float
 
 
 @dataclass
 class Model:
-    words: DataFrame
+    rows: DataFrame | None
+    blocks: int
     discount: float
+    #: Of the contexts.
+    pair_discount: float
     train_tokens: int
     distinct: int
-    customers: int
     samples: list[Sample]
 
     def new_table(self, sample: Sample) -> float:
-        return (STRENGTH + self.discount * sample.tables) / (STRENGTH + self.customers)
+        return (STRENGTH + self.discount * sample.tables) / (STRENGTH + sample.customers)
 
     @property
     def unknown(self) -> float:
@@ -203,140 +307,232 @@ class Model:
         return sum(self.new_table(s) * max(1 - s.known, 1e-9) for s in self.samples) / len(self.samples) if self.samples else 1.0
 
 
-def reseated(words: list[bytes], counts: np.ndarray, spelled: np.ndarray, tables: float, discount: float, sweep: int) -> np.ndarray:
-    """One sweep over some dishes of the restaurant of words; its draws depend on the sweep and the first word only."""
-    draw = np.random.default_rng([sweep, len(words), *words[0][:32]])
-    return seat(counts, (STRENGTH + discount * tables) * spelled, discount, draw)
+def reseated(home: int, counts: np.ndarray, spelled: np.ndarray, tables: float, discount: float, sweep: int) -> np.ndarray:
+    """One sweep over a home's dishes of the restaurant of words; its draws depend on the sweep and the home only."""
+    return seat(counts, (STRENGTH + discount * tables) * spelled, discount, np.random.default_rng([sweep, home]))
+
+
+def seat_words(sent, tables: float, discount: float, sweep: int):
+    def work(home: int, rows: list[tuple[int, int, bytes]]) -> Iterator[tuple[int, int, int, bytes]]:
+        words, _, places = unpacked(next(data for _, kind, data in rows if kind == PLACES))
+        came = {frm: unpacked(data)[0] for frm, kind, data in rows if kind == TABLES}
+        c = np.zeros(words[0], dtype=np.int64)
+        for frm, at in places:
+            np.add.at(c, at, came[frm])
+        spelled, key, first = spell(parted(words), sent.value)
+        spelled = np.exp(spelled)
+        t = reseated(home, c, spelled, tables, discount, sweep)
+        sums = np.bincount(key, np.repeat(t, np.diff(np.append(first, len(key)))), SIZE**4)
+        at = np.flatnonzero(sums)
+        yield home, home, SPELLING, packed(np.append(at, [-1, -2, -3]), np.append(sums[at], [t.sum(), spelled.sum(), c.sum()]))
+        yield home, home, WORDS, packed(c)
+        own = np.maximum(c - discount * t, 0)
+        for frm, at in places:
+            yield frm, home, CHANCES, packed(own[at].astype(np.float32), spelled[at].astype(np.float32))
+
+    return work
+
+
+def seat_contexts(fresh: float, customers: float, discount: float, sweep: int):
+    """Seats the pairs given the probabilities (own + fresh * spelled) / (STRENGTH + customers) of their words."""
+
+    def work(home: int, rows: list[tuple[int, int, bytes]]) -> Iterator[tuple[int, int, int, bytes]]:
+        _, _, sizes, names, edges, at, c = unpacked(next(data for _, kind, data in rows if kind == STATE))
+        p = np.zeros(names[0])
+        for frm, kind, data in rows:
+            if kind == CHANCES:
+                own, spelled = unpacked(data)
+                p[edges[frm] : edges[frm + 1]] = (own + fresh * spelled.astype(np.float64)) / (STRENGTH + customers)
+        context = np.repeat(np.arange(len(sizes)), sizes)
+        before = next((unpacked(data)[0] for _, kind, data in rows if kind == CONTEXTS), None)
+        opened = np.bincount(context, before, len(sizes))
+        t = seat(c, (STRENGTH + discount * opened[context]) * p[at], discount, np.random.default_rng([sweep, home, 1])).astype(np.int32)
+        yield home, home, CONTEXTS, packed(t)
+        tables = np.bincount(at, t, names[0]).astype(np.int32)
+        for g in np.flatnonzero(np.diff(edges)):
+            yield int(g), home, TABLES, packed(tables[edges[g] : edges[g + 1]])
+
+    return work
+
+
+def spelling_sums(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for data in batch.column("data").to_pylist():
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in unpacked(data)], ["key", "n"])
+
+    found = rows.filter(F.col("kind") == SPELLING).select("data").mapInArrow(work, "key long, n double").groupBy("key").agg(F.sum("n").alias("n")).toArrow()
+    return found.column("key").to_numpy(), found.column("n").to_numpy()
+
+
+def totals(rows: DataFrame) -> np.ndarray:
+    return np.array([unpacked(r.data) for r in rows.filter(F.col("kind") == TOTALS).select("data").collect()]).sum(axis=0)
+
+
+def discount_of(one: int, two: int) -> float:
+    return float(min(0.95, max(0.05, one / (one + 2 * two)))) if one else 0.5
 
 
 def learn(docs: DataFrame) -> tuple[Model, int]:
-    """Fits on all rows of (text, learn) with ``learn``; also gives the bytes of all texts."""
+    """Fits on all rows of (doc_id, text, learn) with ``learn``; also gives the bytes of all texts."""
     spark = docs.sparkSession
-    counted = shared_checkpoint(count_words(docs))
-    words = counted.filter("word is not null")
-    total = words.agg(F.sum("n").alias("n"), F.sum("c").alias("c"), F.count(F.lit(1)).alias("v"), F.count_if(F.col("c") == 1).alias("one"), F.count_if(F.col("c") == 2).alias("two")).first()
-    size = counted.filter("word is null").agg(F.sum("n")).first()[0] or 0
-    discount = min(0.95, max(0.05, total["one"] / (total["one"] + 2 * total["two"]))) if total["one"] else 0.5
-    model = Model(words, discount, total["n"] or 0, total["v"], total["c"] or 0, [])
-    log_p, tables = np.full(SIZE**4, -np.log(SIZE - 1), dtype=np.float32), float(total["v"])
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    placed, blocks = deal(docs.filter("learn"), size)
+    made = shared_checkpoint(by_home(sent_pairs(placed, blocks), blocks, settled(blocks)))
+    if not made.limit(1).count():
+        return Model(None, blocks, 0.5, 0.5, 0, 0, []), size
+    tokens_, distinct, *few = totals(made)
+    links = shared_checkpoint(by_home(made.filter(F.col("kind").isin(STATE, LINK)), blocks, linked))
+    _, *few_tables = totals(links)
+    model = Model(None, blocks, discount_of(*few_tables), discount_of(*few), int(tokens_), int(distinct), [])
+    made = shared_checkpoint(made.filter(F.col("kind") == STATE))
+    places, came, seated = links.filter(F.col("kind") == PLACES), links.filter(F.col("kind") == TABLES), None
+    kept = [made, places]
+    log_p, tables = np.full(SIZE**4, -np.log(SIZE - 1), dtype=np.float32), float(distinct)
     parents = [np.full((SIZE**k, SIZE), 1 / (SIZE - 1)) for k in range(4)]
-    for sweep in range(BURN_IN + SAMPLES if total["n"] else 0):
+    for sweep in range(BURN_IN + SAMPLES):
         sent = spark.sparkContext.broadcast(log_p)
-
-        def work(batches: Iterator[pa.RecordBatch], sweep=sweep, tables=tables, sent=sent) -> Iterator[pa.RecordBatch]:
-            sums = np.zeros(SIZE**4)
-            opened = known = 0.0
-            for batch in batches:
-                own = batch.column("word").to_pylist()
-                if own:
-                    spelled, key, first = spell(own, sent.value)
-                    t = reseated(own, batch.column("c").to_numpy(), spelled, tables, discount, sweep)
-                    sums += np.bincount(key, np.repeat(t, np.diff(np.append(first, len(key)))), SIZE**4)
-                    opened += t.sum()
-                    known += spelled.sum()
-            at = np.flatnonzero(sums)
-            yield pa.RecordBatch.from_arrays([pa.array(np.append(at, [-1, -2])), pa.array(np.append(sums[at], [opened, known]))], ["key", "n"])
-
-        found = words.mapInArrow(work, "key long, n double").groupBy("key").agg(F.sum("n").alias("n")).toArrow()
-        key, n = found.column("key").to_numpy(), found.column("n").to_numpy()
-        begun, tables = tables, float(n[key == -1].sum())
+        words = shared_checkpoint(by_home(places.union(came), blocks, seat_words(sent, tables, model.discount, sweep)))
+        key, n = spelling_sums(words)
+        begun, tables, customers = tables, float(n[key == -1].sum()), float(n[key == -3].sum())
+        known = [words.filter(F.col("kind") == CHANCES), made] + ([seated] if seated is not None else [])
+        rows = known[0]
+        for x in known[1:]:
+            rows = rows.union(x)
+        seats = shared_checkpoint(by_home(rows, blocks, seat_contexts(STRENGTH + model.discount * tables, customers, model.pair_discount, sweep)))
+        came, seated = seats.filter(F.col("kind") == TABLES), seats.filter(F.col("kind") == CONTEXTS)
         if sweep >= BURN_IN:
-            model.samples.append(Sample(log_p, begun, tables, float(n[key == -2].sum())))
-        customers = np.zeros(SIZE**4)
-        customers[key[key >= 0]] = n[key >= 0]
-        parents = sample_spelling(customers, parents, np.random.default_rng(sweep))
+            k = len(model.samples)
+            model.samples.append(Sample(log_p, begun, tables, float(n[key == -2].sum()), customers))
+            kinds = [(words, WORDS), (seats, CONTEXTS)]
+            own = [x.filter(F.col("kind") == c).withColumn("kind", F.lit(c + k).cast("int")) for x, c in kinds]
+            kept.append(shared_checkpoint(own[0].union(own[1])))
+            del own, kinds
+        counts = np.zeros(SIZE**4)
+        counts[key[key >= 0]] = n[key >= 0]
+        parents = sample_spelling(counts, parents, np.random.default_rng(sweep))
         log_p = np.log(parents[3].ravel()).astype(np.float32)
         sent.unpersist()
+        del words, seats, known, rows
+        release(spark)
+    model.rows = kept[0]
+    for x in kept[1:]:
+        model.rows = model.rows.union(x)
+    del made, links, places, came, seated, kept
+    release(spark)
     return model, size
 
 
-def predictive(model: Model) -> DataFrame:
-    """(word, n, p): counts and averaged predictive probabilities of the words of the training texts."""
-    sent = model.words.sparkSession.sparkContext.broadcast(model.samples)
-    discount, customers = model.discount, model.customers
-    fresh = [model.new_table(s) for s in model.samples]
+def word_chances(model: Model, samples: list[Sample], home: int, rows: dict[int, bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """(words, counts, probabilities in each sample) of a home."""
+    words, n, _ = unpacked(rows[PLACES])
+    words, p = parted(words), np.zeros((len(samples), words[0]))
+    for k, sample in enumerate(samples):
+        c = unpacked(rows[WORDS + k])[0]
+        spelled = np.exp(spell(words, sample.log_p)[0])
+        t = reseated(home, c, spelled, sample.begun, model.discount, BURN_IN + k)
+        p[k] = np.maximum(c - model.discount * t, 0) / (STRENGTH + sample.customers) + model.new_table(sample) * spelled
+    return words, n, p
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            own = batch.column("word").to_pylist()
-            if not own:
-                continue
-            c = batch.column("c").to_numpy()
-            p = np.zeros(len(own))
-            for k, sample in enumerate(sent.value):
-                spelled = spell(own, sample.log_p)[0]
-                t = reseated(own, c, spelled, sample.begun, discount, BURN_IN + k)
-                p += (np.maximum(c - discount * t, 0) / (STRENGTH + customers) + fresh[k] * spelled) / len(sent.value)
-            yield pa.RecordBatch.from_arrays([batch.column("word"), batch.column("n"), pa.array(p)], ["word", "n", "p"])
 
-    return model.words.mapInArrow(work, "word binary, n long, p double")
+def without_rows(model: Model) -> Model:
+    """The scalars that tasks need; samples are sent by broadcast."""
+    return Model(None, model.blocks, model.discount, model.pair_discount, model.train_tokens, model.distinct, [])
 
 
-def own_predictions(sizes: np.ndarray, word: np.ndarray, parent: np.ndarray) -> np.ndarray:
-    """Natural log-probability of each token given those before it in its document and the parent's probability."""
-    doc = np.repeat(np.arange(len(sizes)), sizes)
-    first = np.cumsum(sizes) - sizes
-    before = np.arange(len(word)) - first[doc]
-    order = np.argsort(doc * (int(word.max(initial=0)) + 1) + word, kind="stable")
-    d, w = doc[order], word[order]
-    opens = np.ones(len(order), dtype=bool)
-    opens[1:] = (d[1:] != d[:-1]) | (w[1:] != w[:-1])
-    start = np.flatnonzero(opens)
-    had = np.empty(len(order), dtype=np.int64)
-    had[order] = np.arange(len(order)) - np.repeat(start, np.diff(np.append(start, len(order))))
-    fresh = np.cumsum(had == 0)
-    types = fresh - (had == 0) - (fresh[first] - 1)[doc] if len(word) else fresh
-    p = (np.maximum(had - OWN_DISCOUNT, 0) + (OWN_STRENGTH + OWN_DISCOUNT * types) * parent) / (OWN_STRENGTH + before)
-    return np.log(np.maximum(p, 1e-300))
+def predictive(model: Model) -> DataFrame:
+    """(word, n, p): counts and averaged predictive probabilities of the words of the training texts, without a context."""
+    sent, plain = model.rows.sparkSession.sparkContext.broadcast(model.samples), without_rows(model)
+
+    def work(table: pa.Table) -> pa.Table:
+        rows = dict(zip(table.column("kind").to_pylist(), table.column("data").to_pylist()))
+        words, n, p = word_chances(plain, sent.value, table.column("home")[0].as_py(), rows)
+        return pa.table([pa.array(words, pa.binary()), pa.array(n), pa.array(p.mean(axis=0))], ["word", "n", "p"])
+
+    rows = model.rows.filter((F.col("kind") == PLACES) | F.col("kind").between(WORDS, CONTEXTS - 1))
+    return rows.groupBy("home").applyInArrow(lambda t: work(t), "word binary, n long, p double")
+
+
+def answered(model: Model, sent):
+    """For what a block asks, in its order: counts and log-probabilities of words in each sample; for words as contexts the log-share of
+    new tables; for pairs the log of what their own tables give, averaged."""
+
+    def work(home: int, rows: list[tuple[int, int, bytes]]) -> Iterator[tuple[int, int, int, bytes]]:
+        held = {kind: data for _, kind, data in rows if kind != ASKED}
+        samples = sent.value
+        index, follow, pair = {}, {}, np.zeros(0, dtype=np.int64)
+        n, log_p, share, own = np.zeros(0, dtype=np.int64), np.zeros((len(samples), 0)), np.zeros((len(samples), 0)), np.zeros(0)
+        if held:
+            words, n, p = word_chances(model, samples, home, held)
+            index, log_p = {w: k for k, w in enumerate(words)}, np.log(np.maximum(p, 1e-300))
+            _, _, sizes, names, _, at, c = unpacked(held[STATE])
+            follow = {w: k for k, w in enumerate(parted(names))}
+            context = np.repeat(np.arange(len(sizes)), sizes)
+            pair, own, share = context * len(follow) + at, np.zeros(len(at)), np.zeros((len(samples), len(sizes)))
+            customers = STRENGTH + np.bincount(context, c, len(sizes))
+            for k in range(len(samples)):
+                t = unpacked(held[CONTEXTS + k])[0]
+                own += np.maximum(c - model.pair_discount * t, 0) / customers[context] / len(samples)
+                share[k] = np.log((STRENGTH + model.pair_discount * np.bincount(context, t, len(sizes))) / customers)
+        for frm, kind, data in rows:
+            if kind != ASKED:
+                continue
+            words, _, sizes, names, at, _ = unpacked(data)
+            words = parted(words)
+            here = np.fromiter((index.get(w, -1) for w in words), dtype=np.int64, count=len(words))
+            lacks, has = np.flatnonzero(here < 0), np.flatnonzero(here >= 0)
+            count_, chance, fresh = np.zeros(len(words), dtype=np.int64), np.zeros((len(samples), len(words)), dtype=np.float32), np.zeros((len(samples), len(words)), dtype=np.float32)
+            count_[has], chance[:, has], fresh[:, has] = n[here[has]], log_p[:, here[has]], share[:, here[has]]
+            for k, sample in enumerate(samples):
+                chance[k, lacks] = np.log(model.new_table(sample)) + spell([words[i] for i in lacks], sample.log_p)[0]
+            after = np.fromiter((follow.get(w, -1) for w in parted(names)), dtype=np.int64, count=names[0])[at]
+            before = np.repeat(here, sizes)
+            wanted = before * len(follow) + after
+            place = np.minimum(np.searchsorted(pair, wanted), max(0, len(pair) - 1))
+            gives = np.full(len(wanted), -np.inf, dtype=np.float32)
+            if len(pair):
+                hit = (before >= 0) & (after >= 0) & (pair[place] == wanted)
+                with np.errstate(divide="ignore"):
+                    gives[hit] = np.log(own[place[hit]])
+            yield frm, home, ANSWER, packed(count_, chance, fresh, gives)
+
+    return work
 
 
 def score(docs: DataFrame, model: Model, size: int) -> DataFrame:
     """(doc_id, n_tokens, n_known, base_score, score) of every row of ``docs`` (doc_id, text)."""
-    blocks = max(1, -(-size // BLOCK_TEXT))
-    text = F.coalesce("text", F.lit(""))
-    placed = docs.select("doc_id", text.alias("text"), F.pmod(F.xxhash64("doc_id", F.octet_length(text)), F.lit(blocks)).alias("block")).repartition(blocks, "block")
-
-    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wanted: dict[int, set[bytes]] = {}
-        for batch in batches:
-            for own, block in zip(batch.column("text"), batch.column("block").to_pylist()):
-                wanted.setdefault(block, {b""}).update(tokens(own.as_py().encode("utf-8", "replace")))
-        for block, words in wanted.items():
-            held = list(words)
-            for lo in range(0, len(held), 100_000):
-                part = held[lo : lo + 100_000]
-                yield pa.RecordBatch.from_arrays([pa.array([block] * len(part), pa.int64()), pa.array(part, pa.binary())], ["block", "word"])
-
-    asked = placed.mapInArrow(ask, "block long, word binary")
-    answers = asked.join(predictive(model), "word", "left").select("block", "word", "n", "p")
-    unknown, below = model.unknown, model.train_tokens + 0.1 * (model.distinct + 1)
+    placed, blocks = deal(docs, size)
+    sent = docs.sparkSession.sparkContext.broadcast(model.samples)
+    asked = sent_pairs(placed, blocks)
+    answers = shared_checkpoint(by_home(asked if model.rows is None else asked.union(model.rows), blocks, answered(without_rows(model), sent)))
+    answers = answers.withColumnRenamed("home", "block")
+    del asked
+    release(docs.sparkSession)
+    # dealt out again: the files of the questions need not stand beside the answers
+    placed, _ = deal(docs, size)
+    below = model.train_tokens + 0.1 * (model.distinct + 1)
 
     def work(left: pa.Table, right: pa.Table) -> pa.Table:
-        words = right.column("word").to_pylist()
-        n = right.column("n").combine_chunks().fill_null(0).to_numpy(zero_copy_only=False)
-        p = right.column("p").combine_chunks().fill_null(unknown).to_numpy(zero_copy_only=False)
-        # all unknown words are one type
-        kind = np.where(n > 0, np.arange(len(n)), len(n))
-        place = dict(zip(words, range(len(words))))
-        base = np.log10((n + 0.1) / below)
-        end = place[b""]
-        out: list[np.ndarray] = []
-        texts, at = left.column("text"), 0
-        while at < len(texts):
-            ids, sizes, held = [], [], 0
-            while at < len(texts) and held < GROUP_BYTES:
-                own = tokens(texts[at].as_py().encode("utf-8", "replace"))
-                ids.append(np.fromiter(map(place.__getitem__, own), dtype=np.int64, count=len(own)))
-                ids.append(np.array([end]))
-                sizes.append(len(own) + 1)
-                held += 8 * len(own)
-                at += 1
-            word, sizes = np.concatenate(ids), np.array(sizes)
-            first = np.cumsum(sizes) - sizes
-            logs = own_predictions(sizes, kind[word], p[word]) / np.log(10)
-            out.append(np.stack([sizes, np.add.reduceat(n[word] > 0, first, dtype=np.int64), np.add.reduceat(base[word], first), np.add.reduceat(logs, first)]))
-        tokens_, known, base_score, own_score = np.hstack(out)
-        columns = [left.column("doc_id"), pa.array(tokens_.astype(np.int64)), pa.array(known.astype(np.int64)), pa.array(base_score), pa.array(own_score)]
+        block = Block.of(t.as_py().encode("utf-8", "replace") for t in left.column("text"))
+        context, _, _, at = block.pairs()
+        own = homes(block.words, blocks)
+        of = own[context]
+        n, chance, fresh, gives = np.zeros(len(own), dtype=np.int64), None, None, np.zeros(len(context))
+        for home, data in zip(right.column("frm").to_pylist(), right.column("data").to_pylist()):
+            parts, here = unpacked(data), np.flatnonzero(own == home)
+            if chance is None:
+                chance, fresh = np.zeros((2, len(parts[1]), len(own)))
+            n[here], chance[:, here], fresh[:, here], gives[of == home] = parts[0], parts[1], parts[2], parts[3]
+        logs = np.zeros(len(block.word))
+        if len(chance):
+            # the average of the samples' chances at a new table, then what the pair's own tables give
+            new = np.full(len(logs), -np.inf)
+            for k in range(len(chance)):
+                new = np.logaddexp(new, fresh[k, block.before] + chance[k, block.word])
+            logs = np.logaddexp(new - np.log(len(chance)), gives[at]) / np.log(10)
+        base, first = np.log10((n + 0.1) / below), np.cumsum(block.sizes) - block.sizes
+        known = np.add.reduceat(n[block.word] > 0, first, dtype=np.int64)
+        columns = [left.column("doc_id"), pa.array(block.sizes), pa.array(known), pa.array(np.add.reduceat(base[block.word], first)), pa.array(np.add.reduceat(logs, first))]
         return pa.table(columns, names=["doc_id", "n_tokens", "n_known", "base_score", "score"])
 
     return placed.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(lambda a, b: work(a, b), "doc_id long, n_tokens long, n_known long, base_score double, score double")

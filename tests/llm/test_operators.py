@@ -219,6 +219,19 @@ def test_language_model_without_texts(spark):
     assert (r.n_tokens, r.n_known, r.base_score) == (3, 0, 0.0)
 
 
+def test_language_model_knows_the_order_of_words(spark):
+    rng = random.Random(7)
+    text = lambda: " ".join(f"w{(start + i) % 50}" for start in [rng.randint(0, 49)] for i in range(40))
+    rows = [(i, text()) for i in range(60)]
+    shuffled = text().split()
+    in_order = " ".join(shuffled)
+    rng.shuffle(shuffled)
+    docs = frame(spark, rows + [(100, in_order), (101, " ".join(shuffled))]).withColumn("learn", F.col("doc_id") < 60)
+    model, size = pitman_yor.learn(docs)
+    found = {r.doc_id: r for r in pitman_yor.score(docs, model, size).collect()}
+    assert abs(found[100].base_score - found[101].base_score) < 1e-6 and found[100].score > found[101].score + 20
+
+
 def test_seating_bounds():
     customers = np.array([0, 1, 2, 50, 100_000])
     t = pitman_yor.seat(customers, np.full(5, 0.5), 0.5, np.random.default_rng(0))
