@@ -232,6 +232,16 @@ def test_language_model_knows_the_order_of_words(spark):
     assert abs(found[100].base_score - found[101].base_score) < 1e-6 and found[100].score > found[101].score + 20
 
 
+def test_language_model_does_not_get_used_to_unseen_words(spark):
+    rng = random.Random(8)
+    strange = lambda n: " ".join("".join(rng.choice("jkqxzvw") for _ in range(8)) for _ in range(n))
+    rows = [(i, " ".join(words(rng, 60, 80))) for i in range(50)] + [(100, strange(10)), (101, strange(1000))]
+    docs = frame(spark, rows).withColumn("learn", F.col("doc_id") < 50)
+    model, size = pitman_yor.learn(docs)
+    found = {r.doc_id: r for r in pitman_yor.score(docs, model, size).collect()}
+    assert found[101].n_known == 1 and found[101].score / 1001 < -5 and abs(found[101].score / 1000 - found[100].score / 10) < 1.5
+
+
 def test_seating_bounds():
     customers = np.array([0, 1, 2, 50, 100_000])
     t = pitman_yor.seat(customers, np.full(5, 0.5), 0.5, np.random.default_rng(0))
