@@ -192,6 +192,14 @@ def test_tables_round_trip(spark, tmp_path):
     assert tables.job_seconds(spark, f"{tmp_path}/job.out").first().seconds_per_source == 0.5
 
 
+def test_nearest_donors_are_found_among_all_rows(spark):
+    reference = spark.range(25_000).select("id", F.col("id").cast("double").alias("x"), F.col("id").cast("double").alias("y"))
+    rows = spark.createDataFrame([(-k, None, 800.0 * k) for k in range(1, 30)] + [(-30, 1.0, float("nan")), (-30, 2.0, float("nan")), (-31, None, None)], "id long, x double, y double")
+    found = modelling.impute_nearest(rows, ["x", "y"], reference).collect()
+    assert len(found) == 32 and all(r.x == 800 * -r.id for r in found if r.id > -30)
+    assert sorted(r.y for r in found if r.id == -30) == [2.0, 2.0] and all(r.x is None and r.y is None for r in found if r.id == -31)
+
+
 def test_network_trains(spark):
     x = spark.createDataFrame([(k, float(k % 7), float(k % 5), int(k % 7 > 3)) for k in range(120)], "id long, a double, b double, y int")
     model = modelling.train_network(x, ["a", "b"], hidden=[4])
