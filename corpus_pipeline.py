@@ -28,17 +28,22 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document of least id of each component of near duplicates (five words, Jaccard index 0.8 or more)."""
-    found = jaccard_join.near_duplicates(docs.select("doc_id", "text"), size=5, least=(4, 5)).select(F.col("doc_id").alias("__id"), "n_shingles", "component_id")
-    first = shared_checkpoint(found.filter((F.col("__id") == F.col("component_id")) | (F.col("n_shingles") == 0) | F.col("component_id").isNull()).select("__id").distinct())
-    # ids go to the documents where they are few enough, else both are shuffled
+    """Keeps one row of each component of near duplicates (five words, Jaccard index 0.8 or more): one of least id, nulls last.
+
+    Rows are judged by their texts: unlike texts that share an id, or have none, all stay, as do rows without a word.
+    """
+    found = jaccard_join.judged(docs.select("doc_id", "text"), size=5, least=(4, 5)).select("__id", "__sig", "label")
+    order = F.struct(F.col("__id") == -(2**63), "__id", "__sig")
+    least = found.filter("label is not null").groupBy("label").agg(F.min_by(F.struct("__id", "__sig"), order).alias("k"))
+    first = shared_checkpoint(least.select("k.*", F.lit(True).alias("__one")).union(found.filter("label is null").select("__id", "__sig", F.lit(False))))
+    # keys go to the documents where they are few enough, else both are shuffled
     first = F.broadcast(first) if first.count() <= jaccard_join.BROADCAST_ROWS else first
-    kept = docs.join(first, docs["doc_id"].eqNullSafe(first["__id"]), "left_semi")
-    if not docs.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").limit(1).count():
+    kept = jaccard_join.with_keys(docs).drop("__text").join(first, ["__id", "__sig"])
+    if not kept.filter("__one").groupBy("__id", "__sig").count().filter("count > 1").limit(1).count():
         return kept.select(docs.columns)
-    # rows that repeat an id: one of them stays
-    repeated = Window.partitionBy("doc_id").orderBy("text", "source", "lang")
-    return kept.withColumn("__n", F.row_number().over(repeated)).filter("__n = 1 or doc_id is null").select(docs.columns)
+    # rows that repeat both id and text: one of them stays
+    repeated = Window.partitionBy("__id", "__sig").orderBy(*[c for c in ("text", "source", "lang", "n_chars") if c in docs.columns])
+    return kept.withColumn("__n", F.row_number().over(repeated)).filter("__n = 1 or not __one").select(docs.columns)
 
 
 def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -40,3 +40,14 @@ def test_empty_documents(spark, tmp_path):
     spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_near_copies_judge_rows_and_not_ids(spark):
+    rng = random.Random(2)
+    line = lambda: " ".join(f"w{rng.randint(0, 9999)}" for _ in range(60))
+    a, b, c, d, e = (line() for _ in range(5))
+    rows = [(1, a), (7, a + " more"), (7, b), (8, c), (8, d), (None, e), (None, e + " more"), (None, d + " more"), (None, line()), (9, e), (9, e), (5, ""), (5, ""), (None, None)]
+    docs = spark.createDataFrame([(i, t, "aa", "s", 0) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = [(r.doc_id, r.text) for r in corpus_pipeline.near_copies(spark, docs, "").collect()]
+    expected = [rows[k] for k in (0, 2, 3, 4, 8, 9, 11, 12, 13)]
+    assert sorted(kept, key=str) == sorted(expected, key=str)
