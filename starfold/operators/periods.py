@@ -260,27 +260,58 @@ def amplitudes_of(table: DataFrame, terms: int) -> DataFrame:
 
 
 def window_function(visits: DataFrame, freqs: np.ndarray, least: int = 10) -> DataFrame:
-    """(field, k, freq, w): power of a constant at each field's visit times, its maximum 1; fields of fewer visits give nothing."""
-
-    def work(frame: pd.DataFrame) -> pd.DataFrame:
-        t = np.sort(frame["t"].to_numpy(dtype=float))
-        if len(t) < least:
-            return pd.DataFrame({"field": [], "k": [], "freq": [], "w": []})
-        w = window_power(t, freqs)
-        return pd.DataFrame({"field": frame["field"].iloc[0], "k": np.arange(len(freqs)), "freq": freqs, "w": w})
-
-    return visits.select("field", "t").groupBy("field").applyInPandas(work, "field string, k int, freq double, w double")
+    """(field, k, freq, w): power of a constant at each field's visit times, its maximum 1; fields of fewer visits give nothing.
+
+    Tasks add up the sines and cosines of their own visits, and only these sums are gathered by field.
+    """
+    sums = ["c", "s", "cc", "ss", "cs"]
+    visits = visits.select(F.col("field").cast("string").alias("field"), F.col("t").cast("double").alias("t")).filter("t is not null")
+    began = visits.groupBy(F.col("field").alias("__field")).agg(F.min("t").alias("__first"))
+    since = visits.join(began, F.col("field").eqNullSafe(F.col("__field"))).select("field", (F.col("t") - F.col("__first")).alias("t"))
+
+    def work(frames):
+        held: dict = {}
+
+        def flush():
+            for field, (n, found) in held.items():
+                yield pd.DataFrame({"field": [field] * len(freqs), "k": np.arange(len(freqs)), "freq": freqs, "n": n} | dict(zip(sums, found)))
+            held.clear()
+
+        for frame in frames:
+            for field, part in frame.groupby("field", dropna=False):
+                field = None if pd.isna(field) else field
+                t = part["t"].to_numpy(dtype=float)
+                n, found = held.get(field, (0, 0.0))
+                held[field] = (n + len(t), found + window_sums(t, freqs))
+                if len(held) * len(freqs) > BLOCK:
+                    yield from flush()
+        yield from flush()
+
+    parts = since.mapInPandas(work, "field string, k int, freq double, n long, " + ", ".join(f"{c} double" for c in sums))
+    whole = parts.groupBy("field", "k").agg(F.first("freq").alias("freq"), F.sum("n").alias("n"), *[(F.sum(c) / F.sum("n")).alias(c) for c in sums]).filter(F.col("n") >= least)
+    det = F.col("cc") * F.col("ss") - F.col("cs") * F.col("cs")
+    fit = F.col("ss") * F.col("c") * F.col("c") + F.col("cc") * F.col("s") * F.col("s") - 2 * F.col("cs") * F.col("c") * F.col("s")
+    power = F.when(det > 1e-12, fit / F.when(det > 1e-12, det)).otherwise(F.col("c") * F.col("c") / F.greatest("cc", F.lit(1e-12)))
+    top = F.max("w").over(Window.partitionBy("field"))
+    found = whole.select("field", "k", "freq", power.alias("w"))
+    return found.withColumn("w", F.when(top > 0, F.col("w") / top).otherwise(F.col("w")))
+
+
+def window_sums(t: np.ndarray, freqs: np.ndarray) -> np.ndarray:
+    """Sums of cos, sin, their squares and their product over the times, for each frequency."""
+    out = [np.zeros((5, 0))]
+    for f in blocks(freqs, len(t)):
+        x = 2 * np.pi * f[:, None] * t
+        c, s = np.cos(x), np.sin(x)
+        out.append(np.stack([c.sum(1), s.sum(1), (c * c).sum(1), (s * s).sum(1), (c * s).sum(1)]))
+    return np.concatenate(out, axis=1)
 
 
 def window_power(t: np.ndarray, freqs: np.ndarray) -> np.ndarray:
-    out = []
-    for f in blocks(freqs, len(t)):
-        x = 2 * np.pi * f[:, None] * (t - t.min())
-        c, s = np.cos(x), np.sin(x)
-        yc, ys, cc, ss, cs = c.mean(1), s.mean(1), (c * c).mean(1), (s * s).mean(1), (c * s).mean(1)
-        det = cc * ss - cs**2
-        out.append(np.where(det > 1e-12, (ss * yc**2 + cc * ys**2 - 2 * cs * yc * ys) / np.where(det > 1e-12, det, 1), yc**2 / np.maximum(cc, 1e-12)))
-    w = np.concatenate(out)
+    """The same for one field's times."""
+    yc, ys, cc, ss, cs = window_sums(t - t.min(), freqs) / len(t)
+    det = cc * ss - cs**2
+    w = np.where(det > 1e-12, (ss * yc**2 + cc * ys**2 - 2 * cs * yc * ys) / np.where(det > 1e-12, det, 1), yc**2 / np.maximum(cc, 1e-12))
     return w / w.max() if w.max() > 0 else w
 
 

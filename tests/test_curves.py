@@ -200,6 +200,22 @@ def test_nearest_donors_are_found_among_all_rows(spark):
     assert sorted(r.y for r in found if r.id == -30) == [2.0, 2.0] and all(r.x is None and r.y is None for r in found if r.id == -31)
 
 
+def test_window_function_adds_up_parts_of_a_field(spark):
+    rng = np.random.default_rng(3)
+    rows = [(f, float(t)) for f in ("a", None) for t in rng.uniform(5, 90, 300)] + [("b", 1.0)] * 9
+    grid = np.linspace(0.05, 1.0, 40)
+    visits = spark.createDataFrame(rows, "field string, t double").repartition(6)
+    found = periods.window_function(visits, grid)
+    assert "FlatMapGroupsInPandas" not in found._jdf.queryExecution().toString()
+    got = {(r.field, r.k): r.w for r in found.collect()}
+    assert len(got) == 80
+    for field in ("a", None):
+        t = np.array([x for f, x in rows if f == field])
+        x = 2 * np.pi * grid[:, None] * (t - t.min())
+        design = [np.linalg.lstsq(np.stack([np.cos(v), np.sin(v)], axis=1), np.ones(len(t)), rcond=None)[0] @ np.array([np.cos(v).sum(), np.sin(v).sum()]) for v in x]
+        assert np.allclose([got[field, k] for k in range(40)], np.array(design) / max(design))
+
+
 def test_network_trains(spark):
     x = spark.createDataFrame([(k, float(k % 7), float(k % 5), int(k % 7 > 3)) for k in range(120)], "id long, a double, b double, y int")
     model = modelling.train_network(x, ["a", "b"], hidden=[4])
