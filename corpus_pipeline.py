@@ -15,7 +15,7 @@ from starfold.llm.common import shared_checkpoint
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps documents in which a language was found that has most of the text."""
+    """Keeps documents in which languages were found that have together enough of the text."""
     names, model = language_mix.learn(language_mix.learnable(docs))
     return language_mix.predict(docs, names, model, keep=docs.columns).filter(language_mix.accepted()).select(docs.columns)
 

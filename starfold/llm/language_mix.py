@@ -151,8 +151,8 @@ def learnable(docs: DataFrame) -> DataFrame:
 
 
 def accepted(min_score: float = 0.3) -> Column:
-    """The stage's verdict: a language was found and has most of the text."""
-    return (F.col("lang_pred") != UNKNOWN) & (F.col("score") >= min_score)
+    """The stage's verdict: the languages that were found have together at least ``min_score`` of the text, the background the rest."""
+    return (F.col("lang_pred") != UNKNOWN) & (F.aggregate("shares", F.lit(0.0), lambda s, x: s + x) >= min_score)
 
 
 def op2_language_mix(spark: SparkSession, sf_dir: str) -> DataFrame:

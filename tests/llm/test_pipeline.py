@@ -51,3 +51,11 @@ def test_near_copies_judge_rows_and_not_ids(spark):
     kept = [(r.doc_id, r.text) for r in corpus_pipeline.near_copies(spark, docs, "").collect()]
     expected = [rows[k] for k in (0, 2, 3, 4, 8, 9, 11, 12, 13)]
     assert sorted(kept, key=str) == sorted(expected, key=str)
+
+
+def test_language_accepts_mixed_documents(spark):
+    from starfold.llm import language_mix
+
+    rows = [(1, "aa", 0.25, [0.25, 0.24, 0.24, 0.22]), (2, "aa", 0.2, [0.2]), (3, "aa", 0.9, [0.9]), (4, language_mix.UNKNOWN, 0.0, [])]
+    found = spark.createDataFrame(rows, "doc_id long, lang_pred string, score double, shares array<double>").filter(language_mix.accepted())
+    assert {r.doc_id for r in found.collect()} == {1, 3}
