@@ -4,16 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from starfold.functions.photometry import flag_sum, magnitude, magnitude_error
 
-#: A curve of more points is thinned by the grouped operator, not inside one array expression.
-ARRAY_POINTS = 5000
-
-
 def unflagged(points: DataFrame, flag: str = "catflags") -> DataFrame:
     return points.filter(F.col(flag) == 0)
 
@@ -41,38 +38,53 @@ def with_magnitudes(points: DataFrame, flux: str = "flux", error: str = "flux_er
 
 
 def distinct_exposures(points: DataFrame, exposure: str, *required: str) -> DataFrame:
-    """Drops points that lack a required value, then repeated exposures."""
+    """Drops points that lack a required value, then repeated exposures (which of them stays isn't fixed unless they are equal)."""
     return points.na.drop(subset=[*required]).dropDuplicates([exposure])
 
 
 def thinned(points: Column, cadence_days: float) -> Column:
     """Greedy thinning of a sorted array of structs with field ``t``: a point stays if it is ``cadence_days`` or more after the last
-    point that stayed.  Positions that stay are gathered, then the array is filtered once."""
-    start = F.struct(F.lit(None).cast("double").alias("last"), F.array().cast("array<double>").alias("kept"))
+    point that stayed.  Points without a time go.  For long curves use :func:`thin`."""
+    none = F.filter(points, lambda _: F.lit(False))
+    start = F.struct(F.lit(None).cast("double").alias("last"), none.alias("kept"))
 
     def step(state: Column, p: Column) -> Column:
-        keep = state["last"].isNull() | (p["t"] - state["last"] >= cadence_days)
-        return F.when(keep, F.struct(p["t"].alias("last"), F.concat(state["kept"], F.array(p["t"])).alias("kept"))).otherwise(state)
+        keep = p["t"].isNotNull() & (state["last"].isNull() | (p["t"] - state["last"] >= cadence_days))
+        return F.when(keep, F.struct(p["t"].cast("double").alias("last"), F.concat(state["kept"], F.array(p)).alias("kept"))).otherwise(state)
+
+    return F.aggregate(points, start, step, lambda s: s["kept"])
+
 
-    kept = F.aggregate(points, start, step, lambda s: s["kept"])
-    # equal times: the first of them only
-    return F.filter(points, lambda p, i: F.array_contains(kept, p["t"]) & ((i == 0) | (F.get(points, i - 1)["t"] != p["t"])))
+def thinned_rows(t: np.ndarray, cadence_days: float, last: float | None = None) -> list[int]:
+    """Places of the sorted times that stay, after a point at ``last`` that stayed; each step jumps to the next one by bisection."""
+    rows, at = [], 0
+    if last is not None:
+        at = after(t, 0, last, cadence_days)
+    while at < len(t):
+        rows.append(at)
+        at = after(t, at + 1, t[at], cadence_days)
+    return rows
+
+
+def after(t: np.ndarray, lo: int, last: float, cadence_days: float) -> int:
+    """First place from ``lo`` on whose time less ``last`` is the cadence or more; the bisection's rounding is put right by steps."""
+    at = max(lo, int(np.searchsorted(t, last + cadence_days)))
+    while at > lo and t[at - 1] - last >= cadence_days:
+        at -= 1
+    while at < len(t) and t[at] - last < cadence_days:
+        at += 1
+    return at
 
 
 def thin(points: DataFrame, cadence_days: float, by: list[str] | None = None, tie: list[str] | None = None) -> DataFrame:
-    """Greedy thinning of long photometry; one shuffle by curve, linear in its points."""
+    """Greedy thinning of long photometry; one shuffle by curve.  Points without a time go."""
     by, tie = by or ["id"], tie or []
 
     def keep(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values(["t", *tie], kind="stable")
-        rows, last = [], None
-        for i, t in enumerate(frame["t"].to_numpy()):
-            if last is None or t - last >= cadence_days:
-                rows.append(i)
-                last = t
-        return frame.iloc[rows]
-
-    return points.groupBy(*by).applyInPandas(keep, points.schema)
+        return frame.iloc[thinned_rows(frame["t"].to_numpy(dtype=float), cadence_days)]
+
+    return points.filter(F.abs("t") < float("inf")).groupBy(*by).applyInPandas(keep, points.schema)
 
 
 def with_minimum(points: DataFrame, n: int, by: list[str] | None = None) -> DataFrame:

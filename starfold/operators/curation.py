@@ -39,7 +39,12 @@ def resolve_matches(pairs: DataFrame) -> DataFrame:
     return ranked.filter("r = 1").drop("r")
 
 
-def features_with_labels(features: DataFrame, labels: DataFrame, key: str = "id") -> DataFrame:
+def features_with_labels(features: DataFrame, labels: DataFrame, key: str = "id", most_lost: float | None = None) -> DataFrame:
+    """Inner join; with ``most_lost`` it's an error if a larger share of the labelled rows has no features."""
+    if most_lost is not None:
+        lost = labels.join(features.select(F.col(key).alias("__f")).distinct(), F.col(key) == F.col("__f"), "left").agg(F.avg(F.col("__f").isNull().cast("int")).alias("x")).first()["x"]
+        if lost is not None and lost > most_lost:
+            raise ValueError(f"{lost:.1%} of the labelled rows have no features; at most {most_lost:.1%} may lack them")
     return features.join(labels, key)
 
 
@@ -75,11 +80,10 @@ def pending(work: DataFrame, done: DataFrame, key: str) -> DataFrame:
 
 def chunk_numbers(rows: DataFrame, order: list[str], size: int) -> DataFrame:
     """Adds ``chunk`` numbers of ``size`` rows in order.  Rows are numbered by range partition, not in one task."""
-    spark = rows.sparkSession
     parts = rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__p", F.spark_partition_id()).withColumn("__i", F.monotonically_increasing_id())
     counts = parts.groupBy("__p").agg(F.count(F.lit(1)).alias("n"), F.min("__i").alias("__lo"))
     before = counts.withColumn("before", F.sum("n").over(Window.orderBy("__p")) - F.col("n")).select("__p", "__lo", "before")
-    del spark
+    # one row for each partition, so it's small
     numbered = parts.join(F.broadcast(before), "__p").withColumn("row", F.col("__i") - F.col("__lo") + F.col("before"))
     return numbered.withColumn("chunk", F.floor(F.col("row") / size)).drop("__p", "__i", "__lo", "before")
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from functools import reduce
 
@@ -22,14 +23,19 @@ def feature_stats(table: DataFrame, features: Sequence[str]) -> DataFrame:
     return table.agg(*out)
 
 
-def impute(table: DataFrame, strategies: dict[str, str], reference: DataFrame | None = None) -> DataFrame:
-    """Fills missing values: zero, median or mean (of ``reference``, or of the table); ``none`` drops rows without the value."""
-    statistics = {c: s for c, s in strategies.items() if s in ("median", "mean")}
+def impute(table: DataFrame, strategies: dict[str, str], reference: DataFrame | None = None, k: int = 5) -> DataFrame:
+    """Fills missing values (NULL or NaN), in this order: ``zero``; ``median`` and ``mean`` of ``reference``, or of the table; ``regress``, by
+    :func:`impute_nearest` on the features that have this strategy (the table needs an ``id``); at last ``none`` drops rows without the value."""
+    of = lambda *names: [c for c, s in strategies.items() if s in names]
     filled = table.withColumns({c: null_nan(F.col(c).cast("double")) for c in strategies})
-    values = (reference if reference is not None else table).transform(feature_stats, list(statistics)).first() if statistics else {}
-    fill = {c: 0.0 for c, s in strategies.items() if s == "zero"} | {c: values[f"{c}_{s}"] for c, s in statistics.items() if values[f"{c}_{s}"] is not None}
+    known = reference if reference is not None else table
+    values = known.transform(feature_stats, of("median", "mean")).first() if of("median", "mean") else {}
+    fill = {c: 0.0 for c in of("zero")} | {c: values[f"{c}_{strategies[c]}"] for c in of("median", "mean") if values[f"{c}_{strategies[c]}"] is not None}
     filled = filled.na.fill(fill) if fill else filled
-    return filled.na.drop(subset=[c for c, s in strategies.items() if s == "none"])
+    if near := of("regress"):
+        found = impute_nearest(filled.select("id", *near), near, known, k)
+        filled = filled.drop(*near).join(found, "id")
+    return filled.na.drop(subset=of("none")).select(table.columns)
 
 
 #: Donors, and rows that lack values, that are compared at once.
@@ -100,20 +106,37 @@ def binary_label(table: DataFrame, column: str, threshold: float = 0.5, out: str
     return table.withColumn(out, (F.col(column) > threshold).cast("int"))
 
 
+def hash_order(key: Column, seed: int) -> Column:
+    """A hash of a key as hexadecimal text: random choices go by its order, so they are the same however the rows are dealt."""
+    return F.md5(F.concat_ws("/", key.cast("string"), F.lit(str(seed))))
+
+
+def up_to_row(key: Column, seed: int, last) -> Column:
+    """Whether a key stands no later in :func:`hash_order` than the row ``last`` (h, k)."""
+    h = hash_order(key, seed)
+    return (h < last["h"]) | ((h == last["h"]) & (key <= last["k"]))
+
+
 def split_of(key: Column, seed: int = 42, test: float = 0.1, validation: float = 0.1) -> Column:
-    """train, val or test by a hash of the key: the same however the rows are dealt."""
-    u = F.pmod(F.crc32(F.concat_ws("/", key.cast("string"), F.lit(str(seed)))), F.lit(1_000_000)) / 1_000_000
-    return F.when(u < test, "test").when(u < test + (1 - test) * validation, "val").otherwise("train")
+    """train, val or test by a hash of the key."""
+    below = lambda share: F.substring(hash_order(key, seed), 1, 8) < f"{min(int(share * 2**32), 2**32 - 1):08x}"
+    return F.when(below(test), "test").when(below(test + (1 - test) * validation), "val").otherwise("train")
 
 
-def downsampled(table: DataFrame, balance: float, label: str = "y", key: str = "id") -> DataFrame:
-    """Keeps at most ``balance`` times as many rows of the larger class as the smaller has, by hash order."""
+def downsampled(table: DataFrame, balance: float, label: str = "y", key: str = "id", seed: int = 1) -> DataFrame:
+    """Adds ``kept``: all rows of the smaller class, and of the larger at most ``balance`` times as many, by hash order.
+
+    The rows that aren't kept stay in the table, as the dropped set.
+    """
     counts = {r[label]: r["n"] for r in table.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}
     few, many = min(counts.get(0, 0), counts.get(1, 0)), max(counts.get(0, 0), counts.get(1, 0))
     keep, large = int(min(many, few * balance)), (1 if counts.get(1, 0) > counts.get(0, 0) else 0)
-    order = [F.crc32(F.col(key).cast("string")), F.col(key)]
-    major = table.filter(F.col(label) == large).orderBy(*order).limit(keep)
-    return table.filter(F.col(label) != large).unionByName(major)
+    order = F.struct(hash_order(F.col(key), seed).alias("h"), F.col(key).alias("k"))
+    # the last row of the larger class that is kept: a top-k of which only the end comes to the driver
+    major = table.filter(F.col(label) == large).select(order.alias("o"))
+    last = major.orderBy("o").offset(keep - 1).limit(1).first() if keep else None
+    inside = up_to_row(F.col(key), seed, last["o"]) if last else F.lit(False)
+    return table.withColumn("kept", (F.col(label) != large) | inside)
 
 
 def class_weights(table: DataFrame, label: str = "y") -> DataFrame:
@@ -153,23 +176,57 @@ def roc_auc(scored: DataFrame, label: str = "y", score: str = "p") -> DataFrame:
     return roc_points(scored, label, score).agg(F.try_divide(area, F.sum("pos") * F.sum("neg")).alias("auc"))
 
 
+def precision_recall(scored: DataFrame, label: str = "y", score: str = "p") -> DataFrame:
+    """(score, precision, recall): the curve's points, one for each distinct score as the threshold."""
+    total = F.sum("pos").over(Window.partitionBy())
+    return roc_points(scored, label, score).select(score, (F.col("tp") / (F.col("tp") + F.col("fp"))).alias("precision"), F.try_divide("tp", total).alias("recall"))
+
+
+def class_gate(labels: DataFrame, thresholds: dict[str, float], min_count: int) -> DataFrame:
+    """(class, n_positive) of the classes that have more than ``min_count`` examples above their threshold: those worth a model."""
+    counts = labels.agg(*[F.count_if(F.col(c) > t).alias(c) for c, t in thresholds.items()])
+    return counts.unpivot([], list(thresholds), "class", "n_positive").filter(F.col("n_positive") > min_count)
+
+
+def latest(rows: DataFrame, by: str, created: str, columns: Sequence[str]) -> DataFrame:
+    """The most recent row of each ``by``: its time and ``columns``; equal times go to the largest columns."""
+    newest = F.max(F.struct(created, *columns)).alias("x")
+    return rows.groupBy(by).agg(newest).select(by, "x.*")
+
+
 def assemble(table: DataFrame, features: Sequence[str], label: str = "y") -> DataFrame:
     from pyspark.ml.feature import VectorAssembler
 
     return VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="skip").transform(table).withColumn(label, F.col(label).cast("double"))
 
 
-def train_trees(table: DataFrame, features: Sequence[str], label: str = "y", depths: Sequence[int] = (3, 5), rounds: Sequence[int] = (10, 20), folds: int = 3):
-    """Boosted trees, tuned by cross-validation on the area under the ROC curve; gives (model, importances)."""
+#: Parameters of boosted trees that are tuned one stage after another, each stage keeping the best of those before.
+STAGES = ({"maxDepth": (3, 5)}, {"minInstancesPerNode": (1, 5)}, {"subsamplingRate": (0.5, 0.7, 0.9)}, {"featureSubsetStrategy": ("all", "onethird")}, {"stepSize": (0.05, 0.1, 0.3)})
+
+
+def train_trees(table: DataFrame, features: Sequence[str], label: str = "y", stages: Sequence[dict[str, Sequence]] = STAGES, most: int = 30, folds: int = 3):
+    """Boosted trees: parameters tuned stage by stage with cross-validation on the area under the ROC curve, then as many rounds as are best
+    on the validation rows; gives (model, importances, chosen parameters)."""
     from pyspark.ml.classification import GBTClassifier
     from pyspark.ml.evaluation import BinaryClassificationEvaluator
     from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 
-    trees = GBTClassifier(featuresCol="features", labelCol=label, seed=42, stepSize=0.1, subsamplingRate=0.7)
-    grid = ParamGridBuilder().addGrid(trees.maxDepth, list(depths)).addGrid(trees.maxIter, list(rounds)).build()
-    tuned = CrossValidator(estimator=trees, estimatorParamMaps=grid, evaluator=BinaryClassificationEvaluator(labelCol=label), numFolds=folds, seed=42)
-    model = tuned.fit(assemble(table, features, label)).bestModel
-    return model, sorted(zip(features, model.featureImportances.toArray()), key=lambda x: -x[1])
+    judge = BinaryClassificationEvaluator(labelCol=label)
+    rows = assemble(table, features, label)
+    chosen: dict = {}
+    make = lambda rounds: GBTClassifier(featuresCol="features", labelCol=label, seed=42, maxIter=rounds, **{"stepSize": 0.1, "subsamplingRate": 0.7, **chosen})
+    for stage in stages:
+        grid = ParamGridBuilder()
+        for name, values in stage.items():
+            grid = grid.addGrid(GBTClassifier().getParam(name), list(values))
+        trees = make(max(2, most // 5))
+        grid = [{trees.getParam(p.name): v for p, v in x.items()} for x in grid.build()]
+        scores = CrossValidator(estimator=trees, estimatorParamMaps=grid, evaluator=judge, numFolds=folds, seed=42).fit(rows).avgMetrics
+        chosen |= {p.name: v for p, v in grid[int(np.argmax(scores))].items()}
+    # early stopping: rounds go on while the validation rows gain
+    model = make(most).setValidationIndicatorCol("__held").fit(rows.withColumn("__held", split_of(F.xxhash64(*features), test=0.2) == "test"))
+    importances = sorted(zip(features, model.featureImportances.toArray().tolist()), key=lambda x: -x[1])
+    return model, importances, chosen
 
 
 def train_network(table: DataFrame, features: Sequence[str], label: str = "y", hidden: Sequence[int] = (32, 16)):
@@ -188,6 +245,12 @@ def score(table: DataFrame, model, features: Sequence[str], column: str, label:
     return model.transform(rows).select(*table.columns, F.bround(vector_to_array("probability")[1], 2).alias(column))
 
 
+def log_edges(low: float, high: float, bins: int) -> list[float]:
+    """``bins`` bins of equal width in the logarithm."""
+    step = math.log10(high / low) / bins
+    return [*(low * 10 ** (step * i) for i in range(bins)), high]
+
+
 def histogram(values: DataFrame, column: str, edges: Sequence[float]) -> DataFrame:
     """(bin, n, share): left-closed bins, the last one closed on both sides."""
     last = len(edges) - 2

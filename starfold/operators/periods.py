@@ -2,6 +2,9 @@
 
 A kernel takes one curve and a grid and gives a periodogram; curves are independent, so a search is one grouped pass over
 the curves.  The grid is worked through in blocks, and only peaks leave the task unless the periodogram is asked for.
+
+Defined results: points that lack a time, magnitude or error, or whose error isn't positive, are left out (:func:`usable`); a curve without
+points left gives no rows; an empty grid gives empty periodograms; a kernel that can't judge a curve gives NaN, of which there are no peaks.
 """
 
 from __future__ import annotations
@@ -14,11 +17,20 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from starfold.functions.photometry import null_nan
+from starfold.operators.spatial import field_of
+
 #: Numbers in a temporary array of a kernel.
 BLOCK = 2_000_000
 PHASE_BINS, MAG_BINS = 20, 10
 
 
+def usable(points: DataFrame, *more: str) -> DataFrame:
+    """(id, t, m, e, ...) of the points that have finite values and a positive error."""
+    finite = lambda c: F.abs(F.col(c)) < float("inf")  # noqa: E731  neither NULL nor NaN, which is above infinity
+    return points.select("id", *more, *[F.col(c).cast("double").alias(c) for c in ("t", "m", "e")]).filter(finite("t") & finite("m") & finite("e") & (F.col("e") > 0))
+
+
 def blocks(freqs: np.ndarray, points: int):
     size = max(1, BLOCK // max(1, points))
     for lo in range(0, len(freqs), size):
@@ -30,12 +42,13 @@ def lomb_scargle(t: np.ndarray, m: np.ndarray, e: np.ndarray, freqs: np.ndarray)
     w = 1 / e**2
     w = w / w.sum()
     y = m - w @ m
-    out = []
+    out = [np.zeros(0)]
     for f in blocks(freqs, len(t)):
         x = 2 * np.pi * f[:, None] * (t - t.min())
         c, s = np.cos(x), np.sin(x)
         yc, ys, cc, ss, cs = (c * (w * y)).sum(1), (s * (w * y)).sum(1), (w * c * c).sum(1), (w * s * s).sum(1), (w * c * s).sum(1)
-        out.append((ss * yc**2 + cc * ys**2 - 2 * cs * yc * ys) / (((w * y * y).sum()) * (cc * ss - cs**2)))
+        with np.errstate(divide="ignore", invalid="ignore"):
+            out.append((ss * yc**2 + cc * ys**2 - 2 * cs * yc * ys) / (((w * y * y).sum()) * (cc * ss - cs**2)))
     return np.concatenate(out)
 
 
@@ -48,7 +61,7 @@ def conditional_entropy(t: np.ndarray, m: np.ndarray, e: np.ndarray, freqs: np.n
     """Entropy of the magnitude bin given the phase bin; the period is where it is least."""
     span = m.max() - m.min()
     j = np.minimum(((m - m.min()) / span * MAG_BINS).astype(np.int64), MAG_BINS - 1) if span > 0 else np.zeros(len(m), dtype=np.int64)
-    out = []
+    out = [np.zeros(0)]
     for f in blocks(freqs, len(t)):
         i = phase_bins(t, f, PHASE_BINS)
         cell = (np.arange(len(f))[:, None] * PHASE_BINS + i) * MAG_BINS + j
@@ -66,7 +79,7 @@ def binned(t: np.ndarray, values: np.ndarray, f: np.ndarray, bins: int) -> np.nd
 def analysis_of_variance(t: np.ndarray, m: np.ndarray, e: np.ndarray, freqs: np.ndarray) -> np.ndarray:
     """Variance between phase bins over variance within them."""
     y = m - m.mean()
-    out = []
+    out = [np.zeros(0)]
     for f in blocks(freqs, len(t)):
         n, s = binned(t, np.ones_like(y), f, PHASE_BINS), binned(t, y, f, PHASE_BINS)
         r = (n > 0).sum(1)
@@ -80,10 +93,11 @@ def phase_weighted(t: np.ndarray, m: np.ndarray, e: np.ndarray, freqs: np.ndarra
     """Share of the weighted scatter that a constant in each phase bin takes away."""
     w = 1 / e**2
     y = m - (w @ m) / w.sum()
-    out = []
+    out = [np.zeros(0)]
     for f in blocks(freqs, len(t)):
         sw, swy = binned(t, w, f, PHASE_BINS), binned(t, w * y, f, PHASE_BINS)
-        out.append(np.where(sw > 0, swy**2 / np.where(sw > 0, sw, 1), 0).sum(1) / (w @ (y * y)))
+        with np.errstate(divide="ignore", invalid="ignore"):
+            out.append(np.where(sw > 0, swy**2 / np.where(sw > 0, sw, 1), 0).sum(1) / (w @ (y * y)))
     return np.concatenate(out)
 
 
@@ -93,7 +107,7 @@ def box_least_squares(t: np.ndarray, m: np.ndarray, e: np.ndarray, freqs: np.nda
     w = w / w.sum()
     y = w * (m - w @ m)
     widths = range(max(1, math.ceil(low * bins)), math.floor(high * bins) + 1)
-    out = []
+    out = [np.zeros(0)]
     for f in blocks(freqs, max(len(t), bins)):
         r, s = binned(t, w, f, bins), binned(t, y, f, bins)
         r, s = (np.concatenate([np.zeros((len(f), 1)), np.cumsum(np.concatenate([x, x], axis=1), axis=1)], axis=1) for x in (r, s))
@@ -118,14 +132,42 @@ def harmonic_fit(t: np.ndarray, y: np.ndarray, e: np.ndarray, f: float, terms: i
     return float(rest @ rest), found
 
 
+def harmonic_gains(t: np.ndarray, m: np.ndarray, e: np.ndarray, freqs: np.ndarray, most: int = 3) -> np.ndarray:
+    """Gain of 1 to ``most`` harmonics over a constant by the Bayesian information criterion, a column for each number.
+
+    Least squares by normal equations, for a block of frequencies at once.  A number of harmonics that needs as many numbers as there are
+    points, or more, gains nothing.
+    """
+    w, price = 1 / e**2, math.log(len(t))
+    y = m - (w @ m) / w.sum()
+    flat = float(w @ (y * y)) + price
+    out = [np.zeros((0, most))]
+    for f in blocks(freqs, len(t) * (1 + 2 * most)):
+        x = 2 * np.pi * f[:, None] * (t - t.min())
+        design = np.stack([np.ones_like(x), *[g(k * x) for k in range(1, most + 1) for g in (np.cos, np.sin)]], axis=2)
+        left, right = np.swapaxes(design * w[:, None], 1, 2) @ design, design.transpose(0, 2, 1) @ (w * y)
+        gains = np.full((len(f), most), -np.inf)
+        for k in range(1, most + 1):
+            size = 1 + 2 * k
+            if size >= len(t):
+                continue
+            a, b = left[:, :size, :size], right[:, :size]
+            # frequencies at which the columns depend on each other are solved for the least norm
+            sound = np.linalg.cond(a) < 1e10
+            taken = np.zeros(len(f))
+            if sound.any():
+                taken[sound] = np.einsum("fp,fp->f", b[sound], np.linalg.solve(a[sound], b[sound][..., None])[..., 0])
+            if not sound.all():
+                taken[~sound] = np.einsum("fp,fpq,fq->f", b[~sound], np.linalg.pinv(a[~sound], rcond=1e-10, hermitian=True), b[~sound])
+            gains[:, k - 1] = flat - np.maximum(flat - price - taken, 0) - price * size
+        out.append(gains)
+    return np.concatenate(out)
+
+
 def multi_harmonic(t: np.ndarray, m: np.ndarray, e: np.ndarray, freqs: np.ndarray, most: int = 3) -> np.ndarray:
-    """Gain of the best number of harmonics over a constant, by the Bayesian information criterion."""
-    price = math.log(len(t))
-    out = np.zeros(len(freqs))
-    flat = harmonic_fit(t, m, e, 1.0, 0)[0] + price
-    for i, f in enumerate(freqs):
-        out[i] = max(flat - harmonic_fit(t, m, e, f, k)[0] - price * (1 + 2 * k) for k in range(1, most + 1))
-    return out
+    """Gain of the best number of harmonics over a constant."""
+    best = harmonic_gains(t, m, e, freqs, most).max(axis=1)
+    return np.where(np.isfinite(best), best, np.nan)
 
 
 Kernel = Callable[[np.ndarray, np.ndarray, np.ndarray, np.ndarray], np.ndarray]
@@ -150,19 +192,14 @@ def periodograms(points: DataFrame, freqs: np.ndarray, names: list[str]) -> Data
         t, m, e = (frame[c].to_numpy(dtype=float) for c in ("t", "m", "e"))
         return pd.DataFrame({"id": frame["id"].iloc[0], "k": np.arange(len(freqs)), "freq": freqs} | {n: KERNELS[n](t, m, e, freqs) for n in names})
 
-    return points.select("id", "t", "m", "e").groupBy("id").applyInPandas(work, "id long, k int, freq double, " + ", ".join(f"{n} double" for n in names))
-
-
-def extremum(power: np.ndarray, name: str) -> tuple[int, float]:
-    """(bin, significance): distance of the extremum from the mean in population standard deviations."""
-    k = int(np.nanargmin(power) if name == "CE" else np.nanargmax(power))
-    spread = np.nanstd(power)
-    return k, float(abs(np.nanmean(power) - power[k]) / spread) if spread > 0 else math.nan
+    return usable(points).groupBy("id").applyInPandas(work, "id long, k int, freq double, " + ", ".join(f"{n} double" for n in names))
 
 
 def top_peaks(power: np.ndarray, freqs: np.ndarray, name: str, top: int, parts: int = 3) -> list[tuple[float, float]]:
     """Best bin of each of ``parts * top`` chunks of the grid, in order of significance: (period, significance)."""
     sign = -1.0 if name == "CE" else 1.0
+    if np.isnan(power).all():
+        return []
     spread, mean = np.nanstd(power), np.nanmean(power)
     if not spread > 0:
         return []
@@ -177,17 +214,60 @@ def top_peaks(power: np.ndarray, freqs: np.ndarray, name: str, top: int, parts:
     return [(1 / freqs[k], float(abs(mean - power[k]) / spread)) for k in best]
 
 
-def search(points: DataFrame, freqs: np.ndarray, names: list[str], top: int = 8) -> DataFrame:
-    """(id, algorithm, rank from 1, period, significance): one pass over the curves for all algorithms."""
+def search(points: DataFrame, freqs: np.ndarray, names: list[str], top: int = 8, padded: bool = False) -> DataFrame:
+    """(id, algorithm, rank from 1, period, significance): one pass over the curves for all algorithms.
+
+    With ``padded`` each curve has ``top`` ranks for each algorithm; those without a peak have NULL.
+    """
     names = [algorithm(n) for n in names]
 
     def work(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values(["t", "m", "e"])
         t, m, e = (frame[c].to_numpy(dtype=float) for c in ("t", "m", "e"))
-        rows = [(frame["id"].iloc[0], n, r, p, s) for n in names for r, (p, s) in enumerate(top_peaks(KERNELS[n](t, m, e, freqs), freqs, n, top), 1)]
-        return pd.DataFrame(rows, columns=["id", "algorithm", "rank", "period", "significance"])
+        rows = []
+        for n in names:
+            peaks = top_peaks(KERNELS[n](t, m, e, freqs), freqs, n, top)
+            rows += [(n, r, p, s) for r, (p, s) in enumerate(peaks + [(None, None)] * (padded * (top - len(peaks))), 1)]
+        found = pd.DataFrame(rows, columns=["algorithm", "rank", "period", "significance"])
+        found.insert(0, "id", frame["id"].iloc[0])
+        return found.astype({"period": float, "significance": float})
+
+    found = usable(points).groupBy("id").applyInPandas(work, "id long, algorithm string, rank int, period double, significance double")
+    return found.withColumns({c: null_nan(F.col(c)) for c in ("period", "significance")})
 
-    return points.select("id", "t", "m", "e").groupBy("id").applyInPandas(work, "id long, algorithm string, rank int, period double, significance double")
+
+def prepared(points: DataFrame, by_band: bool = False) -> DataFrame:
+    """(id, [band,] t, m, e) as the search takes them: times since the curve's first, magnitudes over their range (as they are where that is 0).
+
+    With ``by_band`` the weighted mean of each band of a curve is taken off first, and then the least of the curve.
+    """
+    curve, band = Window.partitionBy("id"), Window.partitionBy("id", "band")
+    rows = usable(points, *["band"] * by_band)
+    if by_band:
+        w = 1 / F.greatest(F.col("e") * F.col("e"), F.lit(1e-30))
+        rows = rows.withColumn("m", F.col("m") - F.sum(w * F.col("m")).over(band) / F.sum(w).over(band))
+        rows = rows.withColumn("m", F.col("m") - F.min("m").over(curve))
+    span = F.max("m").over(curve) - F.min("m").over(curve)
+    return rows.withColumns({"t": F.col("t") - F.min("t").over(curve), "m": F.when(span > 0, F.col("m") / span).otherwise(F.col("m"))})
+
+
+def harmonic_features(points: DataFrame, periods: DataFrame, most: int = 3, by_band: bool = False) -> DataFrame:
+    """(id, gain_0, gain_1, ..., best): gain of each number of harmonics at the curve's period over a constant, and the number of the largest.
+
+    ``periods``: id, period.  Curves without a positive period give no row; a number of harmonics that the points don't suffice for is NULL.
+    """
+    columns = [f"gain_{k}" for k in range(most + 1)]
+
+    def work(frame: pd.DataFrame) -> pd.DataFrame:
+        frame = frame.sort_values(["t", "m", "e"])
+        t, m, e = (frame[c].to_numpy(dtype=float) for c in ("t", "m", "e"))
+        gains = [0.0, *harmonic_gains(t, m, e, np.array([1 / frame["period"].iloc[0]]), most)[0]]
+        row = [g if math.isfinite(g) else math.nan for g in gains]
+        return pd.DataFrame([[frame["id"].iloc[0], *row, int(np.argmax(gains))]], columns=["id", *columns, "best"])
+
+    wanted = periods.select("id", "period").filter((F.col("period") > 0) & (F.col("period") < float("inf")))
+    found = prepared(points, by_band).select("id", "t", "m", "e").join(wanted, "id").groupBy("id").applyInPandas(work, "id long, " + ", ".join(f"{c} double" for c in columns) + ", best int")
+    return found.withColumns({c: null_nan(F.col(c)) for c in columns})
 
 
 def significance(periodogram: DataFrame, name: str) -> DataFrame:
@@ -235,7 +315,7 @@ def fourier(points: DataFrame, periods: DataFrame, most: int = 5) -> DataFrame:
         row = [(fits[0][0] - fits[k][0]) / fits[0][0] if fits[0][0] > 0 else math.nan, cost[k], found[0], found[1], *amplitudes(a, b)]
         return pd.DataFrame([[frame["id"].iloc[0], *row]], columns=["id", *FOURIER])
 
-    joined = points.select("id", "t", "m", "e").join(periods.select("id", "period"), "id")
+    joined = usable(points).join(periods.select("id", "period").filter("period > 0"), "id")
     return joined.groupBy("id").applyInPandas(work, "id long, " + ", ".join(f"{c} double" for c in FOURIER))
 
 
@@ -265,7 +345,7 @@ def window_function(visits: DataFrame, freqs: np.ndarray, least: int = 10) -> Da
     Tasks add up the sines and cosines of their own visits, and only these sums are gathered by field.
     """
     sums = ["c", "s", "cc", "ss", "cs"]
-    visits = visits.select(F.col("field").cast("string").alias("field"), F.col("t").cast("double").alias("t")).filter("t is not null")
+    visits = visits.select(F.col("field").cast("string").alias("field"), F.col("t").cast("double").alias("t")).filter(F.abs("t") < float("inf"))
     began = visits.groupBy(F.col("field").alias("__field")).agg(F.min("t").alias("__first"))
     since = visits.join(began, F.col("field").eqNullSafe(F.col("__field"))).select("field", (F.col("t") - F.col("__first")).alias("t"))
 
@@ -323,6 +403,23 @@ def alias_zones(window: DataFrame, bins: int, threshold: float = 0.5, expand: in
     return edges.select("field", F.greatest(F.col("lo") - expand, F.lit(0)).alias("k_lo"), F.least(F.col("hi") + expand, F.lit(bins - 1)).alias("k_hi"))
 
 
+def field_alias_map(visits: DataFrame, freqs: np.ndarray, threshold: float = 0.5, expand: int = 3, ra: str | None = "ra") -> DataFrame:
+    """(field, lo, hi): alias zones in frequency of each named field of the visits (t, ra); without ``ra`` all visits are the field ALL.
+
+    Visits outside every field, and fields of fewer visits than :func:`window_function` takes, have no zones.
+    """
+    field = field_of(F.col(ra)) if ra else F.lit("ALL")
+    placed = visits.select(field.alias("field"), "t").filter("field is not null")
+    zones = alias_zones(window_function(placed, freqs), len(freqs), threshold, expand)
+    at = lambda c: F.get(F.lit(freqs.tolist()), F.col(c))
+    return zones.select("field", at("k_lo").alias("lo"), at("k_hi").alias("hi"))
+
+
+def merged_zones(zones: DataFrame) -> DataFrame:
+    """(lo, hi): the zones of all fields, each range once."""
+    return zones.select("lo", "hi").distinct()
+
+
 def detrended(periodogram: DataFrame, window: DataFrame, name: str, floor: float = 0.01) -> DataFrame:
     """Periodograms (id, field, k, ``name``) over their field's window function."""
     return periodogram.join(window.select("field", "k", "w"), ["field", "k"]).withColumn(name, F.col(name) / F.greatest("w", F.lit(floor))).drop("w")

@@ -7,6 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from starfold.functions.photometry import null_nan
+from starfold.operators.modelling import hash_order, up_to_row
+
 #: Ids that name a source, in order of preference; 0 is "none".
 SURVEYS = ("Gaia_EDR3___id", "AllWISE___id", "PS1_DR1___id")
 
@@ -66,10 +69,28 @@ def top_for_each_class(scores: DataFrame, columns: Sequence[str], n: int, thresh
 def sample_for_each_class(scores: DataFrame, columns: Sequence[str], n: int, threshold: float, seed: int = 9) -> DataFrame:
     """(class, id): ``n`` rows of each class that reach the threshold, least hash first; a row may serve several classes."""
     long = scores.unpivot(["id"], list(columns), "class", "score").filter(F.col("score") >= threshold)
-    order = [F.crc32(F.concat_ws("/", F.col("id").cast("string"), F.lit(str(seed)))), F.col("id")]
+    order = [hash_order(F.col("id"), seed), F.col("id")]
     return long.withColumn("r", F.row_number().over(Window.partitionBy("class").orderBy(*order))).filter(F.col("r") <= n).select("class", "id")
 
 
+def sample_counting_selected(scores: DataFrame, columns: Sequence[str], n: int, threshold: float, seed: int = 9) -> DataFrame:
+    """Rows chosen class by class until ``n`` of each reach the threshold: rows that an earlier class chose count for later ones.
+
+    Each class takes what it still needs from the rest, least hash first.  Only counts and the last row taken come to the driver.
+    """
+    order = F.struct(hash_order(F.col("id"), seed).alias("h"), F.col("id").alias("k"))
+    chosen = F.lit(False)
+    for c in columns:
+        able = F.coalesce(F.col(c) >= threshold, F.lit(False))
+        needed = n - scores.agg(F.count_if(able & chosen).alias("n")).first()["n"]
+        if needed <= 0:
+            continue
+        rest = scores.filter(able & ~chosen).select(order.alias("o"))
+        last = rest.orderBy("o").offset(needed - 1).limit(1).first()
+        chosen = chosen | (able & up_to_row(F.col("id"), seed, last["o"]) if last else able)
+    return scores.filter(chosen)
+
+
 def union_of_tops(parts: Sequence[DataFrame], key: str = "obj_id") -> DataFrame:
     """Union of selections: missing scores are 0, the largest of each source counts."""
     whole = parts[0]
@@ -101,6 +122,28 @@ def compare_runs(a: DataFrame, b: DataFrame, column: str, key: str = "id") -> Da
     return both.agg(F.count(F.lit(1)).alias("common"), F.count_if(F.col("y") > F.col("x")).alias("better"), F.count_if(F.col("y") == F.col("x")).alias("same"), F.count_if(F.col("y") < F.col("x")).alias("worse"))
 
 
+def compare_ranks(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Two runs of ranked periods (id, algorithm, rank, period): for each algorithm and rank of the second, how many sources have a period,
+    its median, its range, and how many equal the first run's best within 5 %."""
+    first = a.filter("rank = 1").select("id", "algorithm", F.col("period").alias("first"))
+    both = b.filter(F.col("period") > 0).join(first, ["id", "algorithm"])
+    same = F.abs(F.try_divide("period", "first") - 1) < 0.05
+    return both.groupBy("algorithm", "rank").agg(F.count(F.lit(1)).alias("n"), F.percentile("period", F.lit(0.5)).alias("median"), F.min("period").alias("lo"), F.max("period").alias("hi"), F.count_if(same).alias("same"))
+
+
+def described(table: DataFrame, column: str) -> DataFrame:
+    """One row: count, mean, standard deviation, minimum, quartiles and maximum of a column without NULL and NaN."""
+    x = null_nan(F.col(column).cast("double"))
+    q = F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("q")
+    found = table.agg(F.count(x).alias("count"), F.avg(x).alias("mean"), F.stddev(x).alias("std"), F.min(x).alias("min"), q, F.max(x).alias("max"))
+    return found.select("count", "mean", "std", "min", *[F.col("q")[i].alias(f"q{p}") for i, p in enumerate((25, 50, 75))], "max")
+
+
+def with_object_names(rows: DataFrame, names: DataFrame) -> DataFrame:
+    """All rows of predictions with the ``obj_id`` that their ``survey_id`` has in ``names`` (survey_id, obj_id); rows without one vanish."""
+    return rows.withColumn("survey_id", survey_id()).join(names.select("survey_id", "obj_id").dropDuplicates(["survey_id"]), "survey_id")
+
+
 def spurious_fraction(periods: DataFrame, shortest: float = 0.007) -> DataFrame:
     """Share of periods below the shortest credible one, for each algorithm."""
     return periods.groupBy("algorithm").agg(F.avg((F.col("period") < shortest).cast("int")).alias("fraction"))

@@ -71,6 +71,53 @@ def basic_stats(points: DataFrame, by: str = "id", tie: list[str] | None = None)
     return sums.select(by, F.when(enough, n).alias("n"), *[F.when(enough, x).alias(k) for k, x in found.items()])
 
 
+def simple_features(points: DataFrame, by: str = "id", tie: list[str] | None = None) -> DataFrame:
+    """Widely used features of (``by``, t, m, e) that need no fit: cadence, location, spread, flux percentiles and slopes.
+
+    Flux percentiles are of 10 ** (-0.4 m).  Features of pairs of points are NULL for a single point; equal times give no slope.
+    """
+    own = Window.partitionBy(by)
+    order = own.orderBy("t", *(tie or ["m", "e"]))
+    p = F.percentile("m", F.lit(0.5)).over(own)
+    rows = points.withColumns({"dt": F.lead("t").over(order) - F.col("t"), "dm": F.lead("m").over(order) - F.col("m"), "median": p, "mean": F.avg("m").over(own), "std": F.stddev_pop("m").over(own), "span": F.max("m").over(own) - F.min("m").over(own)})
+    w = 1 / (F.col("e") * F.col("e"))
+    levels = [0.05, 0.175, 0.25, 0.325, 0.4, 0.5, 0.6, 0.675, 0.75, 0.825, 0.95]
+    flux = F.pow(F.lit(10.0), -0.4 * F.col("m"))
+    share = lambda x: F.avg(x.cast("int"))
+    sums = rows.groupBy(by).agg(
+        F.count(F.lit(1)).alias("n_epochs"),
+        (F.max("t") - F.min("t")).alias("total_time"),
+        F.avg("dt").alias("cads_avg"),
+        F.percentile("dt", F.lit(0.5)).alias("cads_med"),
+        F.stddev_pop("dt").alias("cads_std"),
+        F.avg("t").alias("avgt"),
+        F.avg("m").alias("mean"),
+        F.avg("e").alias("avg_err"),
+        F.percentile("e", F.lit(0.5)).alias("med_err"),
+        F.stddev_pop("e").alias("std_err"),
+        F.stddev_pop("m").alias("std"),
+        (F.sum(F.col("m") * w) / F.sum(w)).alias("weighted_average"),
+        F.min("m").alias("minimum"),
+        F.max("m").alias("maximum"),
+        F.first("median").alias("median"),
+        F.skewness("m").alias("skew"),
+        F.percentile(F.abs(F.col("m") - F.col("median")), F.lit(0.5)).alias("median_absolute_deviation"),
+        share(F.abs(F.col("m") - F.col("mean")) > F.col("std")).alias("percent_beyond_1_std"),
+        share(F.abs(F.col("m") - F.col("median")) < 0.2 * F.col("span") / 2).alias("percent_close_to_median"),
+        F.max(F.when(F.col("dt") > 0, F.abs(F.col("dm") / F.col("dt")))).alias("max_slope"),
+        F.percentile(flux, F.array(*map(F.lit, levels))).alias("q"),
+        F.pow(F.lit(10.0), -0.4 * F.first("median")).alias("f"),
+        F.min(flux).alias("f_lo"),
+        F.max(flux).alias("f_hi"),
+    )
+    q = dict(zip(levels, (F.col("q")[i] for i in range(len(levels)))))
+    wide = q[0.95] - q[0.05]
+    mid = {20: (0.4, 0.6), 35: (0.325, 0.675), 50: (0.25, 0.75), 65: (0.175, 0.825)}
+    more = {f"flux_percentile_ratio_mid{k}": F.try_divide(q[hi] - q[lo], wide) for k, (lo, hi) in mid.items()}
+    more |= {"percent_difference_flux_percentile": F.try_divide(wide, F.col("f")), "percent_amplitude": F.greatest(F.abs(F.col("f_hi") - F.col("f")), F.abs(F.col("f_lo") - F.col("f"))) / F.col("f"), "amplitude": (F.col("maximum") - F.col("minimum")) / 2}
+    return sums.select(*[c for c in sums.columns if c not in ("q", "f", "f_lo", "f_hi")], *[x.alias(c) for c, x in more.items()])
+
+
 def anderson_darling(x: np.ndarray) -> float:
     """Normality statistic with estimated mean and standard deviation."""
     n = len(x)

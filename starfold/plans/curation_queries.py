@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starfold.operators import curation
+from starfold.operators import curation, spatial
 from starfold.plans.catalogue import query
-from starfold.plans.roles import PREDICTIONS, place, positions, predictions, table
+from starfold.plans.roles import PREDICTIONS, place, positions, predictions, separation, table
 
 MAPPER = {"1-URGENT": "urgent", "2-HIGH": "high", "3-MEDIUM": "medium", "absent": "absent"}
 LISTS = "votes as (select o_custkey as id, o_orderpriority as classification, sum(o_orderkey % 5 - 1) as votes from orders group by all)"
@@ -47,21 +47,24 @@ def label_expand_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return curation.expand_labels(label_sources(spark, sf_dir), MAPPER, min_votes=1)
 
 
+CLAIM = 6.0
+
+
 @query(
     "ambiguous_match",
-    f"""with t as (select {place('s_suppkey')} from supplier), c as (select {place('c_custkey')} from customer), p as (select t.id as source, c.id as rid, t.ra, t.dec, c.ra as r_ra, c.dec as r_dec from t join c on (c.id + t.id) % 10 < 2)
+    f"""with t as (select {place('s_suppkey')} from supplier), c as (select {place('c_custkey')} from customer), p as (select t.id as source, c.id as rid, t.ra, t.dec, c.ra as r_ra, c.dec as r_dec from t join c on abs(t.dec - c.dec) <= {CLAIM} and {separation('t.ra', 't.dec', 'c.ra', 'c.dec')} <= {CLAIM})
 select source, rid, claims from (select *, count(*) over (partition by rid) as claims, row_number() over (partition by rid order by (ra - r_ra) * (ra - r_ra) + (dec - r_dec) * (dec - r_dec), source) as n from p) where n = 1""",
 )
 def ambiguous_match(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = positions(spark, sf_dir, "supplier", "s_suppkey").select(F.col("id").alias("source"), "ra", "dec")
-    c = positions(spark, sf_dir, "customer", "c_custkey").select(F.col("id").alias("rid"), F.col("ra").alias("r_ra"), F.col("dec").alias("r_dec"))
-    return curation.resolve_matches(t.join(c, (F.col("rid") + F.col("source")) % 10 < 2)).select("source", "rid", "claims")
+    t = positions(spark, sf_dir, "supplier", "s_suppkey").select("id", "ra", "dec")
+    c = positions(spark, sf_dir, "customer", "c_custkey").select(F.col("id").alias("rid"), "ra", "dec")
+    return curation.resolve_matches(spatial.within(t, c, CLAIM).withColumnRenamed("id", "source")).select("source", "rid", "claims")
 
 
 @query("features_labels_join", "select d.doc_id as id, n_chars, quality, toxic from documents d join labels l using (doc_id)")
 def features_labels_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "n_chars")
-    return curation.features_with_labels(d, table(spark, sf_dir, "labels").withColumnRenamed("doc_id", "id"))
+    return curation.features_with_labels(d, table(spark, sf_dir, "labels").withColumnRenamed("doc_id", "id"), most_lost=0.1)
 
 
 @query("training_upsert", "with a as (select c_custkey as id, c_name as obj_id, c_acctbal as v from customer where c_custkey % 3 <> 0), b as (select c_custkey as id, 'new_' || c_name as obj_id, c_acctbal * 2 as v from customer where c_custkey % 2 = 0) select coalesce(a.id, b.id) as id, coalesce(a.obj_id, b.obj_id) as obj_id, coalesce(b.v, a.v) as v from a full join b using (id)")
@@ -145,7 +148,7 @@ def fields_setops(spark: SparkSession, sf_dir: str) -> DataFrame:
     return every.exceptAll(n.filter("n_regionkey = 0").select("n_nationkey"))
 
 
-@query("label_columns")
+@query("label_columns", "select unnest(['first', 'quarter']) as column")
 def label_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     x = table(spark, sf_dir, "lineitem").select(F.col("l_tax"), F.col("l_discount"), (F.col("l_linenumber") == 1).cast("double").alias("first"), F.when(F.col("l_linenumber") < 3, 0.25).otherwise(1.0).alias("quarter"))
     return spark.createDataFrame([(c,) for c in curation.label_columns(x)], "column string")

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starfold.functions.photometry import magnitude
 from starfold.operators import modelling, predictions as combined
 from starfold.plans.catalogue import query
 from starfold.plans.roles import PREDICTIONS, predictions, series, table
@@ -88,7 +89,10 @@ def label_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return modelling.binary_label(features(spark, sf_dir).select("id", "label"), "label").select("id", "y")
 
 
-@query("split_hash")
+HEX = "substr(md5(id::varchar || '/42'), 1, 8)"
+
+
+@query("split_hash", f"with {T} select id, case when {HEX} < '{int(0.1 * 2**32):08x}' then 'test' when {HEX} < '{int(0.19 * 2**32):08x}' then 'val' else 'train' end as part from t")
 def split_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return features(spark, sf_dir).select("id", modelling.split_of(F.col("id")).alias("part"))
 
@@ -96,7 +100,42 @@ def split_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("downsample_counts", f"with {T}, l as (select count_if(label <= 0.5) as n0, count_if(label > 0.5) as n1 from t) select y, n::bigint as n from (select 1 as y, n1 as n from l union all select 0, least(n0, floor(n1 * 0.5)) from l)")
 def downsample_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     x = modelling.binary_label(features(spark, sf_dir), "label").select("id", "y")
-    return modelling.downsampled(x, 0.5).groupBy("y").agg(F.count(F.lit(1)).alias("n"))
+    return modelling.downsampled(x, 0.5).filter("kept").groupBy("y").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("downsample", f"with {T}, y as (select id, (label > 0.5)::int as y from t), l as (select count_if(y = 0) as n0, count_if(y = 1) as n1 from y), r as (select id, y, row_number() over (partition by y order by md5(id::varchar || '/1'), id) as r from y) select id, y, y = 1 or r <= floor(n1 * 0.5) as kept from r, l")
+def downsample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    x = modelling.binary_label(features(spark, sf_dir), "label")
+    return modelling.downsampled(x.select("id", "y"), 0.5)
+
+
+@query("impute_all", f"with {T} select id, round(coalesce(x, (select median(x) from t)), 4) as x, round(coalesce(y, 0), 4) as y, z from t where z is not null")
+def impute_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One call with several strategies."""
+    found = modelling.impute(features(spark, sf_dir), {"x": "median", "y": "zero", "z": "none"})
+    return found.select("id", F.round("x", 4).alias("x"), F.round("y", 4).alias("y"), "z")
+
+
+@query("impute_regress")
+def impute_regress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nearest neighbours for two features, the third dropped where it is missing, all in one call."""
+    found = modelling.impute(features(spark, sf_dir), {"x": "regress", "y": "regress", "z": "none"})
+    return found.select("id", *FEATURES)
+
+
+@query("precision_recall", f"with {PREDICTIONS}, x as (select vnv_dnn as p, (pnp_dnn > 0.5)::int as y from p), g as (select p, sum(y) as pos, count(*) as n from x group by p), c as (select p, sum(pos) over (order by p desc) as tp, sum(n) over (order by p desc) as n from g) select p, round(tp / n, 6) as precision, round(tp / (select sum(y) from x), 6) as recall from c")
+def precision_recall(spark: SparkSession, sf_dir: str) -> DataFrame:
+    x = predictions(spark, sf_dir).select(F.col("vnv_dnn").alias("p"), (F.col("pnp_dnn") > 0.5).cast("int").alias("y"))
+    found = modelling.precision_recall(x)
+    return found.select("p", F.round("precision", 6).alias("precision"), F.round("recall", 6).alias("recall"))
+
+
+EDGES = modelling.log_edges(10.0, 1000.0, 10)
+
+
+@query("period_hist_log", "with b as (select greatest(0, " + " + ".join(f"(v >= {e!r}::double)::int" for e in EDGES[1:-1]) + ") as bin from (select value as v from events) where v between 10.0 and 1000.0) select bin::int as bin, count(*) as n, round(count(*) / sum(count(*)) over (), 6) as share from b group by bin")
+def period_hist_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return modelling.histogram(table(spark, sf_dir, "events"), "value", EDGES).withColumn("share", F.round("share", 6))
 
 
 @query("class_weights", f"with {T}, l as (select count_if(label <= 0.5)::bigint as n0, count_if(label > 0.5)::bigint as n1 from t) select n0, n1, round(least(n0, n1) / n0, 6) as weight0, round(least(n0, n1) / n1, 6) as weight1, round(n0 / n1, 6) as scale_pos_weight from l")
@@ -206,7 +245,7 @@ def top_n_class(spark: SparkSession, sf_dir: str) -> DataFrame:
     return combined.top_for_each_class(p, CLASSES, 50, 0.9).select("class", "rank", "id", "score")
 
 
-@query("sample_hash")
+@query("sample_hash", f"with {PREDICTIONS}, l as (select 'vnv_dnn' as class, _id as id, vnv_dnn as s from p union all select 'pnp_dnn', _id, pnp_dnn from p), r as (select class, id, row_number() over (partition by class order by md5(id::varchar || '/9'), id) as r from l where s >= 0.9) select class, id from r where r <= 100")
 def sample_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return combined.sample_for_each_class(predictions(spark, sf_dir).withColumnRenamed("_id", "id"), CLASSES, 100, 0.9)
 
@@ -254,22 +293,92 @@ def spurious_fraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return combined.spurious_fraction(o).withColumn("fraction", F.round("fraction", 6))
 
 
+@query("sample_selected", f"with {PREDICTIONS}, a as (select _id, vnv_dnn, pnp_dnn, row_number() over (partition by vnv_dnn >= 0.9 order by md5(_id::varchar || '/9'), _id) as r from p), b as (select *, vnv_dnn >= 0.9 and r <= 30 as one from a), c as (select *, row_number() over (partition by pnp_dnn >= 0.9 and not one order by md5(_id::varchar || '/9'), _id) as q, count_if(one and pnp_dnn >= 0.9) over () as had from b) select _id as id from c where one or (pnp_dnn >= 0.9 and q <= 30 - had)")
+def sample_selected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = predictions(spark, sf_dir).withColumnRenamed("_id", "id")
+    return combined.sample_counting_selected(p, ["vnv_dnn", "pnp_dnn"], 30, 0.9).select("id")
+
+
+@query("compare_ranks", "with a as (select o_custkey as id, o_orderkey % 5 + 1 as rank, max(o_orderkey % 89) / 10.0::double as p from orders group by all), f as (select id, p as first from a where rank = 1) select 'LS' as algorithm, rank::int as rank, count(*) as n, round(median(p), 6) as median, min(p) as lo, max(p) as hi, count_if(first <> 0 and abs(p / first - 1) < 0.05)::bigint as same from a join f using (id) where p > 0 group by rank")
+def compare_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("o_orderkey")
+    a = table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("id"), (k % 5 + 1).cast("int").alias("rank")).agg((F.max(k % 89) / 10.0).alias("period")).withColumn("algorithm", F.lit("LS"))
+    return combined.compare_ranks(a, a).withColumn("median", F.round("median", 6))
+
+
+@query("described", "select count(o_totalprice) as count, round(avg(o_totalprice), 4) as mean, round(stddev(o_totalprice), 4) as std, min(o_totalprice) as min, round(quantile_cont(o_totalprice, 0.25), 4) as q25, round(median(o_totalprice), 4) as q50, round(quantile_cont(o_totalprice, 0.75), 4) as q75, max(o_totalprice) as max from orders")
+def described(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = combined.described(table(spark, sf_dir, "orders"), "o_totalprice")
+    return found.withColumns({c: F.round(c, 4) for c in ("mean", "std", "q25", "q50", "q75")})
+
+
+@query("object_names", f"with {PREDICTIONS}, s as (select _id, case when g <> 0 then 'Gaia_EDR3___' || g when a <> 0 then 'AllWISE___' || a when q <> 0 then 'PS1_DR1___' || q end as survey_id from p) select _id, survey_id, 'obj_' || survey_id as obj_id from s where survey_id is not null")
+def object_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = predictions(spark, sf_dir)
+    names = p.select(combined.survey_id().alias("survey_id")).distinct().select("survey_id", F.concat(F.lit("obj_"), "survey_id").alias("obj_id"))
+    return combined.with_object_names(p, names.filter("survey_id is not null")).select("_id", "survey_id", "obj_id")
+
+
+TEXT_FEATURES = ["chars", "words", "word_length", "lines", "digits", "upper", "symbols", "distinct"]
+
+
+def text_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(id, eight features of the text, y): every document, with the quality label where there is one."""
+    t = F.coalesce("text", F.lit(""))
+    words = F.filter(F.split(t, r"\s+"), lambda w: w != "")
+    size = F.greatest(F.length(t), F.lit(1))
+    share = lambda pattern: F.regexp_count(t, F.lit(pattern)) / size
+    made = {"chars": F.log1p(F.length(t)), "words": F.log1p(F.size(words)), "word_length": F.length(t) / F.greatest(F.size(words), F.lit(1)), "lines": F.log1p(F.regexp_count(t, F.lit("\n"))), "digits": share("[0-9]"), "upper": share("[A-Z]"), "symbols": share("[#*$%&|<>]"), "distinct": F.size(F.array_distinct(words)) / F.greatest(F.size(words), F.lit(1))}
+    labels = table(spark, sf_dir, "labels").groupBy("doc_id").agg(F.max("quality").alias("y"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", *[x.cast("double").alias(c) for c, x in made.items()])
+    return docs.join(labels, "doc_id", "left").withColumnRenamed("doc_id", "id")
+
+
 @query("train_gbt")
 def train_gbt(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Boosted trees on text lengths against the quality label, scored for every labelled row."""
-    d = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id").select(F.col("doc_id").alias("id"), F.log1p("n_chars").alias("a"), (F.col("n_chars") % 10).cast("double").alias("b"), F.col("quality").alias("y"))
-    model, _ = modelling.train_trees(d, ["a", "b"], depths=(3,), rounds=(5,), folds=2)
-    return modelling.score(d, model, ["a", "b"], "p").select("id", "y", "p")
+    """Boosted trees on text features against the quality label, tuned in stages; a score for every document."""
+    d = text_features(spark, sf_dir)
+    part = modelling.split_of(F.col("id"))
+    model, _, _ = modelling.train_trees(d.filter(F.col("y").isNotNull() & (part != "test")), TEXT_FEATURES)
+    return modelling.score(d.withColumn("part", part).drop("y"), model, TEXT_FEATURES, "p").select("id", "part", "p")
+
+
+@query("importances")
+def importances(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Importance of each feature in boosted trees of fixed parameters, the most important first."""
+    d = text_features(spark, sf_dir).filter("y is not null")
+    _, found, _ = modelling.train_trees(d, TEXT_FEATURES, stages=())
+    return spark.createDataFrame(found, "feature string, importance double")
+
+
+def run_folder(spark: SparkSession) -> str:
+    """A new folder for one run of a stream, in the shared folder that the session names."""
+    where = spark.conf.get("spark.checkpoint.dir", None)
+    if not where:
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return f"{where}/stream-{uuid.uuid4().hex}"
 
 
 @query("event_stream")
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The series as a stream, thinned with state and written to a table that is read back."""
-    where = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="starfold-stream-")
-    run = f"{where}/stream-{spark.sparkContext.applicationId}-{abs(hash(sf_dir))}"
-    x = series(spark, sf_dir).select("id", "t", "m")
-    x.repartition(4, "id").write.mode("overwrite").parquet(f"{run}/in")
+    run = run_folder(spark)
+    series(spark, sf_dir).select("id", "t", "m").repartitionByRange(4, "id").sortWithinPartitions("t").write.parquet(f"{run}/in")
     points = events.read_points(spark, f"{run}/in", "id long, t double, m double")
     done = events.thinned_stream(points, 0.5).writeStream.option("checkpointLocation", f"{run}/state").trigger(availableNow=True).format("parquet").start(f"{run}/out")
     done.awaitTermination()
     return spark.read.schema("id long, t double, m double").parquet(f"{run}/out")
+
+
+@query("windowed_counts", "select day, band, n, mean_m from (select time_bucket(interval '1 day', ts) as day, event_type as band, count(*) as n, round(avg(-2.5 * log10(value) + 31.4), 6) as mean_m from events group by 1, 2) where day + interval '1 day' <= (select max(ts) from events) - interval '7 days'")
+def windowed_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily counts of a stream of the events; the days that the watermark has closed come out."""
+    run = run_folder(spark)
+    e = table(spark, sf_dir, "events").select(F.col("ts").cast("timestamp").alias("ts"), F.col("event_type").alias("band"), magnitude(F.col("value")).alias("m"))
+    e.coalesce(4).write.parquet(f"{run}/in")
+    points = events.read_points(spark, f"{run}/in", "ts timestamp, band string, m double")
+    found = events.windowed_counts(points).select(F.col("window.start").alias("day"), "band", "n", "mean_m")
+    done = found.writeStream.option("checkpointLocation", f"{run}/state").outputMode("append").trigger(availableNow=True).format("parquet").start(f"{run}/out")
+    done.awaitTermination()
+    out = spark.read.schema("day timestamp, band string, n long, mean_m double").parquet(f"{run}/out")
+    return out.select(F.col("day").cast("timestamp_ntz").alias("day"), "band", "n", F.round("mean_m", 6).alias("mean_m"))

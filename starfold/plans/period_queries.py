@@ -38,12 +38,39 @@ def grams(spark: SparkSession, sf_dir: str, *names: str) -> DataFrame:
     return periods.periodograms(series(spark, sf_dir), GRID, list(names))
 
 
-@query("freq_grid", """with g as (select 2 / 30.0::double + range / 300.0::double as f, range::int as k from range(0, ceil((2.0::double - 2 / 30.0::double) * 300)::bigint))
-select k, round(f, 9) as f from g where not (f between 1.95 and 2.05) and not (f between 0.95 and 1.05) and not (f between 0.48 and 0.52) and not (f between 0.32 and 0.34)""")
+def data_grid(spark: SparkSession, sf_dir: str, samples: int = 10, max_freq: float = 48.0) -> np.ndarray:
+    """The grid that follows from the longest curve; that one number comes to the driver."""
+    return curves.frequency_grid(curves.baseline(series(spark, sf_dir)).first()[0] or 0.0, samples, max_freq)
+
+
+BASE = f"{SERIES}, base as (select max(span) as b from (select max(t) - min(t) as span from s group by id))"
+
+
+@query("freq_grid", f"""with {BASE}, g as (select range::int as k, 2 / b + range * (1 / (10 * b)) as f from base, range(0, 100000) where range < ceil((48.0::double - 2 / b) / (1 / (10 * b))))
+select k, round(f, 6) as f from g where """ + " and ".join(f"not (f between {lo} and {hi})" for lo, hi in curves.TERRESTRIAL))
 def freq_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    whole = curves.frequency_grid(30.0, 10, 2.0)
-    kept = set(curves.frequency_grid(30.0, 10, 2.0, remove=curves.TERRESTRIAL).tolist())
-    return spark.createDataFrame([(k, round(float(f), 9)) for k, f in enumerate(whole) if float(f) in kept], "k int, f double")
+    found = curves.frequency_table(curves.baseline(series(spark, sf_dir)), 10, 48.0, curves.TERRESTRIAL)
+    return found.select("k", F.round("f", 6).alias("f"))
+
+
+@query("prepare_curves", f"with {SERIES} select event_id, id, round(t - min(t) over (partition by id), 6) as t, round(m / (max(m) over (partition by id) - min(m) over (partition by id)), 6) as m from s")
+def prepare_curves(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prepared_rows(spark, sf_dir, False)
+
+
+@query("prepare_bands", f"with {SERIES}, b as (select *, m - sum(m / (e * e)) over (partition by id, band) / sum(1 / (e * e)) over (partition by id, band) as y from s), c as (select *, y - min(y) over (partition by id) as z from b) select event_id, id, round(t - min(t) over (partition by id), 6) as t, round(z / max(z) over (partition by id), 5) as m from c")
+def prepare_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prepared_rows(spark, sf_dir, True)
+
+
+def prepared_rows(spark: SparkSession, sf_dir: str, by_band: bool) -> DataFrame:
+    x = series(spark, sf_dir)
+    start = x.groupBy("id").agg(F.min("t").alias("t0"))
+    found = periods.prepared(x, by_band).join(start, "id")
+    # each point of a curve has a time of its own
+    events = x.select("id", F.round("t", 6).alias("at"), "event_id")
+    found = found.withColumn("at", F.round(F.col("t") + F.col("t0"), 6)).join(events, ["id", "at"])
+    return found.select("event_id", "id", F.round("t", 6).alias("t"), F.round("m", 5 if by_band else 6).alias("m"))
 
 
 @query("ls_small", f"with {LS} select id, k, round(v, 6) as v from ls")
@@ -61,9 +88,13 @@ def aov_small(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grams(spark, sf_dir, "AOV").select("id", "k", F.round("AOV", 5).alias("v"))
 
 
-@query("fpw")
+FPW = f"""{X}, w as (select id, sum(m / (e * e)) / sum(1 / (e * e)) as wm from a group by id), b as (select id, k, {PHASE} as i, 1 / (e * e) as w, m - wm as y from a join w using (id), q),
+c as (select id, k, i, sum(w) as sw, sum(w * y) as swy, sum(w * y * y) as yy from b group by id, k, i), fpw as (select id, k, sum(swy * swy / sw) / sum(yy) as v from c group by id, k)"""
+
+
+@query("fpw", f"with {FPW} select id, k, round(v, 6) as v from fpw")
 def fpw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return grams(spark, sf_dir, "FPW")
+    return grams(spark, sf_dir, "FPW").select("id", "k", F.round("FPW", 6).alias("v"))
 
 
 @query("bls")
@@ -166,10 +197,18 @@ def sidereal_families(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("fourier")
 def fourier(spark: SparkSession, sf_dir: str) -> DataFrame:
     x = series(spark, sf_dir)
-    best = periods.search(x, curves.frequency_grid(30.0, 4, 1.0), ["LS"], 1).select("id", "period")
+    best = periods.search(x, data_grid(spark, sf_dir), ["LS"], 1).select("id", "period")
     return periods.fourier(x, best)
 
 
+@query("harmonic_gains")
+def harmonic_gains(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gain of each number of harmonics at a fixed period of each curve, band means taken off."""
+    x = series(spark, sf_dir)
+    best = x.select("id").distinct().withColumn("period", 1.0 + F.col("id") % 7)
+    return periods.harmonic_features(x, best, by_band=True)
+
+
 @query("ab_to_amp_phi", """with c as (select l_orderkey as id, l_linenumber as line, l_discount - 0.05 as a1, l_tax - 0.03 as b1, l_tax - 0.05 as a2, l_discount - 0.02 as b2 from lineitem),
 x as (select *, sqrt(a1 * a1 + b1 * b1) as r1, sqrt(a2 * a2 + b2 * b2) as r2, (atan2(a2, b2) / 2 - atan2(a1, b1)) / pi() as d from c)
 select id, line, round(r1, 6) as amp, round(atan2(a1, b1), 6) as phi0, case when r1 > 0 then round(r2 / r1, 5) end as relamp1, case when r1 > 0 then round(d - floor(d), 4) end as relphi1 from x where abs(a1) > 0.001 and abs(b1) > 0.001 and abs(a2) > 0.001 and abs(b2) > 0.001 and abs(d - round(d)) > 0.001""")
@@ -201,13 +240,52 @@ def alias_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periods.alias_zones(window(spark, sf_dir), len(GRID), 0.2)
 
 
-@query("detrend", f"with {LS}, wx as (select band as field, t - min(t) over (partition by band) as t from s), wb as (select field, k, cos(2 * pi() * f * t) as c, sin(2 * pi() * f * t) as s from wx, q), wg as (select field, k, avg(c) as yc, avg(s) as ys, avg(c * c) as cc, avg(s * s) as ss, avg(c * s) as cs from wb group by field, k), wh as (select field, k, (ss * yc * yc + cc * ys * ys - 2 * cs * yc * ys) / (cc * ss - cs * cs) as w from wg), ww as (select field, k, w / max(w) over (partition by field) as w from wh) select id, k, round(v / greatest(w, 0.01), 3) as v from ls join ww using (k) where field = 'click'")
+@query("detrend", f"with {LS}, wx as (select band as field, t - min(t) over (partition by band) as t from s), wb as (select field, k, cos(2 * pi() * f * t) as c, sin(2 * pi() * f * t) as s from wx, q), wg as (select field, k, avg(c) as yc, avg(s) as ys, avg(c * c) as cc, avg(s * s) as ss, avg(c * s) as cs from wb group by field, k), wh as (select field, k, (ss * yc * yc + cc * ys * ys - 2 * cs * yc * ys) / (cc * ss - cs * cs) as w from wg), ww as (select field, k, w / max(w) over (partition by field) as w from wh), fl as (select id, arg_min(band, (t, event_id)) as field from s group by id) select id, k, round(v / greatest(w, 0.01), 3) as v from ls join fl using (id) join ww using (field, k)")
 def detrend(spark: SparkSession, sf_dir: str) -> DataFrame:
-    g = grams(spark, sf_dir, "LS").withColumn("field", F.lit("click"))
+    # a curve's field is the band of its first point
+    field = series(spark, sf_dir).groupBy("id").agg(F.min_by("band", F.struct("t", "event_id")).alias("field"))
+    g = grams(spark, sf_dir, "LS").join(field, "id")
     return periods.detrended(g, window(spark, sf_dir), "LS").select("id", "k", F.round("LS", 3).alias("v"))
 
 
+#: Visits of named fields: the users' events, each user at one right ascension.
+FIELD_VISITS = "x as (select t, case when id % 9 = 0 then 37.5 when id % 9 = 1 then 53.0 when id % 9 = 2 then 60.0 when id % 9 = 3 then 95.0 else 200.0 end as ra from s), f as (select t, case when ra between 36 and 40 then 'RA38' when ra between 51 and 55 then 'RA53' when ra between 57 and 61 then 'RA59' when ra between 93 and 97 then 'RA95' end as field from x)"
+
+
+def field_visits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("id") % 9
+    return series(spark, sf_dir).select("t", F.when(k == 0, 37.5).when(k == 1, 53.0).when(k == 2, 60.0).when(k == 3, 95.0).otherwise(200.0).alias("ra"))
+
+
+def zones_sql(field: str) -> str:
+    """Zones of a threshold of 0.2 on the small grid."""
+    return f"""v as (select {field} as field, t from f), a as (select field, t - min(t) over (partition by field) as t from v where field is not null), {sql_grid()},
+b as (select field, k, cos(2 * pi() * f * t) as c, sin(2 * pi() * f * t) as s from a, q), g as (select field, k, avg(c) as yc, avg(s) as ys, avg(c * c) as cc, avg(s * s) as ss, avg(c * s) as cs from b group by field, k having count(*) >= 10),
+h as (select field, k, (ss * yc * yc + cc * ys * ys - 2 * cs * yc * ys) / (cc * ss - cs * cs) as w from g), w as (select field, k, w / max(w) over (partition by field) as w from h),
+r as (select field, k, k - row_number() over (partition by field order by k) as run from w where w >= 0.2), z as (select field, min(k) as lo, max(k) as hi from r group by field, run)
+select field, round(0.05 + 0.013 * greatest(lo - 3, 0), 6) as lo, round(0.05 + 0.013 * least(hi + 3, 23), 6) as hi from z"""
+
+
+@query("field_alias_map", f"with {SERIES}, {FIELD_VISITS}, {zones_sql('field')}")
+def field_alias_map(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periods.field_alias_map(field_visits(spark, sf_dir), GRID, 0.2)
+    return found.select("field", F.round("lo", 6).alias("lo"), F.round("hi", 6).alias("hi"))
+
+
+@query("all_alias_zones", f"select distinct lo, hi from (with {SERIES}, {FIELD_VISITS}, {zones_sql(chr(39) + 'ALL' + chr(39))})")
+def all_alias_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Visits without a field, and the merged zones."""
+    found = periods.merged_zones(periods.field_alias_map(field_visits(spark, sf_dir), GRID, 0.2, ra=None))
+    return found.select(F.round("lo", 6).alias("lo"), F.round("hi", 6).alias("hi"))
+
+
 @query("period_search")
 def period_search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A search on a full grid with several algorithms, only peaks leaving the tasks."""
-    return periods.search(series(spark, sf_dir), curves.frequency_grid(30.0, 5, 4.0), ["LS", "CE", "AOV", "FPW"], 5)
+    """All algorithms on the grid that the longest curve asks for, only peaks leaving the tasks."""
+    return periods.search(series(spark, sf_dir), data_grid(spark, sf_dir), ["LS", "CE", "AOV", "FPW", "BLS", "MHF"], 5)
+
+
+@query("ls_search")
+def ls_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lomb-Scargle peaks on the whole grid."""
+    return periods.search(series(spark, sf_dir), data_grid(spark, sf_dir), ["LS"], 10)

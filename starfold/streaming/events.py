@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from starfold.operators.clean import thinned_rows
+
 
 def read_points(spark: SparkSession, path: str, schema: str, files_per_trigger: int = 10) -> DataFrame:
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(path)
@@ -20,19 +22,24 @@ def windowed_counts(points: DataFrame, late: str = "7 days", width: str = "1 day
 
 
 def thinned_stream(points: DataFrame, cadence_days: float) -> DataFrame:
-    """Greedy thinning of (id, t, m): the state of a curve is the time of the last point that stayed."""
+    """Greedy thinning of (id, t, m): the state of a curve is the time of the last point that stayed.
+
+    Points of one micro-batch are put in time order.  A point that comes in a later one but is not after the last point that stayed is
+    left out, as are points without a time: nothing that was given out is taken back.
+    """
 
     def keep(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         last = state.get[0] if state.exists else None
-        for frame in frames:
-            frame = frame.sort_values("t", kind="stable")
-            rows = []
-            for i, t in enumerate(frame["t"].to_numpy()):
-                if last is None or t - last >= cadence_days:
-                    rows.append(i)
-                    last = float(t)
+        # one frame: batches of a key may come in any order
+        held = list(frames)
+        if held:
+            frame = pd.concat(held)
+            frame = frame.sort_values(["t", "m"], kind="stable")
+            t = frame["t"].to_numpy(dtype=float)
+            rows = thinned_rows(t, cadence_days, last)
+            last = float(t[rows[-1]]) if rows else last
             yield frame.iloc[rows]
         if last is not None:
             state.update((last,))
 
-    return points.select("id", "t", "m").groupBy("id").applyInPandasWithState(keep, "id long, t double, m double", "last double", "append", GroupStateTimeout.NoTimeout)
+    return points.select("id", "t", "m").filter(F.abs("t") < float("inf")).groupBy("id").applyInPandasWithState(keep, "id long, t double, m double", "last double", "append", GroupStateTimeout.NoTimeout)
