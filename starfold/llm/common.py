@@ -7,6 +7,7 @@ boundaries and a 64-bit hash for every word, so that the cost for each document
 from __future__ import annotations
 
 import gc
+import re
 import tempfile
 from collections.abc import Callable, Iterator
 
@@ -16,23 +17,36 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 U64 = np.uint64
+#: Rows of a few numbers that are sent to the tasks by broadcast, at most, after they have been counted; more are shuffled.
+BROADCAST_ROWS = 500_000
 #: Bytes of text that are worked on at once; a longer document is a block of its own.
-BLOCK_BYTES = 2_000_000
+BLOCK_BYTES = 500_000
+#: Rows that a function of Arrow batches gets at once.
+BATCH_ROWS = 1000
 
 
 def shared_checkpoint(df: DataFrame) -> DataFrame:
     """Cuts the lineage with a reliable checkpoint in the folder that the cluster names.
 
-    ``spark.checkpoint.dir`` is read from the session.  Only where it is unset (tests in local mode) a
-    folder of this machine is used.
+    ``spark.checkpoint.dir`` is read from the session.  Only where it is unset and Spark runs in this process alone, a folder of
+    this machine is used; on a cluster it's an error.
     """
     spark = df.sparkSession
     sc = spark.sparkContext
     if not sc._jsc.sc().getCheckpointDir().isDefined():
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="starfold-ckpt-"))
+        where = spark.conf.get("spark.checkpoint.dir", None)
+        if not where and not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        sc.setCheckpointDir(where or tempfile.mkdtemp(prefix="starfold-ckpt-"))
     return df.checkpoint(eager=True)
 
 
+def sheltered(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``docs`` with its columns numbered, and what each is called now: so no name of theirs clashes with an operator's own."""
+    names = {c: f"__in{k}" for k, c in enumerate(docs.columns)}
+    return docs.toDF(*names.values()), names
+
+
 def release(spark: SparkSession) -> None:
     """Lets Spark delete shuffle and checkpoint files of DataFrames that are gone.
 
@@ -152,12 +166,12 @@ def text_blocks(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.nda
 
 
 def arrow_map(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str) -> DataFrame:
-    """``mapInArrow`` of a function of one batch."""
+    """``mapInArrow`` of a function of one batch, which gets ``BATCH_ROWS`` rows at most."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                yield work(batch)
+            for lo in range(0, batch.num_rows, BATCH_ROWS):
+                yield work(batch.slice(lo, BATCH_ROWS))
 
     return df.mapInArrow(run, schema)
 

@@ -9,7 +9,8 @@ Trigram counts cover all rows that may be learned from; the model has ``BUCKETS`
 to the tasks doesn't grow with the corpus.
 
 Defined results: null texts and texts without a letter are ``und`` with score 0; so is every text if nothing could be learned;
-ties go to the language that sorts first; repeated rows are scored alike; an empty table gives an empty result.
+ties go to the language that sorts first; repeated rows are scored alike; an empty table gives an empty result.  Texts are judged whole, a
+long one with all its trigrams.  Extra columns are kept by :func:`predict`, whatever their names, but for those of its own results.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import arrow_map, is_held_out, read_documents, text_blocks
+from .common import arrow_map, is_held_out, read_documents, sheltered, text_blocks
 
 BUCKETS = 1 << 16
 SMOOTHING = 0.5
@@ -117,6 +118,7 @@ def predict(docs: DataFrame, names: list[str], log_probability: np.ndarray, text
     """Adds ``lang_pred``, ``score`` (its proportion), ``langs`` (the chosen set) and ``shares`` to the ``keep`` columns."""
     own = ["lang_pred", "score", "langs", "shares"]
     kept = [c for c in (docs.columns if keep is None else keep) if c not in own]
+    inner, held = sheltered(docs)
     flat = np.full((BUCKETS, 1), 1.0 / BUCKETS)
     probability = np.hstack([np.exp(log_probability), flat])
 
@@ -136,13 +138,13 @@ def predict(docs: DataFrame, names: list[str], log_probability: np.ndarray, text
                 share, chosen = infer(part, probability)
                 top = min(chosen, key=lambda k: (-share[k], names[k]))
                 langs.append(names[top]), scores.append(min(1.0, float(share[top]))), sets.append([names[k] for k in chosen]), shares.append([float(share[k]) for k in chosen])
-        columns = [batch.column(c) for c in kept]
+        columns = [batch.column(held[c]) for c in kept]
         made = [pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(sets, pa.list_(pa.string())), pa.array(shares, pa.list_(pa.float64()))]
         return pa.RecordBatch.from_arrays([*columns, *made], [*kept, *own])
 
     types = dict(docs.dtypes)
     schema = ", ".join([*(f"`{c}` {types[c]}" for c in kept), "lang_pred string, score double, langs array<string>, shares array<double>"])
-    return arrow_map(docs.select(*kept, F.col(text).alias("__text")), work, schema)
+    return arrow_map(inner.select(*[held[c] for c in kept], F.col(held[text]).alias("__text")), work, schema)
 
 
 def learnable(docs: DataFrame) -> DataFrame:

@@ -19,7 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import read_documents
+from .common import read_documents, sheltered
 
 SPACES = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
@@ -59,11 +59,13 @@ def quality_counts(docs: DataFrame, text: str = "text", stop_words: list[str] |
     """Adds the counts that rules refer to, and drops the text."""
     stop = stop_words or STOP_WORDS
     own = ["n_words", "word_chars", "n_symbols", "n_exclamations", "n_stop_words", "n_lines", "n_dup_lines", "n_repeat_words"]
-    kept = [c for c in docs.columns if c != text and c not in own]
-    t = F.coalesce(F.col(text), F.lit(""))
+    inner, held = sheltered(docs)
+    names = [c for c in docs.columns if c != text and c not in own]
+    kept = [held[c] for c in names]
+    t = F.coalesce(F.col(held[text]), F.lit(""))
     words = F.array_remove(F.split(F.translate(t, SPACES, " " * len(SPACES)), " "), "")
     lines = F.filter(F.split(t, "\n"), lambda x: F.length(without(x, SPACES)) > 0)
-    first = docs.select(
+    first = inner.select(
         *kept,
         words.alias("__words"),
         lines.alias("__lines"),
@@ -93,7 +95,7 @@ def quality_counts(docs: DataFrame, text: str = "text", stop_words: list[str] |
     fourth = third.select(*kept, *own[:7], F.sort_array(F.transform(F.filter(s, lambda x, k: F.coalesce(same(x, k), F.lit(False))), lambda x: x["i"])).alias("__starts"))
     p = F.col("__starts")
     covered = F.transform(p, lambda x, k: F.least(F.lit(3), F.coalesce(F.get(p, k + 1), x + 3) - x))
-    return fourth.select(*kept, *own[:7], F.aggregate(covered, F.lit(0), lambda a, x: a + x).cast("long").alias("n_repeat_words"))
+    return fourth.select(*[F.col(held[c]).alias(c) for c in names], *own[:7], F.aggregate(covered, F.lit(0), lambda a, x: a + x).cast("long").alias("n_repeat_words"))
 
 
 def verdict(rules=RULES) -> Column:

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import U64, Runs, WordBlock, arrow_map, list_array, mix64, read_documents, shared_checkpoint, signed, text_blocks
+from .common import U64, Runs, WordBlock, arrow_map, list_array, mix64, read_documents, shared_checkpoint, sheltered, signed, text_blocks
 
 MIN_WORDS = 35
 SEED_WORDS = 10
@@ -173,12 +173,11 @@ def substring_dedup(docs: DataFrame, text: str = "text", min_words: int = MIN_WO
     Adds ``n_words``, ``n_removed``, ``spans`` (maximal repeats: first word, end word) and the new text, in which the
     rest stands as it stood.  With ``digest`` the text is replaced by ``kept_sha256``, of the kept words joined by one space.
     """
-    t = F.coalesce(F.col(text), F.lit(""))
     made = ["n_words", "n_removed", "spans", "kept_sha256" if digest else text]
+    inner, held = sheltered(docs)
     kept = [c for c in docs.columns if c != text and c not in made]
-    keyed = docs.select(*kept, F.col("doc_id").cast("long").alias("__d"), t.alias("__text"))
-    key = {"__id": F.coalesce("__d", F.lit(-(2**63))), "__sig": F.xxhash64("__text")}
-    keyed = keyed.withColumns(key).drop("__d")
+    key = {"__id": F.coalesce(F.col(held["doc_id"]).cast("long"), F.lit(-(2**63))), "__sig": F.xxhash64("__text")}
+    keyed = inner.withColumn("__text", F.coalesce(F.col(held[text]), F.lit(""))).withColumns(key).select(*_KEY, *[held[c] for c in kept], "__text")
     base = keyed.select(*_KEY, "__text")
     marks, starts = find_repeats(base, min_words, seed_words)
 
@@ -213,15 +212,15 @@ def substring_dedup(docs: DataFrame, text: str = "text", min_words: int = MIN_WO
                     out.append(column[lo + i].as_py())
         span = pa.list_(pa.struct([("first", pa.int32()), ("end", pa.int32())]))
         columns = [pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(spans, span), pa.array(out, pa.string())]
-        return pa.RecordBatch.from_arrays([batch.column(c) for c in kept] + columns, [*kept, *made])
+        return pa.RecordBatch.from_arrays([batch.column(held[c]) for c in kept] + columns, [*kept, *made])
 
     text_part = base.repartition(*_KEY) if set(kept) <= {"doc_id"} else keyed
     joined = text_part.join(marks.select(*_KEY, "covered"), _KEY, "left").join(starts, _KEY, "left")
     if text_part is not keyed:
-        joined = joined.withColumn("doc_id", F.nullif("__id", F.lit(-(2**63))))
+        joined = joined.withColumn(held["doc_id"], F.nullif("__id", F.lit(-(2**63))).cast(dict(docs.dtypes)["doc_id"]))
     types = dict(docs.dtypes)
-    schema = ", ".join([*(f"`{c}` {types[c] if c != 'doc_id' else 'long'}" for c in kept), "n_words long, n_removed long, spans array<struct<first: int, end: int>>", f"`{made[3]}` string"])
-    return arrow_map(joined.select(*kept, "__text", "covered", "starts"), cut, schema)
+    schema = ", ".join([*(f"`{c}` {types[c]}" for c in kept), "n_words long, n_removed long, spans array<struct<first: int, end: int>>", f"`{made[3]}` string"])
+    return arrow_map(joined.select(*[held[c] for c in kept], "__text", "covered", "starts"), cut, schema)
 
 
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
