@@ -5,13 +5,15 @@ level 2, those of level 2 among the listed keys go to level 3, and so on until a
 then listed exactly if the first level that refuses it is an even one (or if the last level accepts it and is odd).
 
 Keys: a rule ``(host, path prefix)`` is the key ``host + path``; a url's keys are every suffix of its host's
-labels with every prefix of its path whose length some rule has.  The universe is all keys of all urls.
+labels with every prefix of its path whose length some rule has.  Suffixes of more labels than any listed entry has can't be listed
+and are left out, so a host of thousands of labels has no more keys than another.  The universe is all keys of all urls.
 
 Every level is a bit array of at most ``MAX_BITS`` bits, made by an aggregation and put into the plan as a literal, so
 what is sent to the tasks is bounded.  A list that needs more is refused with an error, never cut.
 
 Defined results: null urls and urls without ``://`` have an empty host and path, no rule and verdict ``allow``;
-repeated urls are judged alike; an empty table gives an empty result; extra columns are kept by :func:`judge`.
+repeated urls are judged alike; an empty table gives an empty result; extra columns are kept by :func:`judge`, whatever their names, but for
+those of its own results.
 """
 
 from __future__ import annotations
@@ -19,12 +21,12 @@ from __future__ import annotations
 import math
 import string
 import struct
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import shared_checkpoint
+from .common import shared_checkpoint, sheltered
 
 MAX_BITS = 1 << 26
 # The rules of the query (host, path prefix, verdict).
@@ -98,56 +100,66 @@ def host_and_path(url: Column) -> tuple[Column, Column]:
     return F.coalesce(host, F.lit("")), F.coalesce(F.regexp_extract(rest, "^[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
-def suffixes(host: Column) -> Column:
-    labels = F.split(host, r"\.")
-    return F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+def suffixes(host: Column, most: int) -> Column:
+    """The host's last label, its last two, and so on, up to ``most`` labels; a shorter host ends the list."""
+    return F.array_distinct(F.array(*[F.substring_index(host, ".", -k) for k in range(1, most + 1)]))
 
 
-def judge(pages: DataFrame, rules: Sequence[tuple[str, str, str]], listed_host: Callable[[Column], Column], url: str = "url") -> DataFrame:
+def judge(pages: DataFrame, rules: Sequence[tuple[str, str, str]], listed: DataFrame, url: str = "url") -> DataFrame:
     """Adds ``host``, ``path``, ``rule`` and ``verdict`` (allow or block).
 
-    The longest fitting rule decides; where none fits, a host is blocked if one of its suffixes is in the list
-    that ``listed_host`` tells.  Both memberships come from cascades over all keys of all pages.
+    The longest fitting rule decides; where none fits, a host is blocked if it or a domain above it is in ``listed`` (column ``key``, lower-case
+    hosts).  All memberships come from cascades over all keys of all pages.
     """
     spark = pages.sparkSession
     own = ("host", "path", "rule", "verdict")
-    host, path = host_and_path(F.col(url))
+    inner, held = sheltered(pages)
+    host, path = host_and_path(F.col(held[url]))
     kept = [c for c in pages.columns if c not in own]
-    base = pages.select(*kept, host.alias("host"), path.alias("path"))
+    base = inner.select(*[held[c] for c in kept], host.alias("host"), path.alias("path"))
     lengths = sorted({len(p) for _, p, _ in rules})
+    labels = max((h.count(".") + 1 for h, _, _ in rules), default=1)
+    names = listed.select("key").na.drop().filter("key <> ''").distinct()
+    most = names.agg(F.max(F.size(F.split("key", r"\."))).alias("n")).first()["n"] or 1
     prefix = F.filter(F.array(*[F.when(F.length("path") >= n, F.left(F.col("path"), F.lit(n))) for n in lengths]), lambda x: x.isNotNull())
-    keys = F.flatten(F.transform(suffixes(F.col("host")), lambda s: F.transform(prefix, lambda p: F.concat(s, p))))
-    base = base.withColumn("__keys", keys).withColumn("__hosts", suffixes(F.col("host")))
+    keys = F.flatten(F.transform(suffixes(F.col("host"), labels), lambda s: F.transform(prefix, lambda p: F.concat(s, p))))
+    base = base.withColumn("keys", keys).withColumn("hosts", suffixes(F.col("host"), most))
 
-    key_universe = shared_checkpoint(base.select(F.explode("__keys").alias("key")).distinct())
-    host_universe = shared_checkpoint(base.select(F.explode("__hosts").alias("key")).filter("key <> ''").distinct())
+    key_universe = shared_checkpoint(base.select(F.explode("keys").alias("key")).distinct())
+    host_universe = shared_checkpoint(base.select(F.explode("hosts").alias("key")).filter("key <> ''").distinct())
     table = spark.createDataFrame([(h + p, v) for h, p, v in rules], "key string, verdict string")
     allow, block = (Cascade(table.filter(F.col("verdict") == v), key_universe, seed) for seed, v in enumerate(("allow", "block"), 1))
-    names = Cascade(host_universe.filter(listed_host(F.col("key"))), host_universe, 3)
+    spam_list = Cascade(names, host_universe, 3)
 
     def longest(cascade: Cascade) -> Column:
-        return F.array_max(F.transform(F.filter("__keys", cascade.has), lambda x: F.struct(F.length(x).alias("n"), x.alias("key"))))
+        return F.array_max(F.transform(F.filter("keys", cascade.has), lambda x: F.struct(F.length(x).alias("n"), x.alias("key"))))
 
-    found = base.withColumns({"__allow": longest(allow), "__block": longest(block)})
-    a, b = F.col("__allow"), F.col("__block")
-    by_allow = a.isNotNull() & (b.isNull() | (a["n"] > b["n"]))
-    spam = F.exists("__hosts", lambda x: (x != "") & names.has(x))
+    found = base.withColumns({"by_allow": longest(allow), "by_block": longest(block)})
+    a, b = F.col("by_allow"), F.col("by_block")
+    allowed = a.isNotNull() & (b.isNull() | (a["n"] > b["n"]))
+    spam = F.exists("hosts", lambda x: (x != "") & spam_list.has(x))
     return found.select(
-        *kept,
+        *[F.col(held[c]).alias(c) for c in kept],
         "host",
         "path",
-        F.when(by_allow, a["key"]).otherwise(b["key"]).alias("rule"),
-        F.when(by_allow, "allow").when(b.isNotNull() | spam, "block").otherwise("allow").alias("verdict"),
+        F.when(allowed, a["key"]).otherwise(b["key"]).alias("rule"),
+        F.when(allowed, "allow").when(b.isNotNull() | spam, "block").otherwise("allow").alias("verdict"),
     )
 
 
-def blocked_name(host: Column) -> Column:
-    return F.element_at(F.split(host, r"\."), 1).isin(*BLOCKED_NAMES)
+def listed_hosts(pages: DataFrame, url: str = "url") -> DataFrame:
+    """(key): the query's block list, the domains of the table's hosts that begin with one of the blocked names."""
+    host, _ = host_and_path(F.col(url))
+    labels = F.split(host, r"\.")
+    at = F.transform(labels, lambda x, i: F.when(x.isin(*BLOCKED_NAMES), i))
+    first = F.array_max(at)
+    # the shortest domain that begins with a name; longer ones are its subdomains
+    return pages.select(F.when(first.isNotNull(), F.call_function("substring_index", host, F.lit("."), first - F.size(labels))).alias("key")).na.drop().distinct()
 
 
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url")
-    return judge(pages, RULES, blocked_name).select("page_id", "host", "path", "rule", "verdict")
+    return judge(pages, RULES, listed_hosts(pages)).select("page_id", "host", "path", "rule", "verdict")
 
 
 ORACLE = r"""
