@@ -21,11 +21,12 @@ table gives an empty result.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import U64, Runs, WordBlock, mix64, read_documents
@@ -219,6 +220,16 @@ def compare_stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         yield compare_group(ids, texts, following)
 
 
+def block_of(key: Column, cuts: list[int]) -> Column:
+    """How many of the sorted ``cuts`` are less than ``key`` (0 for NULL): first among every so many of them, then among those between."""
+    if not cuts:
+        return F.lit(0)
+    step = math.isqrt(len(cuts)) + 1
+    below = lambda values: F.size(F.filter(values, lambda c: c < key))
+    begin = F.greatest(below(F.lit(cuts[::step])) - 1, F.lit(0)) * step
+    return F.when(key.isNull(), 0).otherwise(begin + below(F.slice(F.lit(cuts), begin + 1, F.lit(step))))
+
+
 def versions(docs: DataFrame, blocks: int | None = None) -> DataFrame:
     """Compares each document with its edited text and with the next document (see the module's text)."""
     spark = docs.sparkSession
@@ -233,9 +244,9 @@ def versions(docs: DataFrame, blocks: int | None = None) -> DataFrame:
     top = found["top"]
     cuts = sorted(set(found["cuts"] or []) - {top})
     # block k holds (cuts[k - 1], cuts[k]]; a null id is the lowest.  The document at cuts[k] also follows block k + 1's last.
-    borders = F.lit(cuts) if cuts else F.array().cast("array<bigint>")
-    block = F.when(F.col("doc_id").isNull(), 0).otherwise(F.size(F.filter(borders, lambda c: c < F.col("doc_id"))))
-    follows = F.when(F.array_contains(borders, F.col("doc_id")), block + 1).when(F.col("doc_id").eqNullSafe(F.lit(top).cast("long")), F.lit(0))
+    block = block_of(F.col("doc_id"), cuts)
+    is_border = F.coalesce(F.get(F.lit(cuts), block) == F.col("doc_id"), F.lit(False)) if cuts else F.lit(False)
+    follows = F.when(is_border, block + 1).when(F.col("doc_id").eqNullSafe(F.lit(top).cast("long")), F.lit(0))
     places = F.filter(F.array(F.struct(block.alias("block"), F.lit(False).alias("border")), F.struct(follows.alias("block"), F.lit(True).alias("border"))), lambda x: x["block"].isNotNull())
     rows = base.select("doc_id", "text", F.explode(places).alias("p")).select("doc_id", "text", "p.block", "p.border")
     ordered = rows.repartition(partitions, "block").sortWithinPartitions("block", "border", F.col("doc_id").desc_nulls_last(), "text")
