@@ -1,7 +1,8 @@
 """Best-fit packing of documents into sequences of a fixed number of tokens.
 
 Method: linear grouping.  Large lengths are put in groups of equal cardinality and rounded up to the
-largest of their group; configurations of the few rounded sizes are chosen by best filling; actual
+largest of their group; configurations of the few rounded sizes are optimised by a linear program whose columns are generated (each round
+prices the sizes and adds the configuration that is worth most), rounded down, and the rest is filled as tightly as can be; actual
 documents take the places of the rounded ones; small documents then go to the tightest gap that holds them.
 
 Everything the driver plans with is the histogram of lengths, which has at most ``capacity`` entries however
@@ -34,6 +35,8 @@ SMALL_PART = 8
 #: Groups of equal cardinality among the large lengths.
 GROUPS = 256
 END_ID = 0
+#: Rounds of column generation, at most; every round leaves a valid solution.
+ROUNDS = 300
 
 
 def token_pieces(docs: DataFrame, path: str, ranks: str, capacity: int = CAPACITY) -> DataFrame:
@@ -102,8 +105,77 @@ def fill(sizes: list[int], room: int) -> list[int]:
     return out
 
 
+def dearest(sizes: np.ndarray, price: np.ndarray, capacity: int) -> tuple[float, np.ndarray]:
+    """(value, counts) of the configuration that is worth most at these prices: the knapsack problem by dynamic programming."""
+    best, last = np.zeros(capacity + 1), np.full(capacity + 1, -1)
+    least = int(sizes[0])
+    for room in range(least, capacity + 1):
+        able = np.searchsorted(sizes, room, side="right")
+        value = best[room - sizes[:able]] + price[:able]
+        k = int(np.argmax(value))
+        if value[k] > best[room - 1]:
+            best[room], last[room] = value[k], k
+        else:
+            best[room] = best[room - 1]
+    found, room = np.zeros(len(sizes)), capacity
+    while room >= least:
+        if last[room] < 0:
+            room -= 1
+            continue
+        found[last[room]] += 1
+        room -= int(sizes[last[room]])
+    return float(best[capacity]), found
+
+
+def optimised(counts: dict[int, int], capacity: int, rounds: int = ROUNDS) -> list[tuple[list[int], int]]:
+    """Configurations with multiplicities, rounded down, of the linear program that needs the fewest sequences for ``counts``.
+
+    It starts from sequences of one size each and changes one configuration a round, the simplex method with generated columns.
+    """
+    sizes = np.array(sorted(s for s, n in counts.items() if n), dtype=np.int64)
+    wanted = np.array([counts[s] for s in sizes], dtype=float)
+    if not len(sizes) or wanted.sum() < 8 * len(sizes):
+        return []  # rounding down leaves next to nothing of so few
+    base = np.diag((capacity // sizes).astype(float))
+    times = wanted / np.diag(base)
+    for _ in range(rounds):
+        price = np.linalg.solve(base.T, np.ones(len(sizes)))
+        value, column = dearest(sizes, price, capacity)
+        if value <= 1 + 1e-9:
+            break
+        step = np.linalg.solve(base, column)
+        able = step > 1e-9
+        if not able.any():
+            break
+        ratio = np.where(able, times / np.where(able, step, 1), np.inf)
+        base[:, int(np.argmin(ratio))] = column
+        times = np.linalg.solve(base, wanted)
+    whole = np.floor(np.maximum(times, 0) + 1e-9).astype(np.int64)
+    out, left = [], dict(zip(sizes.tolist(), wanted.astype(np.int64).tolist()))
+    for k in np.flatnonzero(whole):
+        need = {int(s): int(c) for s, c in zip(sizes, base[:, k]) if c > 0.5}
+        n = min([int(whole[k]), *(left[s] // c for s, c in need.items())])
+        if n > 0:
+            out.append(([s for s, c in sorted(need.items(), reverse=True) for _ in range(c)], n))
+            for s, c in need.items():
+                left[s] -= c * n
+    return out
+
+
 def configurations(counts: dict[int, int], capacity: int) -> list[tuple[list[int], int]]:
-    """Patterns of the few rounded sizes with multiplicities: the largest size left, filled as tightly as can be."""
+    """Patterns of the few rounded sizes with multiplicities: those of the linear program, then best filling of what rounding down left;
+    or best filling alone, should that need fewer sequences."""
+    first, left = optimised(counts, capacity), Counter(counts)
+    for pattern, times in first:
+        for s in pattern:
+            left[s] -= times
+    by_program, plain = first + filled(left, capacity), filled(counts, capacity)
+    total = lambda found: sum(times for _, times in found)
+    return by_program if total(by_program) <= total(plain) else plain
+
+
+def filled(counts: dict[int, int], capacity: int) -> list[tuple[list[int], int]]:
+    """Patterns by best filling: the largest size left, and with it what fills the sequence as tightly as can be."""
     left = {s: n for s, n in counts.items() if n}
     out = []
     while left:
