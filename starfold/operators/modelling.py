@@ -204,7 +204,7 @@ def assemble(table: DataFrame, features: Sequence[str], label: str = "y") -> Dat
 STAGES = ({"maxDepth": (3, 5)}, {"minInstancesPerNode": (1, 5)}, {"subsamplingRate": (0.5, 0.7, 0.9)}, {"featureSubsetStrategy": ("all", "onethird")}, {"stepSize": (0.05, 0.1, 0.3)})
 
 
-def train_trees(table: DataFrame, features: Sequence[str], label: str = "y", stages: Sequence[dict[str, Sequence]] = STAGES, most: int = 30, folds: int = 3):
+def train_trees(table: DataFrame, features: Sequence[str], label: str = "y", stages: Sequence[dict[str, Sequence]] = STAGES, most: int = 20, folds: int = 2, at_once: int = 4):
     """Boosted trees: parameters tuned stage by stage with cross-validation on the area under the ROC curve, then as many rounds as are best
     on the validation rows; gives (model, importances, chosen parameters)."""
     from pyspark.ml.classification import GBTClassifier
@@ -212,7 +212,7 @@ def train_trees(table: DataFrame, features: Sequence[str], label: str = "y", sta
     from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 
     judge = BinaryClassificationEvaluator(labelCol=label)
-    rows = assemble(table, features, label)
+    rows = assemble(table, features, label).select("features", label, F.to_json(F.struct(*features)).alias("__key")).persist()
     chosen: dict = {}
     make = lambda rounds: GBTClassifier(featuresCol="features", labelCol=label, seed=42, maxIter=rounds, **{"stepSize": 0.1, "subsamplingRate": 0.7, **chosen})
     for stage in stages:
@@ -221,10 +221,11 @@ def train_trees(table: DataFrame, features: Sequence[str], label: str = "y", sta
             grid = grid.addGrid(GBTClassifier().getParam(name), list(values))
         trees = make(max(2, most // 5))
         grid = [{trees.getParam(p.name): v for p, v in x.items()} for x in grid.build()]
-        scores = CrossValidator(estimator=trees, estimatorParamMaps=grid, evaluator=judge, numFolds=folds, seed=42).fit(rows).avgMetrics
+        scores = CrossValidator(estimator=trees, estimatorParamMaps=grid, evaluator=judge, numFolds=folds, seed=42, parallelism=at_once).fit(rows).avgMetrics
         chosen |= {p.name: v for p, v in grid[int(np.argmax(scores))].items()}
     # early stopping: rounds go on while the validation rows gain
-    model = make(most).setValidationIndicatorCol("__held").fit(rows.withColumn("__held", split_of(F.xxhash64(*features), test=0.2) == "test"))
+    model = make(most).setValidationIndicatorCol("__held").fit(rows.withColumn("__held", split_of(F.xxhash64("__key"), test=0.2) == "test"))
+    rows.unpersist()
     importances = sorted(zip(features, model.featureImportances.toArray().tolist()), key=lambda x: -x[1])
     return model, importances, chosen
 

@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from starfold.operators import acquisition, agreement, clean, curation, curves, modelling, periods, predictions
+from starfold.operators import acquisition, agreement, clean, curation, curves, modelling, periods, predictions, stats
 from starfold.streaming import events
 
 NAMES = list(periods.KERNELS)
@@ -204,3 +204,22 @@ def test_selection_counts_rows_chosen_before(spark):
     assert len(found & set(range(6))) >= 4 and len([i for i in found if i >= 3]) == 4
     everything = predictions.sample_counting_selected(table, ["a", "b"], 40, 0.5)
     assert everything.count() == 10
+
+
+def test_normality_statistics_of_known_samples():
+    """Values by their defining sums (Anderson-Darling) and of a published example (Shapiro-Wilk: 11 weights of men, W = 0.79)."""
+    from statistics import NormalDist
+
+    x = np.array([148, 154, 158, 160, 161, 162, 166, 170, 182, 195, 236], dtype=float)
+    assert abs(stats.shapiro_wilk(x) - 0.79) < 0.005
+    z = np.sort((x - x.mean()) / x.std(ddof=1))
+    n, phi = len(x), [NormalDist().cdf(v) for v in z]
+    slow = -n - sum((2 * i + 1) / n * (math.log(phi[i]) + math.log(1 - phi[n - 1 - i])) for i in range(n))
+    assert math.isclose(stats.anderson_darling(x), slow, rel_tol=1e-9)
+
+
+def test_simple_features_of_odd_curves(spark):
+    rows = [(1, 5.0, 17.0, 0.1), (2, 1.0, 17.0, 0.1), (2, 1.0, 18.0, 0.1)] + [(3, 0.5 * i, 17.0, 0.1) for i in range(50)]
+    found = {r["id"]: r for r in stats.simple_features(spark.createDataFrame(rows, POINTS)).collect()}
+    assert found[1]["max_slope"] is None and found[1]["cads_avg"] is None and found[2]["max_slope"] is None and found[2]["amplitude"] == 0.5
+    assert found[3]["std"] == 0 and found[3]["total_time"] == 24.5 and abs(found[3]["weighted_average"] - 17) < 1e-9 and found[3]["flux_percentile_ratio_mid50"] is None
