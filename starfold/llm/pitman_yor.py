@@ -3,7 +3,7 @@
 Every word (and the start of a text) is a context with a restaurant of the words that follow it, the end of a text among them.  The
 parent of all of these is the restaurant of words; its parent is a spelling model: restaurants of symbols after the last three, two, one
 and no symbols of the word, each the parent of those with one symbol more, over a flat base.  Symbols are classes of bytes, so the
-spelling model is a table of bounded size.
+spelling model has a bounded size; of the longest contexts only what was seen is kept.
 
 Seating is sampled by Gibbs sweeps at all levels.  In a sweep each dish's customers leave and are seated again one after another by the
 Chinese-restaurant rule, given the number of the restaurant's tables and the parent's probabilities; every table then sends one customer
@@ -14,12 +14,15 @@ probabilities.  Dishes are reseated in parallel; large dishes in growing steps (
 A word that the training texts lack has the share of a new table of words that its own spelling gets, so that the probabilities of all
 strings after a context sum to 1.
 
-Words and contexts live at a home by hash of the word.  Texts are dealt into blocks of some megabytes; a block sends one packed row to
-each home: its words, and for its contexts there the words that follow, so a pair that occurs once costs a few bytes.  Homes send each
-other one array a sweep: tables up, probabilities down.
+Words and contexts live at a home by hash of the word.  Tasks gather the texts of their input, some megabytes at a time, and send one
+packed row to each home: its words, and for its contexts there the words that follow, so a pair that occurs once costs a few bytes.  Homes
+send each other one array a sweep: tables up, probabilities down.  For scoring, texts are dealt into blocks; a block asks each home once and
+is answered with the counts and tables that its words and pairs have there, small numbers from which it makes the probabilities itself.
+Homes keep their words and pairs sorted, and draws depend on the sweep and the home only, so results don't depend on how rows are dealt.
 
 Defined results: a null text counts as empty and is its end alone; without learnable texts every count is 0 and every
-probability 1; repeated rows are scored alike and counted each; null ids are learned from; an empty table gives an empty result.
+probability 1; repeated rows are scored alike and counted each; null ids are learned from; a text is worked on whole, a long one is a
+block's part like any other; extra columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -33,12 +36,14 @@ from itertools import count
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import is_held_out, read_documents, release, shared_checkpoint
+from .common import BLOCK_BYTES, U64, WordBlock, is_held_out, read_documents, release, shared_checkpoint
 
 BURN_IN, SAMPLES = 2, 3
+#: Bytes of text that are packed, and scored, at once.
 BLOCK_TEXT = 24_000_000
 # Discounts of the contexts of 0, 1, 2 and 3 symbols, and the strength of all restaurants.
 SPELL_DISCOUNT = (0.3, 0.5, 0.6, 0.7)
@@ -63,10 +68,6 @@ for _k, _bytes in enumerate(SYMBOLS):
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
 
-def tokens(text: bytes) -> list[bytes]:
-    return text.translate(_LOWER).split()
-
-
 def seat(customers: np.ndarray, base: np.ndarray, discount: float, draw: np.random.Generator) -> np.ndarray:
     """Tables of each dish after its customers sit down one by one; ``base`` is the weight of a new table."""
     tables = np.minimum(customers, 1).astype(np.float64)
@@ -107,38 +108,84 @@ def spell(words: list[bytes], log_p: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return np.add.reduceat(log_p[key] + within, first), key, first
 
 
-def sample_spelling(customers: np.ndarray, parents: list[np.ndarray], draw: np.random.Generator) -> list[np.ndarray]:
-    """One Gibbs sweep over the restaurants of symbols, longest contexts first: predictive tables of 0 to 3 symbols of context."""
-    levels = []
-    count = customers.astype(np.float64)
-    for k in (3, 2, 1, 0):
-        count = count.reshape(-1, SIZE)
-        dishes = np.flatnonzero(count)
-        tables = np.zeros(count.size)
-        above = parents[k - 1].reshape(-1, SIZE)[:, :] if k else np.full((1, SIZE), 1 / (SIZE - 1))
-        # a context's parent drops its first symbol: contexts of one parent are SIZE rows apart
-        rows = dishes // SIZE % above.shape[0]
-        tables[dishes] = seat(count.ravel()[dishes].astype(np.int64), (STRENGTH + SPELL_DISCOUNT[k]) * above[rows, dishes % SIZE], SPELL_DISCOUNT[k], draw)
-        tables = tables.reshape(-1, SIZE)
-        levels.append((count, tables))
-        count = tables.reshape(SIZE, -1).sum(axis=0) if k else tables
-    found: list[np.ndarray] = []
-    below = np.full((1, SIZE), 1 / (SIZE - 1))
-    for k, (count, tables) in enumerate(reversed(levels)):
+def spelled_in(words: list[bytes], samples: list[Sample]) -> list[np.ndarray]:
+    """Probability of each word's spelling in each sample."""
+    if not words:
+        return [np.zeros(0)] * len(samples)
+    key, within, first = spell_keys(words)
+    return [np.exp(np.add.reduceat(s.spelling.log_table()[key] + within, first)) for s in samples]
+
+
+@dataclass
+class Spelling:
+    """Restaurants of symbols.  ``levels`` are predictive probabilities after 0, 1 and 2 symbols; after three, ``keys`` (sorted) are the seen
+    dishes, ``own`` what their tables give and ``share`` the part of each context that its parent gives.  ``opened`` are the tables of each
+    context of each level, for the next sweep."""
+
+    levels: list[np.ndarray]
+    keys: np.ndarray
+    own: np.ndarray
+    share: np.ndarray
+    opened: list[np.ndarray]
+
+    @classmethod
+    def flat(cls) -> Spelling:
+        levels = [np.full(SIZE ** (k + 1), 1 / (SIZE - 1)) for k in range(3)]
+        return cls(levels, np.zeros(0, dtype=np.int64), np.zeros(0), np.ones(SIZE**3), [np.ones(SIZE**k) for k in range(4)])
+
+    def log_table(self) -> np.ndarray:
+        """Log-probabilities by the four symbols' number, made where they are looked up."""
+        p = np.repeat(self.share.astype(np.float32), SIZE)
+        p *= np.tile(self.levels[2].astype(np.float32), SIZE)
+        p[self.keys] += self.own.astype(np.float32)
+        return np.log(np.maximum(p, 1e-38))
+
+    def sent(self) -> Spelling:
+        """What tasks need."""
+        return Spelling([None, None, self.levels[2].astype(np.float32)], self.keys.astype(np.int32), self.own.astype(np.float32), self.share.astype(np.float32), [])
+
+
+def sample_spelling(keys: np.ndarray, customers: np.ndarray, before: Spelling, draw: np.random.Generator) -> Spelling:
+    """One Gibbs sweep over the restaurants of symbols, longest contexts first; ``customers`` of the sorted dishes ``keys`` come from the words' tables."""
+    d, count = SPELL_DISCOUNT[3], customers.astype(np.int64)
+    above = before.levels[2][keys % SIZE**3]
+    tables = seat(count, (STRENGTH + d * before.opened[3][keys // SIZE]) * above, d, draw)
+    seated, opened = (np.bincount(keys // SIZE, x, SIZE**3) for x in (count, tables))
+    own, share = np.maximum(count - d * tables, 0) / (STRENGTH + seated[keys // SIZE]), (STRENGTH + d * opened) / (STRENGTH + seated)
+    held, all_opened = [], [opened]
+    came = np.bincount(keys % SIZE**3, tables, SIZE**3).astype(np.int64)
+    for k in (2, 1, 0):
+        d, dishes, t = SPELL_DISCOUNT[k], np.flatnonzero(came), np.zeros(len(came))
+        above = before.levels[k - 1][dishes % SIZE**k] if k else np.full(len(dishes), 1 / (SIZE - 1))
+        t[dishes] = seat(came[dishes], (STRENGTH + d * before.opened[k][dishes // SIZE]) * above, d, draw)
+        held.append((came, t))
+        all_opened.append(t.reshape(-1, SIZE).sum(axis=1))
+        came = np.bincount(np.arange(len(t)) % SIZE**k, t, SIZE**k).astype(np.int64)
+    levels, below = [], np.full(SIZE, 1 / (SIZE - 1))
+    for k, (c, t) in enumerate(reversed(held)):
         d = SPELL_DISCOUNT[k]
-        seated, opened = count.sum(axis=1, keepdims=True), tables.sum(axis=1, keepdims=True)
-        parent = np.tile(below, (count.shape[0] // below.shape[0], 1))
-        below = (np.maximum(count - d * tables, 0) + (STRENGTH + d * opened) * parent) / (STRENGTH + seated)
-        found.append(below)
-    return found
+        seated, opened = c.reshape(-1, SIZE).sum(axis=1), t.reshape(-1, SIZE).sum(axis=1)
+        below = (np.maximum(c - d * t, 0) + np.repeat(STRENGTH + d * opened, SIZE) * np.tile(below, len(c) // len(below))) / np.repeat(STRENGTH + seated, SIZE)
+        levels.append(below)
+    return Spelling(levels, keys, own, share, all_opened[::-1])
 
 
 def packed(*parts) -> bytes:
-    return zlib.compress(pickle.dumps(parts, 5), 1)
+    """Arrays go as byte planes: all their lowest bytes, then the next ones, which are nearly constant for small numbers."""
+    held = [(x.dtype.str, np.ascontiguousarray(np.ascontiguousarray(x).view(np.uint8).reshape(len(x), x.itemsize).T).tobytes()) if isinstance(x, np.ndarray) else [x] for x in parts]
+    return zstandard.ZstdCompressor(level=1).compress(pickle.dumps(held, 5))
 
 
-def unpacked(data: bytes) -> tuple:
-    return pickle.loads(zlib.decompress(data))
+def unpacked(data: bytes) -> list:
+    out = []
+    for x in pickle.loads(zstandard.ZstdDecompressor().decompress(data)):
+        if isinstance(x, list):
+            out.append(x[0])
+        else:
+            kind = np.dtype(x[0])
+            planes = np.frombuffer(x[1], dtype=np.uint8).reshape(kind.itemsize, -1)
+            out.append(np.ascontiguousarray(planes.T).view(kind).ravel())
+    return out
 
 
 def joined(words: list[bytes]) -> tuple[int, bytes]:
@@ -154,9 +201,30 @@ def homes(words: list[bytes], blocks: int) -> np.ndarray:
     return np.fromiter((zlib.crc32(w) % blocks for w in words), dtype=np.int64, count=len(words))
 
 
+def numbered(key: np.ndarray, bits: int, whole: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(place of the first of each, number of each key's value, count of each) of the distinct values, in order.
+
+    ``key`` has at most ``bits`` bits.  It is sorted together with its place, which is much faster than sorting places by it.  With
+    ``whole``, keys are the leading bits of these values; if they don't tell them apart, the values themselves are sorted.
+    """
+    n = len(key)
+    low = max(1, n.bit_length())
+    if bits + low <= 63:
+        both = np.sort(key.astype(np.int64) << low | np.arange(n))
+        at, key = both & ((1 << low) - 1), both >> low
+        new = np.append(True, key[1:] != key[:-1])[:n]
+        if whole is None or not ((whole[at][1:] != whole[at][:-1]) & ~new[1:]).any():
+            first = np.flatnonzero(new)
+            number = np.empty(n, dtype=np.int64)
+            number[at] = np.cumsum(new) - 1
+            return at[first], number, np.diff(np.append(first, n))
+    _, first, number, count = np.unique(key if whole is None else whole, return_index=True, return_inverse=True, return_counts=True)
+    return first, number, count
+
+
 @dataclass
 class Block:
-    """Tokens of some texts as indices into their sorted words; the empty word is the first."""
+    """Tokens of some texts as indices into their sorted words; the empty word, a text's end, is the first."""
 
     words: list[bytes]
     sizes: np.ndarray
@@ -165,26 +233,39 @@ class Block:
 
     @classmethod
     def of(cls, texts: Iterable[bytes]) -> Block:
-        index: defaultdict[bytes, int] = defaultdict(count().__next__)
-        ids, sizes, end = [], [], index[b""]
-        for text in texts:
-            own = tokens(text)
-            own.append(b"")
-            ids.append(np.fromiter(map(index.__getitem__, own), dtype=np.int64, count=len(own)))
-            sizes.append(len(own))
-        words = list(index)
+        """Words are told apart by 64-bit hashes."""
+        texts = list(texts)
+        data = b"".join(texts).translate(_LOWER)
+        offsets = np.cumsum([0, *map(len, texts)], dtype=np.int64)
+        raw = np.frombuffer(data, dtype=np.uint8)
+        starts, ends, hashes, counts, lo = [], [], [], [], 0
+        while lo < len(texts):
+            hi = max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + BLOCK_BYTES, side="right")) - 1)
+            part = WordBlock(raw[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo])
+            starts.append(part.start + offsets[lo]), ends.append(part.end + offsets[lo]), hashes.append(part.hash), counts.append(part.counts())
+            lo = hi
+        none = np.zeros(0, dtype=np.int64)
+        start, end, count = (np.concatenate([none, *x]) for x in (starts, ends, counts))
+        found = np.concatenate([none.astype(U64), *hashes])
+        first, number, _ = numbered(found >> U64(23), 41, found)
+        words = [data[a:b] for a, b in zip(start[first].tolist(), end[first].tolist())]
         order = sorted(range(len(words)), key=words.__getitem__)
         rank = np.empty(len(words), dtype=np.int64)
-        rank[order] = np.arange(len(words))
-        word = rank[np.concatenate([*ids, np.zeros(0, dtype=np.int64)])]
-        before = np.roll(word, 1)
-        before[np.cumsum(sizes, dtype=np.int64) - np.array(sizes, dtype=np.int64)] = rank[end]
-        return cls([words[k] for k in order], np.array(sizes, dtype=np.int64), word, before)
+        rank[order] = np.arange(1, len(words) + 1)
+        sizes = count + 1
+        last = np.cumsum(sizes) - 1
+        word = np.zeros(int(sizes.sum()), dtype=np.int64)
+        inside = np.ones(len(word), dtype=bool)
+        inside[last] = False
+        word[inside] = rank[number]
+        # a text's first word comes after the empty word, which ended the text before it
+        return cls([b"", *(words[k] for k in order)], sizes, word, np.roll(word, 1))
 
     def pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(context, word, count) of the distinct pairs, in order, and each token's pair."""
-        pair, at, n = np.unique(self.before * len(self.words) + self.word, return_inverse=True, return_counts=True)
-        return pair // len(self.words), pair % len(self.words), n, at
+        key = self.before * len(self.words) + self.word
+        first, at, n = numbered(key, (len(self.words) ** 2).bit_length())
+        return self.before[first], self.word[first], n, at
 
 
 def by_home(rows: DataFrame, blocks: int, work: Callable[[int, list[tuple[int, int, bytes]]], Iterator[tuple[int, int, int, bytes]]]) -> DataFrame:
@@ -192,37 +273,68 @@ def by_home(rows: DataFrame, blocks: int, work: Callable[[int, list[tuple[int, i
 
     def run(table: pa.Table) -> pa.Table:
         got = sorted(zip(table.column("frm").to_pylist(), table.column("kind").to_pylist(), table.column("data").to_pylist()), key=lambda r: r[:2])
-        made = list(work(table.column("home")[0].as_py(), got))
-        columns = list(zip(*made)) if made else [()] * 4
-        return pa.table([pa.array(c, t) for c, t in zip(columns, (pa.int32(), pa.int32(), pa.int32(), pa.binary()))], ["home", "frm", "kind", "data"])
+        return pa.table(as_rows(list(work(table.column("home")[0].as_py(), got))), ["home", "frm", "kind", "data"])
 
     return rows.repartition(blocks, "home").groupBy("home").applyInArrow(lambda t: run(t), ROWS)
 
 
-def deal(docs: DataFrame, size: int) -> tuple[DataFrame, int]:
-    """Rows with their text and ``block``, and how many blocks there are for ``size`` bytes of text."""
-    blocks = max(1, -(-size // BLOCK_TEXT))
+def deal(docs: DataFrame, blocks: int) -> DataFrame:
+    """Rows with their text and ``block``.  Copies of one row are dealt by the part of the input that they come from."""
     text = F.coalesce("text", F.lit(""))
-    block = F.pmod(F.xxhash64("doc_id", F.octet_length(text)), F.lit(blocks)).cast("int")
-    return docs.select("doc_id", text.alias("text"), block.alias("block")).repartition(blocks, "block"), blocks
+    block = F.pmod(F.xxhash64("doc_id", text, F.spark_partition_id()), F.lit(blocks)).cast("int")
+    return docs.select("doc_id", text.alias("text"), block.alias("block")).repartition(blocks, "block")
+
+
+def messages(block: Block, blocks: int, frm: int, counted: bool) -> list[tuple[int, int, int, bytes]]:
+    """For each home: the words there, and for each of them, as a context, the words that follow; ``counted`` with their counts."""
+    own = homes(block.words, blocks)
+    context, word, times, _ = block.pairs()
+    n = np.bincount(block.word, minlength=len(block.words))
+    by_word, by_pair = np.argsort(own, kind="stable"), np.argsort(own[context], kind="stable")
+    word_edges, pair_edges = (np.searchsorted(x, np.arange(blocks + 1)) for x in (own[by_word], own[context][by_pair]))
+    out = []
+    for home in np.flatnonzero(np.diff(word_edges)):
+        here, pair = by_word[word_edges[home] : word_edges[home + 1]], by_pair[pair_edges[home] : pair_edges[home + 1]]
+        after, at = np.unique(word[pair], return_inverse=True)
+        sizes = np.bincount(np.searchsorted(here, context[pair]), minlength=len(here)).astype(np.int32)
+        more = (n[here].astype(np.int32), times[pair].astype(np.int32)) if counted else ()
+        out.append((int(home), frm, ASKED, packed(joined([block.words[k] for k in here]), sizes, joined([block.words[k] for k in after]), at.astype(np.int32), *more)))
+    return out
+
 
+def as_rows(out: list[tuple[int, int, int, bytes]]) -> list[pa.Array]:
+    columns = list(zip(*out)) if out else [()] * 4
+    return [pa.array(c, t) for c, t in zip(columns, (pa.int32(), pa.int32(), pa.int32(), pa.binary()))]
 
-def sent_pairs(placed: DataFrame, blocks: int) -> DataFrame:
-    """For each block and home: the words there with their counts, and for each of them, as a context, the words that follow."""
+
+def counted_pairs(docs: DataFrame, blocks: int) -> DataFrame:
+    """What tasks send of their own texts to the homes, ``BLOCK_TEXT`` bytes at a time."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        texts, size = [], 0
+
+        def flush() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays(as_rows(messages(Block.of(texts), blocks, -1, True)), ["home", "frm", "kind", "data"])
+
+        for batch in batches:
+            for text in batch.column("text"):
+                texts.append((text.as_py() or "").encode("utf-8", "replace"))
+                size += len(texts[-1])
+                if size >= BLOCK_TEXT:
+                    yield flush()
+                    texts, size = [], 0
+        if texts:
+            yield flush()
+
+    return docs.select("text").mapInArrow(work, ROWS)
+
+
+def asked_pairs(placed: DataFrame, blocks: int) -> DataFrame:
+    """What blocks ask the homes."""
 
     def work(table: pa.Table) -> pa.Table:
         block = Block.of(t.as_py().encode("utf-8", "replace") for t in table.column("text"))
-        own, n = homes(block.words, blocks), np.bincount(block.word, minlength=len(block.words))
-        context, word, times, _ = block.pairs()
-        of = own[context]
-        frm, out = table.column("block")[0].as_py(), []
-        for home in np.unique(own):
-            here, pair = np.flatnonzero(own == home), np.flatnonzero(of == home)
-            after, at = np.unique(word[pair], return_inverse=True)
-            sizes = np.bincount(np.searchsorted(here, context[pair]), minlength=len(here))
-            data = packed(joined([block.words[k] for k in here]), n[here], sizes.astype(np.int32), joined([block.words[k] for k in after]), at.astype(np.int32), times[pair].astype(np.int32))
-            out.append((int(home), frm, ASKED, data))
-        return pa.table([pa.array(c, t) for c, t in zip(zip(*out), (pa.int32(), pa.int32(), pa.int32(), pa.binary()))], ["home", "frm", "kind", "data"])
+        return pa.table(as_rows(messages(block, blocks, table.column("block")[0].as_py(), False)), ["home", "frm", "kind", "data"])
 
     return placed.groupBy("block").applyInArrow(lambda t: work(t), ROWS)
 
@@ -235,18 +347,24 @@ def settled(blocks: int):
         follow: defaultdict[bytes, int] = defaultdict(count().__next__)
         of, n, context, after, times = [], [], [], [], []
         for _, _, data in rows:
-            words, own, sizes, others, at, c = unpacked(data)
+            words, sizes, others, at, own, c = unpacked(data)
             here = np.fromiter(map(index.__getitem__, parted(words)), dtype=np.int64, count=words[0])
             of.append(here), n.append(own)
             context.append(np.repeat(here, sizes)), times.append(c)
             after.append(np.fromiter(map(follow.__getitem__, parted(others)), dtype=np.int64, count=others[0])[at])
         words, names = list(index), list(follow)
-        total = np.bincount(np.concatenate(of), np.concatenate(n), len(words)).astype(np.int64)
+        order = sorted(range(len(words)), key=words.__getitem__)
+        place = np.empty(len(words), dtype=np.int64)
+        place[order] = np.arange(len(words))
+        words = [words[k] for k in order]
+        total = np.bincount(place[np.concatenate(of)], np.concatenate(n), len(words)).astype(np.int64)
         at_home = homes(names, blocks)
         order = sorted(range(len(names)), key=lambda k: (at_home[k], names[k]))
         rank = np.empty(len(names), dtype=np.int64)
         rank[order] = np.arange(len(names))
-        pair, back = np.unique(np.concatenate(context) * len(names) + rank[np.concatenate(after)], return_inverse=True)
+        key = place[np.concatenate(context)] * len(names) + rank[np.concatenate(after)]
+        first, back, _ = numbered(key, (len(words) * max(1, len(names))).bit_length())
+        pair = key[first]
         c = np.bincount(back, np.concatenate(times), len(pair)).astype(np.int64)
         at, sizes = (pair % max(1, len(names))).astype(np.int32), np.bincount(pair // max(1, len(names)), minlength=len(words)).astype(np.int32)
         edges = np.searchsorted(at_home[order], np.arange(blocks + 1))
@@ -280,7 +398,7 @@ def linked(home: int, rows: list[tuple[int, int, bytes]]) -> Iterator[tuple[int,
 class Sample:
     """A kept sweep of the restaurant of words: what it began with, and the tables, spelling mass of the known words and customers it ended with."""
 
-    log_p: np.ndarray
+    spelling: Spelling
     begun: float
     tables: float
     known: float
@@ -319,7 +437,7 @@ def seat_words(sent, tables: float, discount: float, sweep: int):
         c = np.zeros(words[0], dtype=np.int64)
         for frm, at in places:
             np.add.at(c, at, came[frm])
-        spelled, key, first = spell(parted(words), sent.value)
+        spelled, key, first = spell(parted(words), sent.value.log_table())
         spelled = np.exp(spelled)
         t = reseated(home, c, spelled, tables, discount, sweep)
         sums = np.bincount(key, np.repeat(t, np.diff(np.append(first, len(key)))), SIZE**4)
@@ -373,66 +491,67 @@ def discount_of(one: int, two: int) -> float:
     return float(min(0.95, max(0.05, one / (one + 2 * two)))) if one else 0.5
 
 
-def learn(docs: DataFrame) -> tuple[Model, int]:
-    """Fits on all rows of (doc_id, text, learn) with ``learn``; also gives the bytes of all texts."""
+def learn(docs: DataFrame) -> Model:
+    """Fits on all rows of (doc_id, text, learn) with ``learn``."""
     spark = docs.sparkSession
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    placed, blocks = deal(docs.filter("learn"), size)
-    made = shared_checkpoint(by_home(sent_pairs(placed, blocks), blocks, settled(blocks)))
+    blocks = max(1, -(-size // BLOCK_TEXT))
+    made = shared_checkpoint(by_home(counted_pairs(docs.filter("learn"), blocks), blocks, settled(blocks)))
     if not made.limit(1).count():
-        return Model(None, blocks, 0.5, 0.5, 0, 0, []), size
+        return Model(None, blocks, 0.5, 0.5, 0, 0, [])
     tokens_, distinct, *few = totals(made)
     links = shared_checkpoint(by_home(made.filter(F.col("kind").isin(STATE, LINK)), blocks, linked))
     _, *few_tables = totals(links)
     model = Model(None, blocks, discount_of(*few_tables), discount_of(*few), int(tokens_), int(distinct), [])
-    made = shared_checkpoint(made.filter(F.col("kind") == STATE))
+    made = made.filter(F.col("kind") == STATE)
     places, came, seated = links.filter(F.col("kind") == PLACES), links.filter(F.col("kind") == TABLES), None
     kept = [made, places]
-    log_p, tables = np.full(SIZE**4, -np.log(SIZE - 1), dtype=np.float32), float(distinct)
-    parents = [np.full((SIZE**k, SIZE), 1 / (SIZE - 1)) for k in range(4)]
+    spelling, tables = Spelling.flat(), float(distinct)
     for sweep in range(BURN_IN + SAMPLES):
-        sent = spark.sparkContext.broadcast(log_p)
+        sent = spark.sparkContext.broadcast(spelling.sent())
         words = shared_checkpoint(by_home(places.union(came), blocks, seat_words(sent, tables, model.discount, sweep)))
         key, n = spelling_sums(words)
         begun, tables, customers = tables, float(n[key == -1].sum()), float(n[key == -3].sum())
-        known = [words.filter(F.col("kind") == CHANCES), made] + ([seated] if seated is not None else [])
-        rows = known[0]
-        for x in known[1:]:
-            rows = rows.union(x)
+        rows = words.filter(F.col("kind") == CHANCES).union(made)
+        rows = rows if seated is None else rows.union(seated)
         seats = shared_checkpoint(by_home(rows, blocks, seat_contexts(STRENGTH + model.discount * tables, customers, model.pair_discount, sweep)))
         came, seated = seats.filter(F.col("kind") == TABLES), seats.filter(F.col("kind") == CONTEXTS)
         if sweep >= BURN_IN:
             k = len(model.samples)
-            model.samples.append(Sample(log_p, begun, tables, float(n[key == -2].sum()), customers))
-            kinds = [(words, WORDS), (seats, CONTEXTS)]
-            own = [x.filter(F.col("kind") == c).withColumn("kind", F.lit(c + k).cast("int")) for x, c in kinds]
+            model.samples.append(Sample(spelling.sent(), begun, tables, float(n[key == -2].sum()), customers))
+            own = [x.filter(F.col("kind") == c).withColumn("kind", F.lit(c + k).cast("int")) for x, c in ((words, WORDS), (seats, CONTEXTS))]
             kept.append(shared_checkpoint(own[0].union(own[1])))
-            del own, kinds
-        counts = np.zeros(SIZE**4)
-        counts[key[key >= 0]] = n[key >= 0]
-        parents = sample_spelling(counts, parents, np.random.default_rng(sweep))
-        log_p = np.log(parents[3].ravel()).astype(np.float32)
+            del own
+        order = np.argsort(key)
+        key, n = key[order], n[order]
+        spelling = sample_spelling(key[key >= 0], n[key >= 0], spelling, np.random.default_rng(sweep))
         sent.unpersist()
-        del words, seats, known, rows
+        del words, seats, rows
         release(spark)
     model.rows = kept[0]
     for x in kept[1:]:
         model.rows = model.rows.union(x)
-    del made, links, places, came, seated, kept
-    release(spark)
-    return model, size
+    return model
 
 
-def word_chances(model: Model, samples: list[Sample], home: int, rows: dict[int, bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
-    """(words, counts, probabilities in each sample) of a home."""
+def word_tables(model: Model, samples: list[Sample], home: int, rows: dict[int, bytes]) -> tuple[list[bytes], np.ndarray, list[np.ndarray], list[np.ndarray]]:
+    """(words, counts, customers and tables in each sample) of a home's part of the restaurant of words."""
     words, n, _ = unpacked(rows[PLACES])
-    words, p = parted(words), np.zeros((len(samples), words[0]))
-    for k, sample in enumerate(samples):
+    words, customers, tables = parted(words), [], []
+    for k, (sample, spelled) in enumerate(zip(samples, spelled_in(words, samples))):
         c = unpacked(rows[WORDS + k])[0]
-        spelled = np.exp(spell(words, sample.log_p)[0])
-        t = reseated(home, c, spelled, sample.begun, model.discount, BURN_IN + k)
-        p[k] = np.maximum(c - model.discount * t, 0) / (STRENGTH + sample.customers) + model.new_table(sample) * spelled
-    return words, n, p
+        customers.append(c)
+        tables.append(reseated(home, c, spelled, sample.begun, model.discount, BURN_IN + k).astype(np.int64))
+    return words, n, customers, tables
+
+
+def word_chances(model: Model, samples: list[Sample], words: list[bytes], customers: list[np.ndarray], tables: list[np.ndarray]) -> np.ndarray:
+    """Probabilities of words in each sample, given their customers and tables there (0 of a word that the training texts lack)."""
+    p = np.zeros((len(samples), len(words)))
+    for k, (sample, spelled) in enumerate(zip(samples, spelled_in(words, samples))):
+        own = np.maximum(customers[k] - model.discount * tables[k], 0) / (STRENGTH + sample.customers)
+        p[k] = own + model.new_table(sample) * spelled
+    return p
 
 
 def without_rows(model: Model) -> Model:
@@ -446,7 +565,8 @@ def predictive(model: Model) -> DataFrame:
 
     def work(table: pa.Table) -> pa.Table:
         rows = dict(zip(table.column("kind").to_pylist(), table.column("data").to_pylist()))
-        words, n, p = word_chances(plain, sent.value, table.column("home")[0].as_py(), rows)
+        words, n, *seats = word_tables(plain, sent.value, table.column("home")[0].as_py(), rows)
+        p = word_chances(plain, sent.value, words, *seats)
         return pa.table([pa.array(words, pa.binary()), pa.array(n), pa.array(p.mean(axis=0))], ["word", "n", "p"])
 
     rows = model.rows.filter((F.col("kind") == PLACES) | F.col("kind").between(WORDS, CONTEXTS - 1))
@@ -454,82 +574,69 @@ def predictive(model: Model) -> DataFrame:
 
 
 def answered(model: Model, sent):
-    """For what a block asks, in its order: counts and log-probabilities of words in each sample; for words as contexts the log-share of
-    new tables; for pairs the log of what their own tables give, averaged."""
+    """For what a block asks, in its order: of words the count, and customers and tables in each sample; of words as contexts the customers, and
+    the tables in each sample; of pairs the count and the tables of all samples together.  What isn't known has 0."""
 
     def work(home: int, rows: list[tuple[int, int, bytes]]) -> Iterator[tuple[int, int, int, bytes]]:
         held = {kind: data for _, kind, data in rows if kind != ASKED}
-        samples = sent.value
         index, follow, pair = {}, {}, np.zeros(0, dtype=np.int64)
-        n, log_p, share, own = np.zeros(0, dtype=np.int64), np.zeros((len(samples), 0)), np.zeros((len(samples), 0)), np.zeros(0)
+        of_words, of_pairs = [np.zeros(1, dtype=np.int32)] * (2 + 3 * len(sent.value)), [np.zeros(1, dtype=np.int32)] * 2
         if held:
-            words, n, p = word_chances(model, samples, home, held)
-            index, log_p = {w: k for k, w in enumerate(words)}, np.log(np.maximum(p, 1e-300))
+            words, n, customers, tables = word_tables(model, sent.value, home, held)
+            index = {w: k for k, w in enumerate(words)}
             _, _, sizes, names, _, at, c = unpacked(held[STATE])
             follow = {w: k for k, w in enumerate(parted(names))}
             context = np.repeat(np.arange(len(sizes)), sizes)
-            pair, own, share = context * len(follow) + at, np.zeros(len(at)), np.zeros((len(samples), len(sizes)))
-            customers = STRENGTH + np.bincount(context, c, len(sizes))
-            for k in range(len(samples)):
-                t = unpacked(held[CONTEXTS + k])[0]
-                own += np.maximum(c - model.pair_discount * t, 0) / customers[context] / len(samples)
-                share[k] = np.log((STRENGTH + model.pair_discount * np.bincount(context, t, len(sizes))) / customers)
+            pair, seats = context * len(follow) + at, [unpacked(held[CONTEXTS + k])[0] for k in range(len(sent.value))]
+            of_words = [n, np.bincount(context, c, len(sizes)), *customers, *tables, *(np.bincount(context, t, len(sizes)) for t in seats)]
+            of_pairs = [c, sum(seats, np.zeros(len(c), dtype=np.int64))]
+            # the last place is for what isn't known
+            of_words, of_pairs = ([np.append(x, 0).astype(np.int32) for x in xs] for xs in (of_words, of_pairs))
         for frm, kind, data in rows:
             if kind != ASKED:
                 continue
-            words, _, sizes, names, at, _ = unpacked(data)
-            words = parted(words)
-            here = np.fromiter((index.get(w, -1) for w in words), dtype=np.int64, count=len(words))
-            lacks, has = np.flatnonzero(here < 0), np.flatnonzero(here >= 0)
-            count_, chance, fresh = np.zeros(len(words), dtype=np.int64), np.zeros((len(samples), len(words)), dtype=np.float32), np.zeros((len(samples), len(words)), dtype=np.float32)
-            count_[has], chance[:, has], fresh[:, has] = n[here[has]], log_p[:, here[has]], share[:, here[has]]
-            for k, sample in enumerate(samples):
-                chance[k, lacks] = np.log(model.new_table(sample)) + spell([words[i] for i in lacks], sample.log_p)[0]
+            words, sizes, names, at = unpacked(data)
+            here = np.fromiter((index.get(w, -1) for w in parted(words)), dtype=np.int64, count=words[0])
             after = np.fromiter((follow.get(w, -1) for w in parted(names)), dtype=np.int64, count=names[0])[at]
             before = np.repeat(here, sizes)
-            wanted = before * len(follow) + after
-            place = np.minimum(np.searchsorted(pair, wanted), max(0, len(pair) - 1))
-            gives = np.full(len(wanted), -np.inf, dtype=np.float32)
-            if len(pair):
-                hit = (before >= 0) & (after >= 0) & (pair[place] == wanted)
-                with np.errstate(divide="ignore"):
-                    gives[hit] = np.log(own[place[hit]])
-            yield frm, home, ANSWER, packed(count_, chance, fresh, gives)
+            wanted = np.where((before >= 0) & (after >= 0), before * len(follow) + after, -1)
+            place = np.searchsorted(pair, wanted)
+            place = np.where((place < len(pair)) & (np.append(pair, -2)[place] == wanted), place, -1)
+            yield frm, home, ANSWER, packed(*(x[here] for x in of_words), *(x[place] for x in of_pairs))
 
     return work
 
 
-def score(docs: DataFrame, model: Model, size: int) -> DataFrame:
+def score(docs: DataFrame, model: Model) -> DataFrame:
     """(doc_id, n_tokens, n_known, base_score, score) of every row of ``docs`` (doc_id, text)."""
-    placed, blocks = deal(docs, size)
+    blocks, plain = model.blocks, without_rows(model)
     sent = docs.sparkSession.sparkContext.broadcast(model.samples)
-    asked = sent_pairs(placed, blocks)
-    answers = shared_checkpoint(by_home(asked if model.rows is None else asked.union(model.rows), blocks, answered(without_rows(model), sent)))
-    answers = answers.withColumnRenamed("home", "block")
-    del asked
-    release(docs.sparkSession)
-    # dealt out again: the files of the questions need not stand beside the answers
-    placed, _ = deal(docs, size)
+    placed = deal(docs, blocks)
+    asked = asked_pairs(placed, blocks)
+    answers = by_home(asked if model.rows is None else asked.union(model.rows), blocks, answered(plain, sent)).withColumnRenamed("home", "block")
     below = model.train_tokens + 0.1 * (model.distinct + 1)
 
     def work(left: pa.Table, right: pa.Table) -> pa.Table:
+        samples = sent.value
         block = Block.of(t.as_py().encode("utf-8", "replace") for t in left.column("text"))
         context, _, _, at = block.pairs()
         own = homes(block.words, blocks)
         of = own[context]
-        n, chance, fresh, gives = np.zeros(len(own), dtype=np.int64), None, None, np.zeros(len(context))
+        by_word, by_pair = np.zeros((2 + 3 * len(samples), len(own)), dtype=np.int64), np.zeros((2, len(context)), dtype=np.int64)
         for home, data in zip(right.column("frm").to_pylist(), right.column("data").to_pylist()):
-            parts, here = unpacked(data), np.flatnonzero(own == home)
-            if chance is None:
-                chance, fresh = np.zeros((2, len(parts[1]), len(own)))
-            n[here], chance[:, here], fresh[:, here], gives[of == home] = parts[0], parts[1], parts[2], parts[3]
+            parts = unpacked(data)
+            by_word[:, own == home], by_pair[:, of == home] = parts[: len(by_word)], parts[len(by_word) :]
+        n, customers = by_word[0], STRENGTH + by_word[1]
+        of_sample = [by_word[2 + k * len(samples) : 2 + (k + 1) * len(samples)] for k in range(3)]
         logs = np.zeros(len(block.word))
-        if len(chance):
-            # the average of the samples' chances at a new table, then what the pair's own tables give
-            new = np.full(len(logs), -np.inf)
-            for k in range(len(chance)):
-                new = np.logaddexp(new, fresh[k, block.before] + chance[k, block.word])
-            logs = np.logaddexp(new - np.log(len(chance)), gives[at]) / np.log(10)
+        if samples:
+            # the average of the samples' chances at a new table, and what the pair's own tables give
+            p = (np.maximum(len(samples) * by_pair[0] - plain.pair_discount * by_pair[1], 0) / len(samples) / customers[context])[at]
+            chance = word_chances(plain, samples, block.words, *of_sample[:2])
+            for k in range(len(samples)):
+                share = (STRENGTH + plain.pair_discount * of_sample[2][k]) / customers
+                p += share[block.before] * chance[k][block.word] / len(samples)
+            logs = np.log10(np.maximum(p, 1e-300))
         base, first = np.log10((n + 0.1) / below), np.cumsum(block.sizes) - block.sizes
         known = np.add.reduceat(n[block.word] > 0, first, dtype=np.int64)
         columns = [left.column("doc_id"), pa.array(block.sizes), pa.array(known), pa.array(np.add.reduceat(base[block.word], first)), pa.array(np.add.reduceat(logs, first))]
@@ -540,6 +647,6 @@ def score(docs: DataFrame, model: Model, size: int) -> DataFrame:
 
 def op7_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_documents(spark, sf_dir, "text")
-    model, size = learn(docs.withColumn("learn", ~is_held_out("doc_id", 10, 0)))
-    found = score(docs, model, size).withColumn("train_tokens", F.lit(model.train_tokens).cast("long"))
+    model = learn(docs.withColumn("learn", ~is_held_out("doc_id", 10, 0)))
+    found = score(docs, model).withColumn("train_tokens", F.lit(model.train_tokens).cast("long"))
     return found.select("doc_id", is_held_out("doc_id", 10, 0).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")

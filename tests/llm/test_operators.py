@@ -194,8 +194,8 @@ def test_language_model_base_score_and_normalisation(spark):
     word = lambda lang: f"{'ab'[lang]}{int(rng.paretovariate(1.0)) % 200}"
     rows = [(i, " ".join(word(i % 2) for _ in range(rng.randint(0, 90)))) for i in range(80)] + [(900, None), (901, "Never Seen")]
     docs = frame(spark, rows).withColumn("learn", F.col("doc_id") < 70)
-    model, size = pitman_yor.learn(docs)
-    found = {r.doc_id: r for r in pitman_yor.score(docs, model, size).collect()}
+    model = pitman_yor.learn(docs)
+    found = {r.doc_id: r for r in pitman_yor.score(docs, model).collect()}
     count = Counter(w for i, t in rows if i < 70 for w in [*(t or "").lower().split(), None])
     total, distinct = sum(count.values()), len(count)
     for i, t in rows:
@@ -211,11 +211,11 @@ def test_language_model_base_score_and_normalisation(spark):
 
 def test_language_model_without_texts(spark):
     docs = empty(spark).withColumn("learn", F.lit(True))
-    model, size = pitman_yor.learn(docs)
-    assert pitman_yor.score(docs, model, size).count() == 0 and model.train_tokens == 0
+    model = pitman_yor.learn(docs)
+    assert pitman_yor.score(docs, model).count() == 0 and model.train_tokens == 0
     one = frame(spark, [(1, "a b")]).withColumn("learn", F.lit(False))
-    model, size = pitman_yor.learn(one)
-    r = pitman_yor.score(one, model, size).first()
+    model = pitman_yor.learn(one)
+    r = pitman_yor.score(one, model).first()
     assert (r.n_tokens, r.n_known, r.base_score) == (3, 0, 0.0)
 
 
@@ -227,8 +227,8 @@ def test_language_model_knows_the_order_of_words(spark):
     in_order = " ".join(shuffled)
     rng.shuffle(shuffled)
     docs = frame(spark, rows + [(100, in_order), (101, " ".join(shuffled))]).withColumn("learn", F.col("doc_id") < 60)
-    model, size = pitman_yor.learn(docs)
-    found = {r.doc_id: r for r in pitman_yor.score(docs, model, size).collect()}
+    model = pitman_yor.learn(docs)
+    found = {r.doc_id: r for r in pitman_yor.score(docs, model).collect()}
     assert abs(found[100].base_score - found[101].base_score) < 1e-6 and found[100].score > found[101].score + 20
 
 
@@ -237,11 +237,68 @@ def test_language_model_does_not_get_used_to_unseen_words(spark):
     strange = lambda n: " ".join("".join(rng.choice("jkqxzvw") for _ in range(8)) for _ in range(n))
     rows = [(i, " ".join(words(rng, 60, 80))) for i in range(50)] + [(100, strange(10)), (101, strange(1000))]
     docs = frame(spark, rows).withColumn("learn", F.col("doc_id") < 50)
-    model, size = pitman_yor.learn(docs)
-    found = {r.doc_id: r for r in pitman_yor.score(docs, model, size).collect()}
+    model = pitman_yor.learn(docs)
+    found = {r.doc_id: r for r in pitman_yor.score(docs, model).collect()}
     assert found[101].n_known == 1 and found[101].score / 1001 < -5 and abs(found[101].score / 1000 - found[100].score / 10) < 1.5
 
 
+def plain_language_model(model):
+    """A function (context, word) -> averaged predictive probability, from the rows of a model, word by word."""
+    held = {}
+    for r in model.rows.collect():
+        held.setdefault(r.home, {})[r.kind] = pitman_yor.unpacked(r.data)
+    discount, pair_discount, strength = model.discount, model.pair_discount, pitman_yor.STRENGTH
+    words, pairs, contexts = [{} for _ in model.samples], [{} for _ in model.samples], [{} for _ in model.samples]
+    for home, kinds in held.items():
+        own, (_, _, sizes, names, _, at, c) = pitman_yor.parted(kinds[pitman_yor.PLACES][0]), kinds[pitman_yor.STATE]
+        names = pitman_yor.parted(names)
+        for k, sample in enumerate(model.samples):
+            customers = kinds[pitman_yor.WORDS + k][0]
+            spelled = np.exp(pitman_yor.spell(own, sample.spelling.log_table())[0])
+            tables = pitman_yor.reseated(home, customers, spelled, sample.begun, discount, pitman_yor.BURN_IN + k)
+            words[k] |= dict(zip(own, zip(customers, tables)))
+            i = 0
+            for u, size in zip(own, sizes):
+                t = kinds[pitman_yor.CONTEXTS + k][0][i : i + size]
+                contexts[k][u] = (int(c[i : i + size].sum()), int(t.sum()))
+                pairs[k] |= {(u, names[at[i + j]]): (int(c[i + j]), int(t[j])) for j in range(size)}
+                i += size
+
+    def probability(u, w):
+        total = 0.0
+        for k, sample in enumerate(model.samples):
+            c, t = words[k].get(w, (0, 0))
+            alone = max(c - discount * t, 0) / (strength + sample.customers) + model.new_table(sample) * math.exp(pitman_yor.spell([w], sample.spelling.log_table())[0][0])
+            n, opened = contexts[k].get(u, (0, 0))
+            c, t = pairs[k].get((u, w), (0, 0))
+            total += max(c - pair_discount * t, 0) / (strength + n) + (strength + pair_discount * opened) / (strength + n) * alone
+        return total / len(model.samples)
+
+    return probability, words[0]
+
+
+def test_language_model_equals_word_by_word_predictions_however_rows_are_dealt(spark, monkeypatch):
+    monkeypatch.setattr(pitman_yor, "BLOCK_TEXT", 700)
+    rng = random.Random(12)
+    rows = [(i if i % 7 else None, " ".join(rng.choice(["a", "b", "cc", "ddd", "E"]) for _ in range(rng.randint(0, 30)))) for i in range(60)] + [(500, "a zz cc  zz"), (501, None)] + [(502, "b cc")] * 3
+    docs = frame(spark, rows).withColumn("learn", F.coalesce(F.col("doc_id") < 500, F.lit(True))).withColumn("data", F.lit("x")).withColumn("block", F.lit(1))
+    model = pitman_yor.learn(docs)
+    assert model.blocks > 1
+    result = lambda m, d: sorted((r.doc_id or -1, r.n_tokens, round(r.base_score, 9), round(r.score, 9)) for r in pitman_yor.score(d, m).collect())
+    found = result(model, docs)
+    again = docs.repartition(3, "text")
+    assert found == result(pitman_yor.learn(again), again)
+    probability, known = plain_language_model(model)
+    by_hand = []
+    for i, t in rows:
+        tokens = [b"", *[w.lower().encode() for w in (t or "").split()], b""]
+        by_hand.append((i or -1, len(tokens) - 1, round(sum(math.log10(probability(u, w)) for u, w in zip(tokens, tokens[1:])), 6)))
+    assert sorted(by_hand) == sorted((i, n, round(score, 6)) for i, n, _, score in found)
+    # after any context the known words leave something to the others
+    for u in (b"a", b"", b"never"):
+        assert 0.5 < sum(probability(u, w) for w in known) < 1
+
+
 def test_seating_bounds():
     customers = np.array([0, 1, 2, 50, 100_000])
     t = pitman_yor.seat(customers, np.full(5, 0.5), 0.5, np.random.default_rng(0))
@@ -265,7 +322,7 @@ def test_cascade_is_exact_on_its_universe(spark):
 def test_urls(spark):
     urls = ["http://WWW.Example.com/en/1?x", "https://a.example.com/en/2", "http://b.example.com/fr/1#t", "http://x.net/es/9", "http://free-bets.example.org/q", "no url", None, "http://", "http://x.org", "http://com/", "http://x.org", "http://x.net?/es/"]
     pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string").withColumn("rule", F.lit("clash"))
-    found = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in url_filter.judge(pages, url_filter.RULES, url_filter.blocked_name).collect()}
+    found = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in url_filter.judge(pages, url_filter.RULES, url_filter.listed_hosts(pages)).collect()}
     assert found[0] == ("www.example.com", "/en/1", "www.example.com/en/", "allow") and found[1] == ("a.example.com", "/en/2", "example.com/en/", "block")
     assert found[2] == ("b.example.com", "/fr/1", "com/", "allow") and found[3] == ("x.net", "/es/9", "net/es/", "block")
     assert found[4] == ("free-bets.example.org", "/q", None, "block") and found[5] == found[6] == found[7] == ("", "", None, "allow")
@@ -364,3 +421,37 @@ def test_plans_hold_each_piece_once(n):
         for x in run.lengths:
             held[x] += run.times
     assert held == histogram
+
+
+def test_configurations_of_the_program_beat_best_filling():
+    counts = {900: 400, 700: 600, 600: 500, 450: 300, 333: 900}
+    program, plain = packing.optimised(counts, 2048), packing.filled(counts, 2048)
+    used = Counter()
+    for pattern, times in program:
+        assert sum(pattern) <= 2048 and times > 0
+        for s in pattern:
+            used[s] += times
+    assert all(used[s] <= counts[s] for s in used)
+    both = packing.configurations(counts, 2048)
+    done = Counter()
+    for pattern, times in both:
+        for s in pattern:
+            done[s] += times
+    assert done == counts and sum(n for _, n in both) <= sum(n for _, n in plain)
+    assert sum(n for _, n in both) <= -(-sum(s * n for s, n in counts.items()) // 2048) + 40
+
+
+def test_the_dearest_configuration_equals_trial():
+    sizes, price = np.array([300, 500, 700]), np.array([0.2, 0.3, 0.45])
+    best = max(a * 0.2 + b * 0.3 + c * 0.45 for a in range(7) for b in range(5) for c in range(3) if 300 * a + 500 * b + 700 * c <= 2048)
+    value, found = packing.dearest(sizes, price, 2048)
+    assert abs(value - best) < 1e-12 and abs(found @ price - best) < 1e-12 and found @ sizes <= 2048
+
+
+def test_blocks_of_ids_equal_bisection(spark):
+    rng = random.Random(1)
+    for n in (0, 1, 2, 5, 50):
+        cuts = sorted({rng.randint(-100, 100) for _ in range(n)})
+        ids = [*range(-105, 106), None]
+        found = frame(spark, [(i, "") for i in ids]).select("doc_id", fingerprints.block_of(F.col("doc_id"), cuts).alias("b")).collect()
+        assert all(r.b == (0 if r.doc_id is None else sum(c < r.doc_id for c in cuts)) for r in found)
