@@ -44,7 +44,7 @@ from .common import BLOCK_BYTES, U64, WordBlock, is_held_out, read_documents, re
 
 BURN_IN, SAMPLES = 2, 3
 #: Bytes of text that are packed, and scored, at once.
-BLOCK_TEXT = 24_000_000
+BLOCK_TEXT = 16_000_000
 # Discounts of the contexts of 0, 1, 2 and 3 symbols, and the strength of all restaurants.
 SPELL_DISCOUNT = (0.3, 0.5, 0.6, 0.7)
 STRENGTH = 1.0
@@ -173,7 +173,7 @@ def sample_spelling(keys: np.ndarray, customers: np.ndarray, before: Spelling, d
 def packed(*parts) -> bytes:
     """Arrays go as byte planes: all their lowest bytes, then the next ones, which are nearly constant for small numbers."""
     held = [(x.dtype.str, np.ascontiguousarray(np.ascontiguousarray(x).view(np.uint8).reshape(len(x), x.itemsize).T).tobytes()) if isinstance(x, np.ndarray) else [x] for x in parts]
-    return zstandard.ZstdCompressor(level=1).compress(pickle.dumps(held, 5))
+    return zstandard.ZstdCompressor(level=3).compress(pickle.dumps(held, 5))
 
 
 def unpacked(data: bytes) -> list:
@@ -215,8 +215,8 @@ def numbered(key: np.ndarray, bits: int, whole: np.ndarray | None = None) -> tup
         new = np.append(True, key[1:] != key[:-1])[:n]
         if whole is None or not ((whole[at][1:] != whole[at][:-1]) & ~new[1:]).any():
             first = np.flatnonzero(new)
-            number = np.empty(n, dtype=np.int64)
-            number[at] = np.cumsum(new) - 1
+            number = np.empty(n, dtype=np.int32)
+            number[at] = np.cumsum(new, dtype=np.int32) - 1
             return at[first], number, np.diff(np.append(first, n))
     _, first, number, count = np.unique(key if whole is None else whole, return_index=True, return_inverse=True, return_counts=True)
     return first, number, count
@@ -245,16 +245,18 @@ class Block:
             starts.append(part.start + offsets[lo]), ends.append(part.end + offsets[lo]), hashes.append(part.hash), counts.append(part.counts())
             lo = hi
         none = np.zeros(0, dtype=np.int64)
-        start, end, count = (np.concatenate([none, *x]) for x in (starts, ends, counts))
-        found = np.concatenate([none.astype(U64), *hashes])
+        count, found = np.concatenate([none, *counts]), np.concatenate([none.astype(U64), *hashes])
+        del hashes
         first, number, _ = numbered(found >> U64(23), 41, found)
-        words = [data[a:b] for a, b in zip(start[first].tolist(), end[first].tolist())]
+        del found
+        words = [data[a:b] for a, b in zip(np.concatenate([none, *starts])[first].tolist(), np.concatenate([none, *ends])[first].tolist())]
+        del starts, ends, raw, data
         order = sorted(range(len(words)), key=words.__getitem__)
-        rank = np.empty(len(words), dtype=np.int64)
+        rank = np.empty(len(words), dtype=np.int32)
         rank[order] = np.arange(1, len(words) + 1)
         sizes = count + 1
         last = np.cumsum(sizes) - 1
-        word = np.zeros(int(sizes.sum()), dtype=np.int64)
+        word = np.zeros(int(sizes.sum()), dtype=np.int32)
         inside = np.ones(len(word), dtype=bool)
         inside[last] = False
         word[inside] = rank[number]
@@ -263,7 +265,7 @@ class Block:
 
     def pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(context, word, count) of the distinct pairs, in order, and each token's pair."""
-        key = self.before * len(self.words) + self.word
+        key = self.before.astype(np.int64) * len(self.words) + self.word
         first, at, n = numbered(key, (len(self.words) ** 2).bit_length())
         return self.before[first], self.word[first], n, at
 
@@ -503,7 +505,7 @@ def learn(docs: DataFrame) -> Model:
     links = shared_checkpoint(by_home(made.filter(F.col("kind").isin(STATE, LINK)), blocks, linked))
     _, *few_tables = totals(links)
     model = Model(None, blocks, discount_of(*few_tables), discount_of(*few), int(tokens_), int(distinct), [])
-    made = made.filter(F.col("kind") == STATE)
+    made = shared_checkpoint(made.filter(F.col("kind") == STATE))
     places, came, seated = links.filter(F.col("kind") == PLACES), links.filter(F.col("kind") == TABLES), None
     kept = [made, places]
     spelling, tables = Spelling.flat(), float(distinct)
@@ -610,6 +612,7 @@ def answered(model: Model, sent):
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """(doc_id, n_tokens, n_known, base_score, score) of every row of ``docs`` (doc_id, text)."""
     blocks, plain = model.blocks, without_rows(model)
+    release(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(model.samples)
     placed = deal(docs, blocks)
     asked = asked_pairs(placed, blocks)
