@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import shared_checkpoint
+from .common import BROADCAST_ROWS, shared_checkpoint
 
 
 def connected_components(links: DataFrame) -> DataFrame:
@@ -17,12 +17,15 @@ def connected_components(links: DataFrame) -> DataFrame:
     both = links.select("a", "b").union(links.select(F.col("b"), F.col("a"))).na.drop().distinct()
     both = shared_checkpoint(both)
     labels = shared_checkpoint(both.groupBy(F.col("a").alias("node")).agg(F.least(F.col("node"), F.min("b")).alias("label")))
+    # labels go to their neighbours by broadcast where they are few, else both are shuffled
+    few = labels.count() <= BROADCAST_ROWS
+    sent = F.broadcast if few else lambda df: df
     while True:
         other = labels.select(F.col("node").alias("b"), F.col("label").alias("near"))
-        nearest = both.join(other, "b").groupBy(F.col("a").alias("node")).agg(F.min("near").alias("near"))
+        nearest = both.join(sent(other), "b").groupBy(F.col("a").alias("node")).agg(F.min("near").alias("near"))
         moved = labels.join(nearest, "node").select("node", "label", F.least("label", "near").alias("next"))
         jump = labels.select(F.col("node").alias("next"), F.col("label").alias("far"))
-        after = shared_checkpoint(moved.join(jump, "next", "left").select("node", "label", F.least("next", F.coalesce("far", "next")).alias("next")))
+        after = shared_checkpoint(moved.join(sent(jump), "next", "left").select("node", "label", F.least("next", F.coalesce("far", "next")).alias("next")))
         changed = after.filter("next <> label").limit(1).count()
         labels = after.select("node", F.col("next").alias("label"))
         if not changed:
