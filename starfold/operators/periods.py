@@ -144,7 +144,11 @@ def harmonic_gains(t: np.ndarray, m: np.ndarray, e: np.ndarray, freqs: np.ndarra
     out = [np.zeros((0, most))]
     for f in blocks(freqs, len(t) * (1 + 2 * most)):
         x = 2 * np.pi * f[:, None] * (t - t.min())
-        design = np.stack([np.ones_like(x), *[g(k * x) for k in range(1, most + 1) for g in (np.cos, np.sin)]], axis=2)
+        # harmonics by the addition theorem: two trigonometric functions a point
+        waves = [np.exp(1j * x)]
+        while len(waves) < most:
+            waves.append(waves[-1] * waves[0])
+        design = np.stack([np.ones_like(x), *[part for w_ in waves for part in (w_.real, w_.imag)]], axis=2)
         left, right = np.swapaxes(design * w[:, None], 1, 2) @ design, design.transpose(0, 2, 1) @ (w * y)
         gains = np.full((len(f), most), -np.inf)
         for k in range(1, most + 1):
@@ -152,13 +156,9 @@ def harmonic_gains(t: np.ndarray, m: np.ndarray, e: np.ndarray, freqs: np.ndarra
             if size >= len(t):
                 continue
             a, b = left[:, :size, :size], right[:, :size]
-            # frequencies at which the columns depend on each other are solved for the least norm
-            sound = np.linalg.cond(a) < 1e10
-            taken = np.zeros(len(f))
-            if sound.any():
-                taken[sound] = np.einsum("fp,fp->f", b[sound], np.linalg.solve(a[sound], b[sound][..., None])[..., 0])
-            if not sound.all():
-                taken[~sound] = np.einsum("fp,fpq,fq->f", b[~sound], np.linalg.pinv(a[~sound], rcond=1e-10, hermitian=True), b[~sound])
+            # a ridge far below rounding of the sums keeps frequencies solvable at which columns depend on each other
+            ridge = 1e-12 * np.trace(a, axis1=1, axis2=2)[:, None, None] * np.eye(size)
+            taken = np.einsum("fp,fp->f", b, np.linalg.solve(a + ridge, b[..., None])[..., 0])
             gains[:, k - 1] = flat - np.maximum(flat - price - taken, 0) - price * size
         out.append(gains)
     return np.concatenate(out)
