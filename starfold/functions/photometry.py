@@ -13,7 +13,7 @@ ZERO_POINT = 31.4
 BANDS = {"u": 0, "g": 1, "r": 2, "i": 3, "z": 4, "y": 5}
 ZTF_FILTERS = {1: "ztfg", 2: "ztfr", 3: "ztfi"}
 MJD_OFFSET = 2400000.5
-#: Flag columns of forced photometry.
+# Flag columns of forced photometry.
 PIXEL_FLAGS = ("pixelFlags_bad", "pixelFlags_cr", "pixelFlags_edge", "pixelFlags_saturated", "pixelFlags_suspect")
 
 

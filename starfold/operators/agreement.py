@@ -11,6 +11,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from starfold.operators.periods import by_curve, kind_of
+
 # Harmonic ratios, shortest credible period (days), sidereal frequency (cycles a day).
 HARMONICS = (1.0, 0.5, 2.0, 1 / 3, 3.0)
 SIMPLE_HARMONICS = (1.0, 2.0, 0.5)
@@ -81,7 +83,7 @@ def consensus_of(rows: list[tuple[int, int, float]]) -> float:
     return best if votes.get(best, 0) > 0 else math.nan
 
 
-def consensus(periods: DataFrame, algorithms: list[str], shortest: float = SHORTEST) -> DataFrame:
+def consensus(periods: DataFrame, algorithms: list[str], shortest: float = SHORTEST, tasks: int | None = None) -> DataFrame:
     """(id, best_consensus_period)."""
     place = {a: i for i, a in enumerate(algorithms)}
 
@@ -89,7 +91,7 @@ def consensus(periods: DataFrame, algorithms: list[str], shortest: float = SHORT
         rows = sorted((place[a], int(r), float(p)) for a, r, p in zip(frame["algorithm"], frame["rank"], frame["period"]) if a in place and p >= shortest)
         return pd.DataFrame({"id": [frame["id"].iloc[0]], "best_consensus_period": [consensus_of(rows)]})
 
-    return periods.groupBy("id").applyInPandas(work, "id long, best_consensus_period double")
+    return by_curve(periods, tasks).applyInPandas(work, f"id {kind_of(periods)}, best_consensus_period double")
 
 
 def sidereal_alias(a: Column, b: Column, orders: int = 15, tolerance: float = 0.03) -> Column:
@@ -110,7 +112,7 @@ def sidereal_edges(periods: DataFrame) -> DataFrame:
     return pairs.filter(sidereal_alias(F.col("x.period"), F.col("y.period"))).select(F.col("x.id").alias("id"), F.col("x.i").alias("a"), F.col("y.i").alias("b"))
 
 
-def sidereal_families(periods: DataFrame) -> DataFrame:
+def sidereal_families(periods: DataFrame, tasks: int | None = None) -> DataFrame:
     """The family of aliases that most algorithms, then the best ranks, support; one small group for each curve."""
 
     def alias(p: float, q: float) -> bool:
@@ -138,11 +140,11 @@ def sidereal_families(periods: DataFrame) -> DataFrame:
                 best = (*score, len(members), top[2], top[0] or "")
         return pd.DataFrame([[*best[:3], len(rows), *best[3:]]], columns=["family_n_algos", "family_rank_score", "family_n_members", "family_n_total", "family_best_period", "family_best_algo"])
 
-    schema = "id long, family_n_algos int, family_rank_score double, family_n_members int, family_n_total int, family_best_period double, family_best_algo string"
+    schema = f"id {kind_of(periods)}, " + "family_n_algos int, family_rank_score double, family_n_members int, family_n_total int, family_best_period double, family_best_algo string"
 
     def keyed(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
         out = work(frame)
         out.insert(0, "id", key[0])
         return out
 
-    return periods.groupBy("id").applyInPandas(keyed, schema)
+    return by_curve(periods, tasks).applyInPandas(keyed, schema)

@@ -9,6 +9,7 @@ points left gives no rows; an empty grid gives empty periodograms; a kernel that
 
 from __future__ import annotations
 
+import functools
 import math
 from collections.abc import Callable
 
@@ -21,7 +22,7 @@ from starfold.functions.photometry import null_nan
 from starfold.operators.spatial import field_of
 
 #: Numbers in a temporary array of a kernel.
-BLOCK = 2_000_000
+BLOCK = 100_000
 PHASE_BINS, MAG_BINS = 20, 10
 
 
@@ -31,22 +32,92 @@ def usable(points: DataFrame, *more: str) -> DataFrame:
     return points.select("id", *more, *[F.col(c).cast("double").alias(c) for c in ("t", "m", "e")]).filter(finite("t") & finite("m") & finite("e") & (F.col("e") > 0))
 
 
+def kind_of(table: DataFrame, key: str = "id") -> str:
+    return dict(table.dtypes)[key]
+
+
 def blocks(freqs: np.ndarray, points: int):
     size = max(1, BLOCK // max(1, points))
     for lo in range(0, len(freqs), size):
         yield freqs[lo : lo + size]
 
 
+def by_curve(points: DataFrame, tasks: int | None = None, key: str = "id"):
+    """Points grouped by curve for a kernel, in ``tasks`` tasks.
+
+    A curve's few bytes cost a kernel much time, so the number of tasks mustn't follow from the bytes: a shuffle into a stated number is left as it is
+    by adaptive execution.  Without a number it is that of shuffle partitions, but four for each core at least.
+    """
+    spark = points.sparkSession
+    if tasks is None:
+        tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)
+    return points.repartition(tasks, key).groupBy(key)
+
+
+#: Cells that a point is spread over, and how steeply: sums by Fourier transform are right to some ten digits.
+SPREAD, STEEP = 13, 2.30 * 13
+#: Below so many frequencies, sums are taken directly.
+FAST_FROM = 128
+
+
+@functools.lru_cache(maxsize=8)
+def spreading(modes: int, cells: int) -> np.ndarray:
+    """Fourier transform of the spreading window at -modes/2, ..., by quadrature."""
+    z, weight = np.polynomial.legendre.leggauss(4 * SPREAD)
+    k = np.arange(modes) - modes // 2
+    window = np.exp(STEEP * (np.sqrt(1 - z * z) - 1)) * weight
+    return SPREAD / 2 * (np.cos(np.pi * SPREAD / cells * k[:, None] * z) @ window)
+
+
+def fourier_sums(t: np.ndarray, values: np.ndarray, low: float, step: float, n: int) -> np.ndarray:
+    """Sums of ``values`` times exp(2 pi i f t) at ``n`` frequencies from ``low`` on in steps of ``step``: points are spread on a grid, which is
+    transformed, and the spreading is divided out."""
+    cells = 1 << (2 * n + 2 * SPREAD - 1).bit_length()
+    x = np.mod(step * t, 1.0)
+    c = values * np.exp(2j * np.pi * (low + step * (n // 2)) * t)
+    at = np.ceil(x * cells - SPREAD / 2).astype(np.int64)[:, None] + np.arange(SPREAD)
+    z = (at - x[:, None] * cells) / (SPREAD / 2)
+    part = np.exp(STEEP * (np.sqrt(np.maximum(1 - z * z, 0)) - 1))
+    place = np.mod(at, cells).ravel()
+    grid = np.bincount(place, (part * c.real[:, None]).ravel(), cells) + 1j * np.bincount(place, (part * c.imag[:, None]).ravel(), cells)
+    found = np.fft.ifft(grid, norm="forward")
+    return np.concatenate([found[cells - n // 2 :], found[: n - n // 2]]) / spreading(n, cells)
+
+
+def even_grid(freqs: np.ndarray) -> tuple[float, float, np.ndarray] | None:
+    """(first, step, index of each frequency) where the frequencies lie on an even grid that isn't much larger; else None."""
+    if len(freqs) < FAST_FROM:
+        return None
+    step = float(np.diff(freqs).min())
+    if not step > 0:
+        return None
+    at = np.rint((freqs - freqs[0]) / step).astype(np.int64)
+    step = (freqs[-1] - freqs[0]) / at[-1]
+    even = np.abs(freqs[0] + step * at - freqs).max() < 1e-9 * step * len(freqs)
+    return (float(freqs[0]), step, at) if even and at[-1] < 4 * len(freqs) else None
+
+
 def lomb_scargle(t: np.ndarray, m: np.ndarray, e: np.ndarray, freqs: np.ndarray) -> np.ndarray:
-    """Normalised power of the weighted least-squares sinusoid about the weighted mean."""
+    """Normalised power of the weighted least-squares sinusoid about the weighted mean.
+
+    On an even grid, or one with gaps, the sums come from two Fourier transforms: n log n instead of points times frequencies.
+    """
     w = 1 / e**2
     w = w / w.sum()
     y = m - w @ m
+    t = t - t.min()
+    grid = even_grid(freqs)
     out = [np.zeros(0)]
-    for f in blocks(freqs, len(t)):
-        x = 2 * np.pi * f[:, None] * (t - t.min())
-        c, s = np.cos(x), np.sin(x)
-        yc, ys, cc, ss, cs = (c * (w * y)).sum(1), (s * (w * y)).sum(1), (w * c * c).sum(1), (w * s * s).sum(1), (w * c * s).sum(1)
+    for f in [freqs] if grid else blocks(freqs, len(t)):
+        if grid:
+            low, step, at = grid
+            one = fourier_sums(t, w * y, low, step, int(at[-1]) + 1)[at]
+            two = fourier_sums(t, w, 2 * low, 2 * step, int(at[-1]) + 1)[at]
+            yc, ys, cc, ss, cs = one.real, one.imag, (1 + two.real) / 2, (1 - two.real) / 2, two.imag / 2
+        else:
+            x = 2 * np.pi * f[:, None] * t
+            c, s = np.cos(x), np.sin(x)
+            yc, ys, cc, ss, cs = (c * (w * y)).sum(1), (s * (w * y)).sum(1), (w * c * c).sum(1), (w * s * s).sum(1), (w * c * s).sum(1)
         with np.errstate(divide="ignore", invalid="ignore"):
             out.append((ss * yc**2 + cc * ys**2 - 2 * cs * yc * ys) / (((w * y * y).sum()) * (cc * ss - cs**2)))
     return np.concatenate(out)
@@ -111,12 +182,17 @@ def box_least_squares(t: np.ndarray, m: np.ndarray, e: np.ndarray, freqs: np.nda
     for f in blocks(freqs, max(len(t), bins)):
         r, s = binned(t, w, f, bins), binned(t, y, f, bins)
         r, s = (np.concatenate([np.zeros((len(f), 1)), np.cumsum(np.concatenate([x, x], axis=1), axis=1)], axis=1) for x in (r, s))
-        best = np.zeros(len(f))
+        best, a, b = np.zeros((len(f), bins)), np.empty((len(f), bins)), np.empty((len(f), bins))
         for k in widths:
-            a, b = r[:, k : k + bins] - r[:, :bins], s[:, k : k + bins] - s[:, :bins]
-            inside = (a > 1e-12) & (a < 1 - 1e-12)
-            best = np.maximum(best, np.where(inside, b**2 / np.where(inside, a * (1 - a), 1), 0).max(1))
-        out.append(np.sqrt(best))
+            np.subtract(r[:, k : k + bins], r[:, :bins], out=a)
+            np.subtract(s[:, k : k + bins], s[:, :bins], out=b)
+            np.multiply(b, b, out=b)
+            np.subtract(a, a * a, out=a)
+            # a box that holds nothing, or all, says nothing
+            a[a <= 1e-12] = np.inf
+            np.divide(b, a, out=b)
+            np.maximum(best, b, out=best)
+        out.append(np.sqrt(best.max(1)))
     return np.concatenate(out)
 
 
@@ -132,6 +208,37 @@ def harmonic_fit(t: np.ndarray, y: np.ndarray, e: np.ndarray, f: float, terms: i
     return float(rest @ rest), found
 
 
+def harmonics_taken(t: np.ndarray, w: np.ndarray, y: np.ndarray, low: float, step: float, at: np.ndarray, most: int) -> np.ndarray | None:
+    """What 1 to ``most`` harmonics take off the weighted squares of ``y`` at each frequency of an even grid; None if the equations can't be solved.
+
+    All sums of the normal equations are Fourier sums of the weights at multiples of the frequency; one triangular factor serves every number of harmonics.
+    """
+    n, size = int(at[-1]) + 1, 1 + 2 * most
+    of = lambda values, k: fourier_sums(t, values, k * low, k * step, n)[at]
+    wave = [np.full(len(at), w.sum(), dtype=complex), *[of(w, k) for k in range(1, 2 * most + 1)]]
+    left, right = np.empty((len(at), size, size)), np.zeros((len(at), size))
+    left[:, 0, 0], right[:, 0] = w.sum(), w @ y
+    for i in range(1, most + 1):
+        found = of(w * y, i)
+        right[:, 2 * i - 1], right[:, 2 * i] = found.real, found.imag
+        left[:, 0, 2 * i - 1] = left[:, 2 * i - 1, 0] = wave[i].real
+        left[:, 0, 2 * i] = left[:, 2 * i, 0] = wave[i].imag
+        for j in range(1, most + 1):
+            less, more, sign = wave[abs(i - j)], wave[i + j], np.sign(j - i)
+            left[:, 2 * i - 1, 2 * j - 1], left[:, 2 * i, 2 * j] = (less.real + more.real) / 2, (less.real - more.real) / 2
+            left[:, 2 * i - 1, 2 * j] = left[:, 2 * j, 2 * i - 1] = (more.imag + sign * less.imag) / 2
+    # a ridge far below the sums keeps frequencies solvable at which columns depend on each other
+    left += 1e-11 * np.trace(left, axis1=1, axis2=2)[:, None, None] * np.eye(size)
+    try:
+        factor = np.linalg.cholesky(left)
+    except np.linalg.LinAlgError:
+        return None
+    z = np.empty_like(right)
+    for k in range(size):
+        z[:, k] = (right[:, k] - np.einsum("fj,fj->f", factor[:, k, :k], z[:, :k])) / factor[:, k, k]
+    return np.cumsum(z * z, axis=1)[:, 2::2]
+
+
 def harmonic_gains(t: np.ndarray, m: np.ndarray, e: np.ndarray, freqs: np.ndarray, most: int = 3) -> np.ndarray:
     """Gain of 1 to ``most`` harmonics over a constant by the Bayesian information criterion, a column for each number.
 
@@ -141,6 +248,11 @@ def harmonic_gains(t: np.ndarray, m: np.ndarray, e: np.ndarray, freqs: np.ndarra
     w, price = 1 / e**2, math.log(len(t))
     y = m - (w @ m) / w.sum()
     flat = float(w @ (y * y)) + price
+    grid = even_grid(freqs)
+    if grid and len(t) > 1 + 2 * most:
+        taken = harmonics_taken(t - t.min(), w, y, *grid, most)
+        if taken is not None:
+            return flat - np.maximum(flat - price - taken, 0) - price * (1 + 2 * np.arange(1, most + 1))
     out = [np.zeros((0, most))]
     for f in blocks(freqs, len(t) * (1 + 2 * most)):
         x = 2 * np.pi * f[:, None] * (t - t.min())
@@ -183,7 +295,7 @@ def algorithm(name: str) -> str:
     return plain
 
 
-def periodograms(points: DataFrame, freqs: np.ndarray, names: list[str]) -> DataFrame:
+def periodograms(points: DataFrame, freqs: np.ndarray, names: list[str], tasks: int | None = None) -> DataFrame:
     """(id, k, freq, one column for each algorithm): whole periodograms, for small grids."""
     names = [algorithm(n) for n in names]
 
@@ -192,7 +304,7 @@ def periodograms(points: DataFrame, freqs: np.ndarray, names: list[str]) -> Data
         t, m, e = (frame[c].to_numpy(dtype=float) for c in ("t", "m", "e"))
         return pd.DataFrame({"id": frame["id"].iloc[0], "k": np.arange(len(freqs)), "freq": freqs} | {n: KERNELS[n](t, m, e, freqs) for n in names})
 
-    return usable(points).groupBy("id").applyInPandas(work, "id long, k int, freq double, " + ", ".join(f"{n} double" for n in names))
+    return by_curve(usable(points), tasks).applyInPandas(work, f"id {kind_of(points)}, k int, freq double, " + ", ".join(f"{n} double" for n in names))
 
 
 def top_peaks(power: np.ndarray, freqs: np.ndarray, name: str, top: int, parts: int = 3) -> list[tuple[float, float]]:
@@ -214,7 +326,7 @@ def top_peaks(power: np.ndarray, freqs: np.ndarray, name: str, top: int, parts:
     return [(1 / freqs[k], float(abs(mean - power[k]) / spread)) for k in best]
 
 
-def search(points: DataFrame, freqs: np.ndarray, names: list[str], top: int = 8, padded: bool = False) -> DataFrame:
+def search(points: DataFrame, freqs: np.ndarray, names: list[str], top: int = 8, padded: bool = False, tasks: int | None = None) -> DataFrame:
     """(id, algorithm, rank from 1, period, significance): one pass over the curves for all algorithms.
 
     With ``padded`` each curve has ``top`` ranks for each algorithm; those without a peak have NULL.
@@ -232,7 +344,7 @@ def search(points: DataFrame, freqs: np.ndarray, names: list[str], top: int = 8,
         found.insert(0, "id", frame["id"].iloc[0])
         return found.astype({"period": float, "significance": float})
 
-    found = usable(points).groupBy("id").applyInPandas(work, "id long, algorithm string, rank int, period double, significance double")
+    found = by_curve(usable(points), tasks).applyInPandas(work, f"id {kind_of(points)}, algorithm string, rank int, period double, significance double")
     return found.withColumns({c: null_nan(F.col(c)) for c in ("period", "significance")})
 
 
@@ -251,7 +363,7 @@ def prepared(points: DataFrame, by_band: bool = False) -> DataFrame:
     return rows.withColumns({"t": F.col("t") - F.min("t").over(curve), "m": F.when(span > 0, F.col("m") / span).otherwise(F.col("m"))})
 
 
-def harmonic_features(points: DataFrame, periods: DataFrame, most: int = 3, by_band: bool = False) -> DataFrame:
+def harmonic_features(points: DataFrame, periods: DataFrame, most: int = 3, by_band: bool = False, tasks: int | None = None) -> DataFrame:
     """(id, gain_0, gain_1, ..., best): gain of each number of harmonics at the curve's period over a constant, and the number of the largest.
 
     ``periods``: id, period.  Curves without a positive period give no row; a number of harmonics that the points don't suffice for is NULL.
@@ -266,7 +378,8 @@ def harmonic_features(points: DataFrame, periods: DataFrame, most: int = 3, by_b
         return pd.DataFrame([[frame["id"].iloc[0], *row, int(np.argmax(gains))]], columns=["id", *columns, "best"])
 
     wanted = periods.select("id", "period").filter((F.col("period") > 0) & (F.col("period") < float("inf")))
-    found = prepared(points, by_band).select("id", "t", "m", "e").join(wanted, "id").groupBy("id").applyInPandas(work, "id long, " + ", ".join(f"{c} double" for c in columns) + ", best int")
+    joined = prepared(points, by_band).select("id", "t", "m", "e").join(wanted, "id")
+    found = by_curve(joined, tasks).applyInPandas(work, f"id {kind_of(points)}, " + ", ".join(f"{c} double" for c in columns) + ", best int")
     return found.withColumns({c: null_nan(F.col(c)) for c in columns})
 
 
@@ -298,8 +411,11 @@ def nested_search(periodogram: DataFrame, top: int) -> DataFrame:
 FOURIER = ["f1_power", "f1_BIC", "f1_a", "f1_b", "f1_amp", "f1_phi0", *[f"f1_relamp{k}" for k in range(1, 5)], *[f"f1_relphi{k}" for k in range(1, 5)]]
 
 
-def fourier(points: DataFrame, periods: DataFrame, most: int = 5) -> DataFrame:
-    """Fourier decomposition at one period for each curve: number of terms by the information criterion, then amplitudes and phases."""
+def fourier(points: DataFrame, periods: DataFrame, most: int = 5, tasks: int | None = None) -> DataFrame:
+    """Fourier decomposition at one period for each curve: number of terms by the information criterion, then amplitudes and phases.
+
+    Curves without a positive, finite period give no row.
+    """
 
     def work(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values(["t", "m", "e"])
@@ -315,8 +431,9 @@ def fourier(points: DataFrame, periods: DataFrame, most: int = 5) -> DataFrame:
         row = [(fits[0][0] - fits[k][0]) / fits[0][0] if fits[0][0] > 0 else math.nan, cost[k], found[0], found[1], *amplitudes(a, b)]
         return pd.DataFrame([[frame["id"].iloc[0], *row]], columns=["id", *FOURIER])
 
-    joined = usable(points).join(periods.select("id", "period").filter("period > 0"), "id")
-    return joined.groupBy("id").applyInPandas(work, "id long, " + ", ".join(f"{c} double" for c in FOURIER))
+    # NaN is above infinity
+    joined = usable(points).join(periods.select("id", "period").filter((F.col("period") > 0) & (F.col("period") < float("inf"))), "id")
+    return by_curve(joined, tasks).applyInPandas(work, f"id {kind_of(points)}, " + ", ".join(f"{c} double" for c in FOURIER))
 
 
 def amplitudes(a: np.ndarray, b: np.ndarray) -> list[float]:

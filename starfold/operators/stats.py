@@ -81,7 +81,7 @@ def simple_features(points: DataFrame, by: str = "id", tie: list[str] | None = N
     p = F.percentile("m", F.lit(0.5)).over(own)
     rows = points.withColumns({"dt": F.lead("t").over(order) - F.col("t"), "dm": F.lead("m").over(order) - F.col("m"), "median": p, "mean": F.avg("m").over(own), "std": F.stddev_pop("m").over(own), "span": F.max("m").over(own) - F.min("m").over(own)})
     w = 1 / (F.col("e") * F.col("e"))
-    levels = [0.05, 0.175, 0.25, 0.325, 0.4, 0.5, 0.6, 0.675, 0.75, 0.825, 0.95]
+    levels = [0.05, 0.1, 0.175, 0.25, 0.325, 0.4, 0.5, 0.6, 0.675, 0.75, 0.825, 0.9, 0.95]
     flux = F.pow(F.lit(10.0), -0.4 * F.col("m"))
     share = lambda x: F.avg(x.cast("int"))
     sums = rows.groupBy(by).agg(
@@ -112,7 +112,7 @@ def simple_features(points: DataFrame, by: str = "id", tie: list[str] | None = N
     )
     q = dict(zip(levels, (F.col("q")[i] for i in range(len(levels)))))
     wide = q[0.95] - q[0.05]
-    mid = {20: (0.4, 0.6), 35: (0.325, 0.675), 50: (0.25, 0.75), 65: (0.175, 0.825)}
+    mid = {20: (0.4, 0.6), 35: (0.325, 0.675), 50: (0.25, 0.75), 65: (0.175, 0.825), 80: (0.1, 0.9)}
     more = {f"flux_percentile_ratio_mid{k}": F.try_divide(q[hi] - q[lo], wide) for k, (lo, hi) in mid.items()}
     more |= {"percent_difference_flux_percentile": F.try_divide(wide, F.col("f")), "percent_amplitude": F.greatest(F.abs(F.col("f_hi") - F.col("f")), F.abs(F.col("f_lo") - F.col("f"))) / F.col("f"), "amplitude": (F.col("maximum") - F.col("minimum")) / 2}
     return sums.select(*[c for c in sums.columns if c not in ("q", "f", "f_lo", "f_hi")], *[x.alias(c) for c, x in more.items()])

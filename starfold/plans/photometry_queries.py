@@ -137,9 +137,9 @@ def stats_normality(spark: SparkSession, sf_dir: str) -> DataFrame:
 SIMPLE = f"""{SERIES}, a as (select *, lead(t) over o - t as dt, lead(m) over o - m as dm, median(m) over i as med, avg(m) over i as mu, stddev_pop(m) over i as sd, max(m) over i - min(m) over i as span, power(10, -0.4 * m) as f from s window i as (partition by id), o as (partition by id order by t, m, e)),
 g as (select id, count(*) as n_epochs, max(t) - min(t) as total_time, avg(dt) as cads_avg, median(dt) as cads_med, stddev_pop(dt) as cads_std, avg(t) as avgt, avg(m) as mean, avg(e) as avg_err, median(e::double) as med_err, stddev_pop(e) as std_err, stddev_pop(m) as std,
  sum(m / (e * e)) / sum(1 / (e * e)) as weighted_average, min(m) as minimum, max(m) as maximum, max(med) as median, avg(power(m - mu, 3)) / power(max(sd), 3) as skew, median(abs(m - med)) as median_absolute_deviation, avg((abs(m - mu) > sd)::int) as percent_beyond_1_std,
- avg((abs(m - med) < 0.2 * span / 2)::int) as percent_close_to_median, max(case when dt > 0 then abs(dm / dt) end) as max_slope, quantile_cont(f, [0.05, 0.175, 0.25, 0.325, 0.4, 0.6, 0.675, 0.75, 0.825, 0.95]) as q, power(10, -0.4 * max(med)) as fm, min(f) as f_lo, max(f) as f_hi from a group by id)"""
+ avg((abs(m - med) < 0.2 * span / 2)::int) as percent_close_to_median, max(case when dt > 0 then abs(dm / dt) end) as max_slope, quantile_cont(f, [0.05, 0.175, 0.25, 0.325, 0.4, 0.6, 0.675, 0.75, 0.825, 0.95, 0.1, 0.9]) as q, power(10, -0.4 * max(med)) as fm, min(f) as f_lo, max(f) as f_hi from a group by id)"""
 FOUND = ["total_time", "cads_avg", "cads_med", "cads_std", "avgt", "mean", "avg_err", "med_err", "std_err", "std", "weighted_average", "minimum", "maximum", "median", "skew", "median_absolute_deviation", "percent_beyond_1_std", "percent_close_to_median", "max_slope"]
-RATIOS = {"flux_percentile_ratio_mid20": "(q[6] - q[5]) / (q[10] - q[1])", "flux_percentile_ratio_mid35": "(q[7] - q[4]) / (q[10] - q[1])", "flux_percentile_ratio_mid50": "(q[8] - q[3]) / (q[10] - q[1])", "flux_percentile_ratio_mid65": "(q[9] - q[2]) / (q[10] - q[1])", "percent_difference_flux_percentile": "(q[10] - q[1]) / fm", "percent_amplitude": "greatest(abs(f_hi - fm), abs(f_lo - fm)) / fm", "amplitude": "(maximum - minimum) / 2"}
+RATIOS = {"flux_percentile_ratio_mid20": "(q[6] - q[5]) / (q[10] - q[1])", "flux_percentile_ratio_mid35": "(q[7] - q[4]) / (q[10] - q[1])", "flux_percentile_ratio_mid50": "(q[8] - q[3]) / (q[10] - q[1])", "flux_percentile_ratio_mid65": "(q[9] - q[2]) / (q[10] - q[1])", "flux_percentile_ratio_mid80": "(q[12] - q[11]) / (q[10] - q[1])", "percent_difference_flux_percentile": "(q[10] - q[1]) / fm", "percent_amplitude": "greatest(abs(f_hi - fm), abs(f_lo - fm)) / fm", "amplitude": "(maximum - minimum) / 2"}
 
 
 @query("simple_features", f"with {SIMPLE} select id, n_epochs, " + ", ".join([*(f"round({c}, 4) as {c}" for c in FOUND), *(f"round({x}, 4) as {c}" for c, x in RATIOS.items())]) + " from g")
