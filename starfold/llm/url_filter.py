@@ -4,9 +4,9 @@ Level 1 holds the listed keys.  Its false positives among the corpus's complete
 level 2, those of level 2 among the listed keys go to level 3, and so on until a level has none.  A key of the universe is
 then listed exactly if the first level that refuses it is an even one (or if the last level accepts it and is odd).
 
-Keys: a rule ``(host, path prefix)`` is the key ``host + path``; a url's keys are every suffix of its host's
-labels with every prefix of its path whose length some rule has.  Suffixes of more labels than any listed entry has can't be listed
-and are left out, so a host of thousands of labels has no more keys than another.  The universe is all keys of all urls.
+Keys: a rule ``(host, path prefix)`` is the key ``host + path``; a url's keys are the suffixes of its host's
+labels with every prefix of its path whose length some rule has.  Suffixes of a number of labels that no listed entry has can't be listed
+and are left out, so a host of thousands of labels has few keys.  The universe is all keys of all urls.
 
 Every level is a bit array of at most ``MAX_BITS`` bits, made by an aggregation and put into the plan as a literal, so
 what is sent to the tasks is bounded.  A list that needs more is refused with an error, never cut.
@@ -100,9 +100,14 @@ def host_and_path(url: Column) -> tuple[Column, Column]:
     return F.coalesce(host, F.lit("")), F.coalesce(F.regexp_extract(rest, "^[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
-def suffixes(host: Column, most: int) -> Column:
-    """The host's last label, its last two, and so on, up to ``most`` labels; a shorter host ends the list."""
-    return F.array_distinct(F.array(*[F.substring_index(host, ".", -k) for k in range(1, most + 1)]))
+def suffixes(host: Column, counts: Column) -> Column:
+    """The host's last labels, as many as each of ``counts`` (an array) says; a host with fewer has no such suffix."""
+    labels = F.size(F.split(host, r"\."))
+    return F.transform(F.filter(counts, lambda k: k <= labels), lambda k: F.call_function("substring_index", host, F.lit("."), -k))
+
+
+def label_counts(names: Sequence[int]) -> Column:
+    return F.lit(sorted(set(names))) if names else F.array().cast("array<int>")
 
 
 def judge(pages: DataFrame, rules: Sequence[tuple[str, str, str]], listed: DataFrame, url: str = "url") -> DataFrame:
@@ -118,12 +123,13 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str, str]], listed: DataF
     kept = [c for c in pages.columns if c not in own]
     base = inner.select(*[held[c] for c in kept], host.alias("host"), path.alias("path"))
     lengths = sorted({len(p) for _, p, _ in rules})
-    labels = max((h.count(".") + 1 for h, _, _ in rules), default=1)
+    labels = label_counts([h.count(".") + 1 for h, _, _ in rules])
     names = listed.select("key").na.drop().filter("key <> ''").distinct()
-    most = names.agg(F.max(F.size(F.split("key", r"\."))).alias("n")).first()["n"] or 1
+    # how many labels listed names have: as many numbers as the list has lengths, however long its longest name is
+    listed_labels = label_counts([r["n"] for r in names.select(F.size(F.split("key", r"\.")).alias("n")).distinct().collect()])
     prefix = F.filter(F.array(*[F.when(F.length("path") >= n, F.left(F.col("path"), F.lit(n))) for n in lengths]), lambda x: x.isNotNull())
     keys = F.flatten(F.transform(suffixes(F.col("host"), labels), lambda s: F.transform(prefix, lambda p: F.concat(s, p))))
-    base = base.withColumn("keys", keys).withColumn("hosts", suffixes(F.col("host"), most))
+    base = base.withColumn("keys", keys).withColumn("hosts", suffixes(F.col("host"), listed_labels))
 
     key_universe = shared_checkpoint(base.select(F.explode("keys").alias("key")).distinct())
     host_universe = shared_checkpoint(base.select(F.explode("hosts").alias("key")).filter("key <> ''").distinct())

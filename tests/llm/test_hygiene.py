@@ -101,6 +101,14 @@ def test_long_hosts(spark):
     assert found == {0: ("com/", "allow"), 1: (None, "block"), 2: (None, "allow")}
 
 
+def test_long_listed_hosts(spark):
+    """A listed name at the front of a host of many labels makes the listed entry long."""
+    hosts = [".".join(["free-bets", *["a"] * 20_000, "org"]), ".".join(["x", "free-bets", *["a"] * 20_000, "org"]), ".".join(["a"] * 20_000 + ["org"]), "ads-track.net", "free-bets"]
+    pages = spark.createDataFrame([(i, f"http://{h}/x") for i, h in enumerate(hosts)], "page_id long, url string")
+    found = {r.page_id: r.verdict for r in url_filter.judge(pages, url_filter.RULES, url_filter.listed_hosts(pages)).collect()}
+    assert found == {0: "block", 1: "block", 2: "allow", 3: "block", 4: "block"}
+
+
 def test_a_list_of_many_hosts(spark):
     hosts = [f"h{i}.d{i % 50}.{'com' if i % 3 else 'org'}" for i in range(3000)]
     listed = {h for i, h in enumerate(hosts) if i % 7 == 0} | {"d1.org", "absent.net"}
