@@ -2,7 +2,7 @@
 
 Method: linear grouping.  Large lengths are put in groups of equal cardinality and rounded up to the
 largest of their group; configurations of the few rounded sizes are optimised by a linear program whose columns are generated (each round
-prices the sizes and adds the configuration that is worth most), rounded down, and the rest is filled as tightly as can be; actual
+prices the sizes and adds the configurations that are worth most) until it is solved, and rounded down; actual
 documents take the places of the rounded ones; small documents then go to the tightest gap that holds them.
 
 Everything the driver plans with is the histogram of lengths, which has at most ``capacity`` entries however
@@ -17,6 +17,7 @@ each for itself; an empty table gives an empty result; extra columns are ignored
 from __future__ import annotations
 
 import bisect
+import math
 import zlib
 from collections import Counter
 from dataclasses import dataclass
@@ -33,10 +34,14 @@ CAPACITY = 2048
 #: Lengths over capacity / SMALL_PART are large.
 SMALL_PART = 8
 #: Groups of equal cardinality among the large lengths.
-GROUPS = 256
+GROUPS = 128
+#: How much prices lean to the best feasible ones.
+SMOOTH = 0.95
+#: Share of the sequences by which a program may lie above its bound.
+GAP = 0.001
+#: Rounds after which the program's inverse is computed anew.
+RENEWED = 20
 END_ID = 0
-#: Rounds of column generation, at most; every round leaves a valid solution.
-ROUNDS = 300
 
 
 def token_pieces(docs: DataFrame, path: str, ranks: str, capacity: int = CAPACITY) -> DataFrame:
@@ -106,72 +111,164 @@ def fill(sizes: list[int], room: int) -> list[int]:
 
 
 def dearest(sizes: np.ndarray, price: np.ndarray, capacity: int) -> tuple[float, np.ndarray]:
-    """(value, counts) of the configuration that is worth most at these prices: the knapsack problem by dynamic programming."""
-    best, last = np.zeros(capacity + 1), np.full(capacity + 1, -1)
-    least = int(sizes[0])
-    for room in range(least, capacity + 1):
-        able = np.searchsorted(sizes, room, side="right")
-        value = best[room - sizes[:able]] + price[:able]
-        k = int(np.argmax(value))
-        if value[k] > best[room - 1]:
-            best[room], last[room] = value[k], k
-        else:
-            best[room] = best[room - 1]
-    found, room = np.zeros(len(sizes)), capacity
-    while room >= least:
-        if last[room] < 0:
-            room -= 1
+    """(largest worth of a configuration at these prices, columns): for each size the dearest configuration that holds it.
+
+    The knapsack problem by dynamic programming; one table answers for every room that is left.
+    """
+    best = np.zeros(capacity + 1)
+    steps = np.zeros((len(sizes), capacity + 1), dtype=np.int64)
+    for k, (size, worth) in enumerate(zip(sizes.tolist(), price.tolist())):
+        if worth <= 0:
             continue
-        found[last[room]] += 1
-        room -= int(sizes[last[room]])
-    return float(best[capacity]), found
+        before = best
+        best = before.copy()
+        for n in range(1, capacity // size + 1):
+            more = before[: capacity + 1 - n * size] + n * worth
+            better = more > best[n * size :]
+            best[n * size :][better] = more[better]
+            steps[k, n * size :][better] = n
+    room = capacity - sizes
+    found = np.zeros((len(sizes), len(sizes)))
+    for k in range(len(sizes) - 1, -1, -1):
+        found[k] = steps[k, room]
+        room = room - found[k].astype(np.int64) * sizes[k]
+    return float(best[capacity]), np.unique(found + np.eye(len(sizes)), axis=1)
+
+
+def greedy_basis(sizes: np.ndarray, wanted: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
+    """(patterns as columns, fractional multiplicities) by best filling: each pattern uses up one size, so there are as many as sizes."""
+    left = dict(zip(sizes.tolist(), wanted.tolist()))
+    place = {s: k for k, s in enumerate(sizes.tolist())}
+    columns, times = [], []
+    while left:
+        top = max(left)
+        need = Counter([top, *fill(sorted(left, reverse=True), capacity - top)])
+        scarce = min(need, key=lambda s: left[s] / need[s])
+        n = left[scarce] / need[scarce]
+        column = np.zeros(len(sizes))
+        for s, k in need.items():
+            column[place[s]] = k
+            left[s] -= k * n
+        del left[scarce]
+        # rounding may leave a hair below nothing
+        left = {s: max(x, 0.0) for s, x in left.items()}
+        columns.append(column), times.append(n)
+    return np.array(columns).T, np.array(times)
+
+
+@dataclass
+class Program:
+    """Patterns (columns over the sizes) with fractional multiplicities; no solution needs less than ``bound``."""
+
+    sizes: np.ndarray
+    patterns: np.ndarray
+    times: np.ndarray
+    bound: float
 
 
-def optimised(counts: dict[int, int], capacity: int, rounds: int = ROUNDS) -> list[tuple[list[int], int]]:
-    """Configurations with multiplicities, rounded down, of the linear program that needs the fewest sequences for ``counts``.
+def linear_program(counts: dict[int, int], capacity: int) -> Program:
+    """The linear program that needs the fewest sequences for ``counts``: the simplex method with generated columns, from the greedy patterns.
 
-    It starts from sequences of one size each and changes one configuration a round, the simplex method with generated columns.
+    It ends when no configuration is worth more than a sequence, or when by the prices' bound not one whole sequence, or less than the share ``GAP``, is left to gain.
     """
     sizes = np.array(sorted(s for s, n in counts.items() if n), dtype=np.int64)
     wanted = np.array([counts[s] for s in sizes], dtype=float)
-    if not len(sizes) or wanted.sum() < 8 * len(sizes):
-        return []  # rounding down leaves next to nothing of so few
-    base = np.diag((capacity // sizes).astype(float))
-    times = wanted / np.diag(base)
-    for _ in range(rounds):
-        price = np.linalg.solve(base.T, np.ones(len(sizes)))
-        value, column = dearest(sizes, price, capacity)
-        if value <= 1 + 1e-9:
-            break
-        step = np.linalg.solve(base, column)
-        able = step > 1e-9
-        if not able.any():
+    base, times = greedy_basis(sizes, wanted, capacity)
+    inverse = np.linalg.inv(base)
+    bound = float(sizes @ wanted) / capacity
+    enough = lambda: math.ceil(times.sum() - 1e-6) <= math.ceil(bound - 1e-6) or times.sum() <= (1 + GAP) * bound
+    # configurations are generated at prices between the program's and the best feasible ones so far, at first a size's share of
+    # a sequence: the program's own prices swing too far in its first rounds
+    held, near, rounds = sizes / capacity, SMOOTH, 0
+    while not enough():
+        price = inverse.sum(axis=0)
+        between = near * held + (1 - near) * price
+        value, columns = dearest(sizes, between, capacity)
+        # prices over the dearest pattern's worth are feasible for the dual program
+        if (low := float(between @ wanted) / max(value, 1.0)) > bound:
+            bound, held = low, between / max(value, 1.0)
+        if np.einsum("i,ij->j", price, columns).max() <= 1 + 1e-7:
+            if not near:
+                break
+            near = near / 2 if near > 0.05 else 0.0
+            continue
+        near = SMOOTH
+        # the new columns enter one after another, the dearest first, as long as any is worth more than a sequence
+        moved = False
+        for _ in range(4 * len(sizes)):
+            worth = np.einsum("i,ij->j", inverse.sum(axis=0), columns)
+            best = int(np.argmax(worth))
+            if worth[best] <= 1 + 1e-7:
+                break
+            step = np.einsum("ij,j->i", inverse, columns[:, best])
+            able = step > 1e-7
+            if not able.any():
+                break
+            ratio = np.where(able, times / np.where(able, step, 1), np.inf)
+            out = int(np.argmin(ratio))
+            base[:, out], moved = columns[:, best], True
+            times = times - ratio[out] * step
+            times[out] = ratio[out]
+            row = inverse[out] / step[out]
+            inverse -= np.outer(step, row)
+            inverse[out] = row
+        if not moved:
             break
-        ratio = np.where(able, times / np.where(able, step, 1), np.inf)
-        base[:, int(np.argmin(ratio))] = column
-        times = np.linalg.solve(base, wanted)
-    whole = np.floor(np.maximum(times, 0) + 1e-9).astype(np.int64)
-    out, left = [], dict(zip(sizes.tolist(), wanted.astype(np.int64).tolist()))
-    for k in np.flatnonzero(whole):
-        need = {int(s): int(c) for s, c in zip(sizes, base[:, k]) if c > 0.5}
-        n = min([int(whole[k]), *(left[s] // c for s, c in need.items())])
-        if n > 0:
-            out.append(([s for s, c in sorted(need.items(), reverse=True) for _ in range(c)], n))
-            for s, c in need.items():
-                left[s] -= c * n
-    return out
+        rounds += 1
+        if rounds % RENEWED == 0:
+            # anew from the patterns, so that rounding errors don't add up
+            inverse = np.linalg.inv(base)
+            times = np.maximum(inverse @ wanted, 0)
+    times = np.maximum(np.linalg.solve(base, wanted), 0)
+    return Program(sizes, base, times, bound)
 
 
 def configurations(counts: dict[int, int], capacity: int) -> list[tuple[list[int], int]]:
-    """Patterns of the few rounded sizes with multiplicities: those of the linear program, then best filling of what rounding down left;
-    or best filling alone, should that need fewer sequences."""
-    first, left = optimised(counts, capacity), Counter(counts)
-    for pattern, times in first:
-        for s in pattern:
-            left[s] -= times
-    by_program, plain = first + filled(left, capacity), filled(counts, capacity)
-    total = lambda found: sum(times for _, times in found)
-    return by_program if total(by_program) <= total(plain) else plain
+    """Patterns of the few rounded sizes with whole multiplicities that hold every piece once.
+
+    The program's multiplicities are rounded down.  What that leaves, less than one sequence of each pattern, is packed by smaller programs of its own, or by
+    best filling if that needs fewer sequences.
+    """
+    if not any(counts.values()):
+        return []
+    first, left = rounded_down(linear_program(counts, capacity), counts)
+    return first + min(dived(left, capacity), filled(left, capacity), key=lambda found: sum(times for _, times in found))
+
+
+def whole(column: np.ndarray, sizes: np.ndarray, times: int, left: Counter[int]) -> list[tuple[list[int], int]]:
+    """The pattern as often as it's wanted and pieces are left for it; they are taken from ``left``."""
+    need = {int(s): int(c) for s, c in zip(sizes, column) if c > 0.5}
+    times = min([times, *(left[s] // c for s, c in need.items())])
+    if times <= 0:
+        return []
+    for s, c in need.items():
+        left[s] -= c * times
+    return [([s for s, c in sorted(need.items(), reverse=True) for _ in range(c)], times)]
+
+
+def rounded_down(program: Program, counts: dict[int, int]) -> tuple[list[tuple[list[int], int]], Counter[int]]:
+    """(patterns with multiplicities rounded down, the pieces that are left)."""
+    left, out = Counter({s: n for s, n in counts.items() if n}), []
+    for k, n in enumerate(np.floor(program.times + 1e-9).astype(np.int64).tolist()):
+        out += whole(program.patterns[:, k], program.sizes, n, left)
+    return out, +left
+
+
+def dived(counts: Counter[int], capacity: int) -> list[tuple[list[int], int]]:
+    """Programs one after another, each rounded down; where that leaves nothing, its patterns with the largest fractions are taken once."""
+    left, out = Counter(counts), []
+    while left := +left:
+        program = linear_program(left, capacity)
+        found, left = rounded_down(program, left)
+        if not found:
+            order = np.argsort(-program.times, kind="stable").tolist()
+            for k in [order[0], *(k for k in order[1:] if program.times[k] > 0.6)]:
+                found += whole(program.patterns[:, k], program.sizes, 1, left)
+        if not found:
+            # the pattern holds more of a size than is left
+            return out + filled(left, capacity)
+        out += found
+    return out
 
 
 def filled(counts: dict[int, int], capacity: int) -> list[tuple[list[int], int]]:

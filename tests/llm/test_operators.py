@@ -423,29 +423,49 @@ def test_plans_hold_each_piece_once(n):
     assert held == histogram
 
 
-def test_configurations_of_the_program_beat_best_filling():
-    counts = {900: 400, 700: 600, 600: 500, 450: 300, 333: 900}
-    program, plain = packing.optimised(counts, 2048), packing.filled(counts, 2048)
+def checked(patterns, counts):
     used = Counter()
-    for pattern, times in program:
+    for pattern, times in patterns:
         assert sum(pattern) <= 2048 and times > 0
         for s in pattern:
             used[s] += times
-    assert all(used[s] <= counts[s] for s in used)
-    both = packing.configurations(counts, 2048)
-    done = Counter()
-    for pattern, times in both:
-        for s in pattern:
-            done[s] += times
-    assert done == counts and sum(n for _, n in both) <= sum(n for _, n in plain)
-    assert sum(n for _, n in both) <= -(-sum(s * n for s, n in counts.items()) // 2048) + 40
+    assert used == Counter(counts)
+    return sum(times for _, times in patterns)
 
 
-def test_the_dearest_configuration_equals_trial():
+def test_configurations_of_the_program_beat_best_filling():
+    counts = {900: 400, 700: 600, 600: 500, 450: 300, 333: 900}
+    program, plain = packing.linear_program(counts, 2048), packing.filled(counts, 2048)
+    assert np.allclose(program.patterns @ program.times, [counts[s] for s in program.sizes]) and (program.patterns.T @ program.sizes <= 2048).all()
+    assert math.ceil(program.times.sum() - 1e-6) <= math.ceil(program.bound - 1e-6) <= checked(plain, counts)
+    both = checked(packing.configurations(counts, 2048), counts)
+    assert both <= checked(plain, counts) and both <= program.bound + len(counts)
+
+
+def test_the_program_is_solved_and_makes_the_plan_of_real_lengths(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text")
+    pieces = packing.token_pieces(docs, bpe.default_vocabulary(), bpe.default_vocabulary("byte_bpe_50k.tiktoken"))
+    histogram = {r.length: r["count"] for r in pieces.groupBy("length").count().collect()}
+    large = {x: n for x, n in histogram.items() if 256 < x < 2048}
+    rounded, sizes = packing.group_sizes(large, packing.GROUPS), Counter()
+    for x, n in large.items():
+        sizes[rounded[x]] += n
+    program = packing.linear_program(sizes, 2048)
+    assert program.times.sum() <= (1 + packing.GAP) * program.bound + 1
+    first, left = packing.rounded_down(program, sizes)
+    total = checked(packing.configurations(sizes, 2048), sizes)
+    assert sum(times for _, times in first) > 0.95 * total and sum(left.values()) < 0.05 * sum(sizes.values())
+    assert total < checked(packing.filled(sizes, 2048), sizes) and total <= 1.005 * program.bound
+    assert sum(run.times for run in packing.plan(histogram)) <= 1.005 * sum(x * n for x, n in histogram.items()) / 2048
+
+
+def test_the_dearest_configurations_equal_trial():
     sizes, price = np.array([300, 500, 700]), np.array([0.2, 0.3, 0.45])
-    best = max(a * 0.2 + b * 0.3 + c * 0.45 for a in range(7) for b in range(5) for c in range(3) if 300 * a + 500 * b + 700 * c <= 2048)
+    able = [(a, b, c) for a in range(7) for b in range(5) for c in range(3) if 300 * a + 500 * b + 700 * c <= 2048]
     value, found = packing.dearest(sizes, price, 2048)
-    assert abs(value - best) < 1e-12 and abs(found @ price - best) < 1e-12 and found @ sizes <= 2048
+    assert abs(value - max(price @ np.array(x) for x in able)) < 1e-12 and (sizes @ found <= 2048).all()
+    for k in range(3):
+        assert abs(max(price @ np.array(x) for x in able if x[k]) - max(price @ x for x in found.T if x[k])) < 1e-12
 
 
 def test_blocks_of_ids_equal_bisection(spark):
