@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from starfold.functions.photometry import null_nan
+from starfold.operators import quantiles
 from starfold.operators.modelling import hash_order, up_to_row
 
 #: Ids that name a source, in order of preference; 0 is "none".
@@ -128,15 +129,21 @@ def compare_ranks(a: DataFrame, b: DataFrame) -> DataFrame:
     first = a.filter("rank = 1").select("id", "algorithm", F.col("period").alias("first"))
     both = b.filter(F.col("period") > 0).join(first, ["id", "algorithm"])
     same = F.abs(F.try_divide("period", "first") - 1) < 0.05
-    return both.groupBy("algorithm", "rank").agg(F.count(F.lit(1)).alias("n"), F.percentile("period", F.lit(0.5)).alias("median"), F.min("period").alias("lo"), F.max("period").alias("hi"), F.count_if(same).alias("same"))
+    group = ["algorithm", "rank"]
+    counts = both.groupBy(*group).agg(F.count(F.lit(1)).alias("n"), F.min("period").alias("lo"), F.max("period").alias("hi"), F.count_if(same).alias("same"))
+    name = F.to_json(F.struct(*group))
+    # a few groups, of any number of rows: medians by selection, not in one task each
+    medians = quantiles.of_groups(both.select(name.alias("c"), F.col("period").alias("v")), [0.5])
+    known = a.sparkSession.createDataFrame([(c, m) for c, (m,) in medians.items()], "name string, median double")
+    return counts.withColumn("name", name).join(F.broadcast(known), "name", "left").select(*group, "n", "median", "lo", "hi", "same")
 
 
 def described(table: DataFrame, column: str) -> DataFrame:
     """One row: count, mean, standard deviation, minimum, quartiles and maximum of a column without NULL and NaN."""
     x = null_nan(F.col(column).cast("double"))
-    q = F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("q")
-    found = table.agg(F.count(x).alias("count"), F.avg(x).alias("mean"), F.stddev(x).alias("std"), F.min(x).alias("min"), q, F.max(x).alias("max"))
-    return found.select("count", "mean", "std", "min", *[F.col("q")[i].alias(f"q{p}") for i, p in enumerate((25, 50, 75))], "max")
+    q = quantiles.of_columns(table, [column], [0.25, 0.5, 0.75])[column]
+    found = table.agg(F.count(x).alias("count"), F.avg(x).alias("mean"), F.stddev(x).alias("std"), F.min(x).alias("min"), F.max(x).alias("max"))
+    return found.select("count", "mean", "std", "min", *[F.lit(v).cast("double").alias(f"q{p}") for v, p in zip(q, (25, 50, 75))], "max")
 
 
 def with_object_names(rows: DataFrame, names: DataFrame) -> DataFrame:

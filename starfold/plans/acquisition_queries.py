@@ -103,13 +103,13 @@ def match_input(spark: SparkSession, sf_dir: str) -> DataFrame:
     return acquisition.match_input(wanted, table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("ztf_id"), F.col("c_name").alias("found")))
 
 
-@query("window_sources", f"with o as (select o_custkey, max(o_orderdate) as saved from orders group by 1), t as (select {place('o_custkey')} from o where saved between timestamp '1997-06-01' and timestamp '1998-06-01'), c as (select {place('s_suppkey')} from supplier), pr as (select t.id as obj_id, c.id as _id from t join c on abs(t.dec - c.dec) <= {RADIUS} and {separation('t.ra', 't.dec', 'c.ra', 'c.dec')} <= {RADIUS}) select min(obj_id) as obj_id, _id from pr group by _id")
+@query("window_sources", f"with o as (select o_custkey, max(o_orderdate) as saved from orders group by 1), t as (select {place('o_custkey')} from o where saved between timestamp '2000-08-01' and timestamp '2001-07-15'), c as (select {place('s_suppkey')} from supplier), pr as (select t.id as obj_id, c.id as _id from t join c on abs(t.dec - c.dec) <= {RADIUS} and {separation('t.ra', 't.dec', 'c.ra', 'c.dec')} <= {RADIUS}) select min(obj_id) as obj_id, _id from pr group by _id")
 def window_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     saved = table(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.max("o_orderdate").alias("saved_at"))
     k = F.col("o_custkey")
     sources = saved.select(k.alias("obj_id"), F.pmod(k * F.lit(137.508), F.lit(360.0)).alias("ra"), (-90 + 180 * F.pmod(k * F.lit(0.754877), F.lit(1.0))).alias("dec"), "saved_at")
     found = positions(spark, sf_dir, "supplier", "s_suppkey").withColumnRenamed("id", "_id")
-    return acquisition.window_sources(sources, found, "1997-06-01", 365, RADIUS).select("obj_id", "_id")
+    return acquisition.window_sources(sources, found, "2000-08-01", 348, RADIUS).select("obj_id", "_id")
 
 
 @query("source_list", f"with c as (select {place('c_custkey')} from customer) select id as ztf_id, round(ra - 180, 6) as lon, round(dec, 6) as lat from c")

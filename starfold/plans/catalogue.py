@@ -28,7 +28,7 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
-from starfold.plans import acquisition_queries, cadence_queries, curation_queries, model_queries, period_queries, photometry_queries, spatial_queries  # noqa: E402, F401
+from starfold.plans import acquisition_queries, cadence_queries, curation_queries, model_queries, network_queries, period_queries, photometry_queries, spatial_queries  # noqa: E402, F401
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:

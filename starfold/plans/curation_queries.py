@@ -91,9 +91,9 @@ def duplicate_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return curation.duplicates(table(spark, sf_dir, "orders"), "o_custkey")
 
 
-@query("pending_ids", "select c_custkey as id from customer where c_custkey not in (select o_custkey from orders)")
+@query("pending_ids", "select c_custkey as id from customer where c_custkey not in (select o_custkey from orders where o_orderkey % 7 = 0)")
 def pending_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    done = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("id"))
+    done = table(spark, sf_dir, "orders").filter("o_orderkey % 7 = 0").select(F.col("o_custkey").alias("id"))
     return curation.pending(table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id")), done, "id")
 
 

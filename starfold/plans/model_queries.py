@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from starfold.functions.photometry import magnitude
 from starfold.operators import modelling, predictions as combined
 from starfold.plans.catalogue import query
+from starfold.plans.photometry_queries import THIN
 from starfold.plans.roles import PREDICTIONS, predictions, series, table
 from starfold.streaming import events
 
@@ -359,15 +360,16 @@ def run_folder(spark: SparkSession) -> str:
     return f"{where}/stream-{uuid.uuid4().hex}"
 
 
-@query("event_stream")
+@query("event_stream", f"{THIN} select s.id, round(s.t, 6) as t, round(s.m, 6) as m from r join s using (event_id) where keep")
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The series as a stream, thinned with state and written to a table that is read back."""
     run = run_folder(spark)
     series(spark, sf_dir).select("id", "t", "m").repartitionByRange(4, "id").sortWithinPartitions("t").write.parquet(f"{run}/in")
     points = events.read_points(spark, f"{run}/in", "id long, t double, m double")
-    done = events.thinned_stream(points, 0.5).writeStream.option("checkpointLocation", f"{run}/state").trigger(availableNow=True).format("parquet").start(f"{run}/out")
+    done = events.thinned_stream(points, 0.5, idle_days=30.0).writeStream.option("checkpointLocation", f"{run}/state").trigger(availableNow=True).format("parquet").start(f"{run}/out")
     done.awaitTermination()
-    return spark.read.schema("id long, t double, m double").parquet(f"{run}/out")
+    out = spark.read.schema("id long, t double, m double").parquet(f"{run}/out")
+    return out.select("id", F.round("t", 6).alias("t"), F.round("m", 6).alias("m"))
 
 
 @query("windowed_counts", "select day, band, n, mean_m from (select time_bucket(interval '1 day', ts) as day, event_type as band, count(*) as n, round(avg(-2.5 * log10(value) + 31.4), 6) as mean_m from events group by 1, 2) where day + interval '1 day' <= (select max(ts) from events) - interval '7 days'")
