@@ -7,12 +7,12 @@ from collections.abc import Sequence
 from functools import reduce
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from starfold.functions.photometry import null_nan
 from starfold.operators import quantiles
+from starfold.operators.neighbours import impute_nearest
 
 
 def feature_stats(table: DataFrame, features: Sequence[str]) -> DataFrame:
@@ -43,50 +43,6 @@ def impute(table: DataFrame, strategies: dict[str, str], reference: DataFrame |
     return filled.na.drop(subset=of("none")).select(table.columns)
 
 
-#: Donors, and rows that lack values, that are compared at once.
-KNN_BLOCK = 5_000
-
-
-def impute_nearest(table: DataFrame, features: Sequence[str], reference: DataFrame, k: int = 5, block: int = KNN_BLOCK) -> DataFrame:
-    """Fills missing values with the mean of the ``k`` nearest reference rows that have them; ties go to the least id.
-
-    Distances use the features that both rows have, scaled up to all.  Every reference row is compared: rows and donors are dealt into
-    blocks by hash of the id, each pair of blocks keeps its best ``k`` donors of a value, and these are merged.
-    """
-    own = list(features)
-    plain = lambda df: df.select("id", *[null_nan(F.col(c).cast("double")).alias(c) for c in own])
-    lacks = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in own])
-    # equal rows get equal values, so the key of a row is all of it
-    keyed = plain(table).withColumn("__row", F.to_json(F.struct("id", *own)))
-    rows, donors = keyed.filter(lacks).dropDuplicates(["__row"]), plain(reference).filter(F.coalesce(*own).isNotNull())
-    row_blocks, donor_blocks = (max(1, -(-x.count() // block)) for x in (rows, donors))
-    left = rows.withColumn("__i", F.pmod(F.xxhash64("__row"), F.lit(row_blocks)).cast("int")).withColumn("__j", F.explode(F.sequence(F.lit(0), F.lit(donor_blocks - 1))))
-    right = donors.withColumn("__j", F.pmod(F.xxhash64("id", *own), F.lit(donor_blocks)).cast("int")).withColumn("__i", F.explode(F.sequence(F.lit(0), F.lit(row_blocks - 1))))
-
-    def work(left, right):
-        x, y, ids = left[own].to_numpy(dtype=float), right[own].to_numpy(dtype=float), right["id"].to_numpy()
-        found = []
-        for i, row in enumerate(left["__row"].to_numpy() if len(y) else ()):
-            both = ~np.isnan(y) & ~np.isnan(x[i])
-            shared = both.sum(axis=1)
-            distance = np.where(shared > 0, (np.where(both, y - x[i], 0.0) ** 2).sum(axis=1) * len(own) / np.maximum(shared, 1), np.inf)
-            for j in np.flatnonzero(np.isnan(x[i])):
-                able = np.flatnonzero(~np.isnan(y[:, j]) & np.isfinite(distance))
-                if len(able) > k:
-                    # all that are no farther than the k-th, for ties
-                    able = able[distance[able] <= np.partition(distance[able], k - 1)[k - 1]]
-                best = able[np.lexsort((ids[able], distance[able]))][:k]
-                found += [(row, int(j), distance[b], ids[b], y[b, j]) for b in best]
-        return pd.DataFrame(found, columns=["__row", "j", "distance", "donor", "value"])
-
-    kind = dict(reference.dtypes)["id"]
-    near = left.groupBy("__i", "__j").cogroup(right.groupBy("__i", "__j")).applyInPandas(lambda a, b: work(a, b), f"__row string, j int, distance double, donor {kind}, value double")
-    order = Window.partitionBy("__row", "j").orderBy("distance", "donor", "value")
-    best = near.withColumn("r", F.row_number().over(order)).filter(F.col("r") <= k)
-    values = best.groupBy("__row").agg(*[F.avg(F.when(F.col("j") == j, F.col("value"))).alias(f"__{j}") for j in range(len(own))])
-    return keyed.join(values, "__row", "left").select("id", *[F.coalesce(F.col(c), F.col(f"__{j}")).alias(c) for j, c in enumerate(own)])
-
-
 def missing_flags(table: DataFrame, features: Sequence[str]) -> DataFrame:
     """(id, missing): names of the features that a row lacks."""
     lacks = F.array(*[F.when(null_nan(F.col(c).cast("double")).isNull(), F.lit(c)) for c in features])
