@@ -6,6 +6,7 @@ boundaries and a 64-bit hash for every word, so that the cost for each document
 
 from __future__ import annotations
 
+import contextlib
 import gc
 import re
 import tempfile
@@ -57,6 +58,22 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+@contextlib.contextmanager
+def small_batches(spark: SparkSession, rows: int = 2000) -> Iterator[None]:
+    """While it lasts, Spark hands rows to Python in Arrow batches of at most ``rows``: buffers of whole texts are what an executor holds
+    beside its heap.  Only for work that is done (checkpointed) inside."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, str(min(rows, int(before or rows)) if int(before or rows) > 0 else rows))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 def read_documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", *columns)
 
