@@ -348,13 +348,13 @@ def search(points: DataFrame, freqs: np.ndarray, names: list[str], top: int = 8,
     return found.withColumns({c: null_nan(F.col(c)) for c in ("period", "significance")})
 
 
-def prepared(points: DataFrame, by_band: bool = False) -> DataFrame:
-    """(id, [band,] t, m, e) as the search takes them: times since the curve's first, magnitudes over their range (as they are where that is 0).
+def prepared(points: DataFrame, by_band: bool = False, *more: str) -> DataFrame:
+    """(id, [band,] more columns, t, m, e) as the search takes them: times since the curve's first, magnitudes over their range (as they are where that is 0).
 
     With ``by_band`` the weighted mean of each band of a curve is taken off first, and then the least of the curve.
     """
     curve, band = Window.partitionBy("id"), Window.partitionBy("id", "band")
-    rows = usable(points, *["band"] * by_band)
+    rows = usable(points, *["band"] * by_band, *more)
     if by_band:
         w = 1 / F.greatest(F.col("e") * F.col("e"), F.lit(1e-30))
         rows = rows.withColumn("m", F.col("m") - F.sum(w * F.col("m")).over(band) / F.sum(w).over(band))

@@ -12,7 +12,7 @@ from starfold.operators import agreement, clean, curves, periods, stats
 ALGORITHMS = ("LS", "CE", "AOV")
 
 
-def feature_table(points: DataFrame, algorithms: Sequence[str] = ALGORITHMS, cadence_days: float = 30 / 1440, least: int = 50, top: int = 3, samples_per_peak: int = 5, max_freq: float = 4.0, base: float | None = None) -> DataFrame:
+def feature_table(points: DataFrame, algorithms: Sequence[str] = ALGORITHMS, cadence_days: float = 30 / 1440, least: int = 50, top: int = 3, samples_per_peak: int = 10, max_freq: float = 48.0, base: float | None = None) -> DataFrame:
     """Statistics, ranked periods, agreement, Fourier features and dm-dt images of (id, t, m, e).
 
     The frequency grid needs the longest baseline of all curves: the one scalar that comes to the driver, unless it is given.

@@ -117,11 +117,16 @@ def impute_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("id", F.round("x", 4).alias("x"), F.round("y", 4).alias("y"), "z")
 
 
-@query("impute_regress")
+def nearest_sql(wanted: str, by: str) -> str:
+    """Means of the five nearest values of one feature by the other, where that is there."""
+    return f"select id, avg(v) as v from (select m.id, r.{wanted} as v, row_number() over (partition by m.id order by (m.{by} - r.{by}) * (m.{by} - r.{by}) * 2, r.id) as k from t m, t r where m.{wanted} is null and r.{wanted} is not null and (m.{by} - r.{by}) is not null) where k <= 5 group by id"
+
+
+@query("impute_regress", f"with {T}, nx as ({nearest_sql('x', 'y')}), ny as ({nearest_sql('y', 'x')}) select t.id, round(coalesce(x, nx.v), 3) as x, round(coalesce(y, ny.v), 3) as y, z from t left join nx on t.id = nx.id left join ny on t.id = ny.id where z is not null")
 def impute_regress(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nearest neighbours for two features, the third dropped where it is missing, all in one call."""
     found = modelling.impute(features(spark, sf_dir), {"x": "regress", "y": "regress", "z": "none"})
-    return found.select("id", *FEATURES)
+    return found.select("id", F.round("x", 3).alias("x"), F.round("y", 3).alias("y"), "z")
 
 
 @query("precision_recall", f"with {PREDICTIONS}, x as (select vnv_dnn as p, (pnp_dnn > 0.5)::int as y from p), g as (select p, sum(y) as pos, count(*) as n from x group by p), c as (select p, sum(pos) over (order by p desc) as tp, sum(n) over (order by p desc) as n from g) select p, round(tp / n, 6) as precision, round(tp / (select sum(y) from x), 6) as recall from c")

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starfold.operators import agreement, curves, periods
+from starfold.plans import features
 from starfold.plans.catalogue import query
 from starfold.plans.roles import SERIES, series, table
 
@@ -64,12 +65,7 @@ def prepare_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def prepared_rows(spark: SparkSession, sf_dir: str, by_band: bool) -> DataFrame:
-    x = series(spark, sf_dir)
-    start = x.groupBy("id").agg(F.min("t").alias("t0"))
-    found = periods.prepared(x, by_band).join(start, "id")
-    # each point of a curve has a time of its own
-    events = x.select("id", F.round("t", 6).alias("at"), "event_id")
-    found = found.withColumn("at", F.round(F.col("t") + F.col("t0"), 6)).join(events, ["id", "at"])
+    found = periods.prepared(series(spark, sf_dir), by_band, "event_id")
     return found.select("event_id", "id", F.round("t", 6).alias("t"), F.round("m", 5 if by_band else 6).alias("m"))
 
 
@@ -97,9 +93,17 @@ def fpw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grams(spark, sf_dir, "FPW").select("id", "k", F.round("FPW", 6).alias("v"))
 
 
-@query("bls")
+BLS = f"""{X}, w as (select id, sum(1 / (e * e)) as sw, sum(m / (e * e)) / sum(1 / (e * e)) as wm from a group by id),
+b as (select id, k, least(floor((f * t - floor(f * t)) * 50), 49)::int as i, sum((1 / (e * e)) / sw) as r, sum((1 / (e * e)) / sw * (m - wm)) as s from a join w using (id), q group by all),
+d as (select id, k, i, coalesce(r, 0) as r, coalesce(s, 0) as s from (select distinct id, k from b) cross join (select range::int as i from range(50)) left join b using (id, k, i)),
+u as (select id, k, i + 50 * o as i, r, s from d cross join (values (0), (1)) v(o)), c as (select id, k, i, sum(r) over w - r as r, sum(s) over w - s as s from u window w as (partition by id, k order by i)),
+p as (select x.id, x.k, y.r - x.r as a, y.s - x.s as b from c x join c y on x.id = y.id and x.k = y.k and x.i < 50 and y.i - x.i between 1 and 25)
+select id, k, round(sqrt(max(case when a * (1 - a) > 1e-12 then b * b / (a * (1 - a)) else 0 end)), 6) as v from p group by id, k"""
+
+
+@query("bls", f"with {BLS}")
 def bls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return grams(spark, sf_dir, "BLS")
+    return grams(spark, sf_dir, "BLS").select("id", "k", F.round("BLS", 6).alias("v"))
 
 
 @query("mhf")
@@ -289,3 +293,9 @@ def period_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 def ls_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lomb-Scargle peaks on the whole grid."""
     return periods.search(series(spark, sf_dir), data_grid(spark, sf_dir), ["LS"], 10)
+
+
+@query("feature_table")
+def feature_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Thinning, statistics, ranked periods of three algorithms on the whole grid, agreement, Fourier features and images: a row for each curve."""
+    return features.feature_table(series(spark, sf_dir), least=30)
