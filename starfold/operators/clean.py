@@ -6,11 +6,14 @@ from collections.abc import Iterable
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from starfold.functions.photometry import flag_sum, magnitude, magnitude_error
 
+
 def unflagged(points: DataFrame, flag: str = "catflags") -> DataFrame:
     return points.filter(F.col(flag) == 0)
 
@@ -44,15 +47,26 @@ def distinct_exposures(points: DataFrame, exposure: str, *required: str) -> Data
 
 def thinned(points: Column, cadence_days: float) -> Column:
     """Greedy thinning of a sorted array of structs with field ``t``: a point stays if it is ``cadence_days`` or more after the last
-    point that stayed.  Points without a time go.  For long curves use :func:`thin`."""
-    none = F.filter(points, lambda _: F.lit(False))
-    start = F.struct(F.lit(None).cast("double").alias("last"), none.alias("kept"))
-
-    def step(state: Column, p: Column) -> Column:
-        keep = p["t"].isNotNull() & (state["last"].isNull() | (p["t"] - state["last"] >= cadence_days))
-        return F.when(keep, F.struct(p["t"].cast("double").alias("last"), F.concat(state["kept"], F.array(p)).alias("kept"))).otherwise(state)
-
-    return F.aggregate(points, start, step, lambda s: s["kept"])
+    point that stayed.  Points without a finite time go.
+
+    Only the times go to Python, in Arrow batches; the places of those that stay come back, and each point is copied once.
+    """
+
+    @F.arrow_udf("array<int>")
+    def places(times: pa.Array) -> pa.Array:
+        flat = times.flatten().to_numpy(zero_copy_only=False)
+        sizes = pa.compute.fill_null(pa.compute.list_value_length(times), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        first = np.cumsum(sizes) - sizes
+        out = []
+        for lo, n in zip(first.tolist(), sizes.tolist()):
+            t = flat[lo : lo + n]
+            timed = np.flatnonzero(np.isfinite(t))
+            out.append(timed[thinned_rows(t[timed], cadence_days)].tolist())
+        return pa.array(out, pa.list_(pa.int32()))
+
+    times = F.transform(points, lambda p: F.coalesce(p["t"].cast("double"), F.lit(float("nan"))))
+    kept = F.transform(places(times), lambda i: F.get(points, i))
+    return F.when(points.isNotNull(), kept)
 
 
 def thinned_rows(t: np.ndarray, cadence_days: float, last: float | None = None) -> list[int]:
