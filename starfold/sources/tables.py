@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -34,11 +35,40 @@ def save_table(df: DataFrame, path: str, metadata: dict | None = None, by: list[
     else:
         raise ValueError(f"neither .parquet nor .csv: {path}")
     if metadata is not None:
-        df.sparkSession.createDataFrame([(json.dumps(metadata, sort_keys=True),)], "value string").coalesce(1).write.mode("overwrite").text(path.rstrip("/") + METADATA)
+        write_metadata(df.sparkSession, path, metadata)
+
+
+def write_metadata(spark: SparkSession, path: str, metadata: dict) -> None:
+    spark.createDataFrame([(json.dumps(metadata, sort_keys=True),)], "value string").coalesce(1).write.mode("overwrite").text(path.rstrip("/") + METADATA)
+
+
+def merged(old: dict, new: dict) -> dict:
+    """``old`` with the entries of ``new``: of objects under the same key the entries are merged, anything else is replaced."""
+    out = dict(old)
+    for key, value in new.items():
+        known = out.get(key)
+        out[key] = merged(known, value) if isinstance(known, dict) and isinstance(value, dict) else value
+    return out
+
+
+def update_metadata(spark: SparkSession, path: str, metadata: dict) -> dict:
+    """Merges entries into the metadata beside a table, as runs over several fields add theirs to one record; gives the whole record.
+
+    It is read, merged and written on the driver, so only one run may update a table's metadata at a time.
+    """
+    whole = merged(read_metadata(spark, path), metadata)
+    write_metadata(spark, path, whole)
+    return whole
 
 
 def read_metadata(spark: SparkSession, path: str) -> dict:
-    rows = spark.read.text(path.rstrip("/") + METADATA).head(1)
+    """The metadata beside a table; none where there are none."""
+    try:
+        rows = spark.read.text(path.rstrip("/") + METADATA).head(1)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return {}
     return json.loads(rows[0][0]) if rows else {}
 
 
