@@ -9,7 +9,8 @@ from starfold.operators import curves, modelling, network, quantiles, scoring, s
 from starfold.operators.runner import in_chunks
 from starfold.plans.catalogue import query
 from starfold.plans.model_queries import FEATURES, TEXT_FEATURES, T, features, run_folder, text_features
-from starfold.plans.roles import SERIES, series
+from starfold.plans.roles import FORCED, SERIES, forced, series, table
+from starfold.sources import survey
 
 CURVE_FEATURES = ["std", "cads_avg", "percent_beyond_1_std", "percent_close_to_median"]
 
@@ -65,3 +66,13 @@ def chunked_features(spark: SparkSession, sf_dir: str) -> DataFrame:
         return found.filter("n >= 60")
 
     return in_chunks(points.select("id").distinct(), work, f"{run_folder(spark)}/run", 8, at_once=4)
+
+
+@query("bucketed_lookup", f"with {FORCED} select id, visit, line, flux from f where id in (select s_suppkey from supplier where s_suppkey % 9 = 0)")
+def bucketed_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Forced photometry laid out by object, and an id list looked up in it."""
+    folder = run_folder(spark)
+    name = "forced_" + folder.rsplit("-", 1)[1]
+    survey.save_bucketed(forced(spark, sf_dir).select("id", "visit", "line", "flux"), name, f"{folder}/forced", "id", 8)
+    wanted = table(spark, sf_dir, "supplier").filter("s_suppkey % 9 = 0").select(F.col("s_suppkey").alias("id"))
+    return survey.lookup(spark, name, wanted, "id")

@@ -44,3 +44,18 @@ class Survey:
         points = points.join(F.broadcast(visits) if small else visits, "visit")
         points = points.select(F.col("objectId").alias("id"), "band", F.col("expMidptMJD").alias("t"), F.col("psfFlux").alias("flux"), F.col("psfFluxErr").alias("flux_err"), flag_sum(*[F.col(f) for f in PIXEL_FLAGS]).alias("catflags"))
         return clean.positive_flux(clean.in_bands(points, bands))
+
+
+def save_bucketed(rows: DataFrame, table: str, path: str, key: str, buckets: int) -> None:
+    """Writes a table hashed into ``buckets`` by ``key`` and sorted by it within each, so that later joins on the key neither shuffle nor sort it."""
+    laid = rows.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key)
+    laid.option("path", path).mode("overwrite").saveAsTable(table)
+
+
+def lookup(spark: SparkSession, table: str, ids: DataFrame, key: str) -> DataFrame:
+    """Rows of a bucketed table whose key is in ``ids`` (``key``): only the ids are shuffled, to the table's buckets.
+
+    Repeated and null ids find nothing twice.  A list of one bucket's ids reads that bucket alone.
+    """
+    wanted = ids.select(key).na.drop()
+    return spark.table(table).join(wanted.hint("merge"), key, "left_semi")
