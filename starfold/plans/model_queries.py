@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -358,10 +360,12 @@ def importances(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def run_folder(spark: SparkSession) -> str:
-    """A new folder for one run of a stream, in the shared folder that the session names."""
+    """A new folder for one run of a stream, in the shared folder that the session names; where it names none, one of this machine if Spark runs in
+    this process alone."""
     where = spark.conf.get("spark.checkpoint.dir", None)
-    if not where:
+    if not where and not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    where = where or tempfile.mkdtemp(prefix="starfold-run-")
     return f"{where}/stream-{uuid.uuid4().hex}"
 
 
