@@ -30,7 +30,7 @@ class Survey:
         return cls(*(spark.read.schema(s).parquet(f"{root}/{n}.parquet") for n, s in (("object", OBJECT), ("visit", VISIT), ("forced_source", FORCED))))
 
     def cone(self, ra: float, dec: float, radius: float, limit: int | None = 10000) -> DataFrame:
-        """Isolated objects within ``radius`` degrees."""
+        """Isolated objects within ``radius`` degrees, ``limit`` at most as a cone search of the survey gives by default; None for all."""
         isolated = self.object.filter("detect_isIsolated").select(F.col("objectId").alias("id"), F.col("coord_ra").alias("ra"), F.col("coord_dec").alias("dec"))
         return spatial.cone(isolated, ra, dec, radius, limit)
 
