@@ -28,14 +28,14 @@ TIME_BINS, FINER = 50, 50
 WALK = {"rate": -4.10, "rate_slope": 0.14, "scale": 2.92, "scale_slope": -0.07}
 
 
-def waiting_features(points: DataFrame, by: str = "id", tie: list[str] | None = None) -> DataFrame:
+def waiting_features(points: DataFrame, by: str = "id", tie: list[str] | None = None, faint: bool = False) -> DataFrame:
     """(``by``, cad_probs_{minutes}, {avg,med,std}_double_to_single_step) of (``by``, t, m, e).
 
     ``cad_probs_x`` is the percentile rank of x minutes among the times between neighbouring points, as a share: values equal to x count by
-    their mean rank.  A double step is the time to the point after the next one, over the time to the next; equal times give none.
+    their mean rank.  With ``faint`` points of no flux count too (see :func:`periods.usable`).  A double step is the time to the point after the next one, over the time to the next; equal times give none.
     """
     order = Window.partitionBy(by).orderBy("t", *(tie or ["m", "e"]))
-    rows = periods.usable(points.withColumnRenamed(by, "id"), *[c for c in tie or [] if c not in ("t", "m", "e")])
+    rows = periods.usable(points.withColumnRenamed(by, "id"), *[c for c in tie or [] if c not in ("t", "m", "e")], faint=faint)
     if by != "id":
         rows = rows.withColumnRenamed("id", by)
     rows = rows.withColumns({"dt": F.lead("t").over(order) - F.col("t"), "dt2": F.lead("t", 2).over(order) - F.col("t")})
@@ -163,6 +163,17 @@ def fast_period(t: np.ndarray, m: np.ndarray, e: np.ndarray, samples: int = 5, f
     return float(1 / near[int(np.nanargmax(power))]) if np.isfinite(power).any() else math.nan
 
 
+def pair_time_features(points: DataFrame, tasks: int | None = None) -> DataFrame:
+    """(id, histogram of pairwise times) of (id, t): every point with a finite time counts, whatever its magnitude."""
+
+    def work(frame: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame([[frame["id"].iloc[0], *pair_features(frame["t"].to_numpy(dtype=float))]], columns=["id", *PAIR_FEATURES])
+
+    timed = points.select("id", F.col("t").cast("double").alias("t")).filter(F.abs("t") < float("inf"))
+    found = periods.by_curve(timed, tasks).applyInPandas(work, f"id {periods.kind_of(points)}, " + ", ".join(f"{c} double" for c in PAIR_FEATURES))
+    return found.withColumns({c: null_nan(F.col(c)) for c in PAIR_FEATURES})
+
+
 CURVE_FEATURES = [*PAIR_FEATURES, "qso_log_chi2_qsonu", "qso_log_chi2nuNULL_chi2nu", "period_fast"]
 
 

@@ -9,7 +9,7 @@ from starfold.operators import curves, modelling, network, quantiles, scoring, s
 from starfold.operators.runner import in_chunks
 from starfold.plans.catalogue import query
 from starfold.plans.model_queries import FEATURES, TEXT_FEATURES, T, features, run_folder, text_features
-from starfold.plans.roles import FORCED, SERIES, forced, series, table
+from starfold.plans.roles import FORCED, SERIES, forced, measured, series, table
 from starfold.sources import survey
 
 CURVE_FEATURES = ["std", "cads_avg", "percent_beyond_1_std", "percent_close_to_median"]
@@ -18,7 +18,7 @@ CURVE_FEATURES = ["std", "cads_avg", "percent_beyond_1_std", "percent_close_to_m
 @query("network_scores")
 def network_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A network of both branches on all curves: does a curve's amplitude lie above the median one?  A score for every curve."""
-    points = series(spark, sf_dir)
+    points = measured(series(spark, sf_dir))
     x = stats.simple_features(points)
     middle = quantiles.of_columns(x, ["amplitude"], [0.5])["amplitude"][0] or 0.0
     table = x.select("id", *CURVE_FEATURES, (F.col("amplitude") > middle).cast("int").alias("y")).join(curves.dmdt_images(points), "id")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from starfold.functions.photometry import band_number, flag_sum, magnitude, magnitude_error, phase
 from starfold.operators import clean, curves, stats
 from starfold.plans.catalogue import query
-from starfold.plans.roles import FORCED, SERIES, forced, series, table, visits
+from starfold.plans.roles import FORCED, SERIES, forced, measured, series, table, visits
 
 BANDS = {"A": 0, "N": 1}
 
@@ -131,7 +131,7 @@ def stats_sequential(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("stats_normality")
 def stats_normality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stats.normality(series(spark, sf_dir))
+    return stats.normality(measured(series(spark, sf_dir)))
 
 
 SIMPLE = f"""{SERIES}, a as (select *, lead(t) over o - t as dt, lead(m) over o - m as dm, median(m) over i as med, avg(m) over i as mu, stddev_pop(m) over i as sd, max(m) over i - min(m) over i as span, power(10, -0.4 * m) as f from s window i as (partition by id), o as (partition by id order by t, m, e)),
