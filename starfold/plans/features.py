@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -20,7 +21,8 @@ def feature_table(points: DataFrame, algorithms: Sequence[str] = ALGORITHMS, cad
     kept = clean.with_minimum(clean.thin(points.select("id", "t", "m", "e"), cadence_days, tie=["m", "e"]), least)
     base = base or curves.baseline(kept).first()["baseline"] or 0.0
     grid = curves.frequency_grid(base, samples_per_peak, max_freq, remove=curves.TERRESTRIAL)
-    found = periods.search(kept, grid, list(algorithms), top)
+    # four parts read the ranked periods: without keeping them, each would search anew
+    found = periods.search(kept, grid, list(algorithms), top).persist(StorageLevel.MEMORY_AND_DISK)
     columns = [(f"{what}_{r}_{a}", F.max(F.when((F.col("algorithm") == a) & (F.col("rank") == r), F.col(what)))) for a in algorithms for r in range(1, top + 1) for what in ("period", "significance")]
     wide = found.groupBy("id").agg(*[x.alias(c) for c, x in columns])
     best = found.filter((F.col("algorithm") == algorithms[0]) & (F.col("rank") == 1)).select("id", "period")
