@@ -13,6 +13,8 @@ from starfold.operators.modelling import hash_order, up_to_row
 
 #: Ids that name a source, in order of preference; 0 is "none".
 SURVEYS = ("Gaia_EDR3___id", "AllWISE___id", "PS1_DR1___id")
+#: Shares that the groups of one source are dealt into.
+SHARES = 64
 
 
 def combine_models(left: DataFrame, right: DataFrame, key: str = "_id") -> DataFrame:
@@ -25,10 +27,15 @@ def merge_models(left: DataFrame, right: DataFrame, keys: Sequence[str] = ("obj_
     only sources that both models have."""
     plain = lambda t: t.withColumnsRenamed({c: c.rsplit("_", 1)[0] for c in t.columns if c.endswith(("_dnn", "_xgb"))})
     a, b = plain(left), plain(right)
-    both = a.select(keys[0]).intersect(b.select(keys[0]))
-    rows = a.unionByName(b, allowMissingColumns=True).join(both, keys[0], "left_semi")
+    sources = [t.select(keys[0], F.lit(i).alias("side")).distinct() for i, t in enumerate((a, b))]
+    both = sources[0].union(sources[1]).groupBy(keys[0]).agg(F.count(F.lit(1)).alias("sides")).filter("sides = 2").select(keys[0])
+    rows = a.unionByName(b, allowMissingColumns=True)
     agg = {"mean": F.avg, "max": F.max}[method]
-    return rows.groupBy(*keys).agg(*[agg(c).alias(c) for c in rows.columns if c not in keys])
+    merged = rows.groupBy(*keys).agg(*[agg(c).alias(c) for c in rows.columns if c not in keys])
+    # a source may have very many groups: they are dealt into shares, and what both models have is repeated for each
+    dealt = merged.withColumn("__share", F.pmod(F.xxhash64(*keys), F.lit(SHARES)).cast("int"))
+    every = both.withColumn("__share", F.explode(F.sequence(F.lit(0), F.lit(SHARES - 1))))
+    return dealt.join(every, [keys[0], "__share"], "left_semi").select(merged.columns)
 
 
 def classes_above(scores: DataFrame, columns: Sequence[str], threshold: float) -> DataFrame:
