@@ -101,17 +101,16 @@ def walk_statistics(t: np.ndarray, m: np.ndarray, e: np.ndarray, variance: float
     the points one by one; a second one backwards gives what the others say about each point, and so the trace.
     """
     n = len(t)
-    decay = np.exp(-np.diff(t) / scale)
-    noise = e**2
-    ahead, back, spread = np.empty(n), np.empty(n), np.empty(n)
-    white, ones = np.empty(n), np.empty(n)
+    # plain numbers and lists: the loops take one value at a time
+    decay, noise, m, variance = np.exp(-np.diff(t) / scale).tolist(), (e**2).tolist(), m.tolist(), float(variance)
+    ahead, back, white, ones = [0.0] * n, [0.0] * n, [0.0] * n, [0.0] * n
     level, base, p = 0.0, 0.0, variance
     for i in range(n):
         if i:
             a = decay[i - 1]
             level, base, p = a * level, a * base, a * a * p + variance * (1 - a * a)
         ahead[i] = p
-        spread[i] = s = p + noise[i]
+        s = p + noise[i]
         root = math.sqrt(s)
         dy, d1 = m[i] - level, 1.0 - base
         white[i], ones[i] = dy / root, d1 / root
@@ -124,6 +123,7 @@ def walk_statistics(t: np.ndarray, m: np.ndarray, e: np.ndarray, variance: float
             p = a * a * p + variance * (1 - a * a)
         back[i] = p
         p *= noise[i] / (p + noise[i])
+    ahead, back, white, ones, noise = map(np.array, (ahead, back, white, ones, noise))
     mean = (ones @ white) / (ones @ ones)
     rest = white - mean * ones
     others = 1 / (1 / ahead + 1 / back - 1 / variance)
@@ -174,21 +174,23 @@ def pair_time_features(points: DataFrame, tasks: int | None = None) -> DataFrame
     return found.withColumns({c: null_nan(F.col(c)) for c in PAIR_FEATURES})
 
 
-CURVE_FEATURES = [*PAIR_FEATURES, "qso_log_chi2_qsonu", "qso_log_chi2nuNULL_chi2nu", "period_fast"]
+WALK_FEATURES = ["qso_log_chi2_qsonu", "qso_log_chi2nuNULL_chi2nu", "period_fast"]
+CURVE_FEATURES = [*PAIR_FEATURES, *WALK_FEATURES]
 
 
-def curve_features(points: DataFrame, tasks: int | None = None) -> DataFrame:
-    """(id, histogram of pairwise times, damped random walk, fast period) of (id, t, m, e)."""
+def curve_features(points: DataFrame, tasks: int | None = None, pairs: bool = True) -> DataFrame:
+    """(id, histogram of pairwise times, damped random walk, fast period) of (id, t, m, e); the histogram only with ``pairs``."""
+    names = CURVE_FEATURES if pairs else WALK_FEATURES
 
     def work(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values(["t", "m", "e"])
         t, m, e = (frame[c].to_numpy(dtype=float) for c in ("t", "m", "e"))
-        row = [*pair_features(t), *walk_features(t, m, e), fast_period(t, m, e)]
-        return pd.DataFrame([[frame["id"].iloc[0], *row]], columns=["id", *CURVE_FEATURES])
+        row = [*(pair_features(t) if pairs else []), *walk_features(t, m, e), fast_period(t, m, e)]
+        return pd.DataFrame([[frame["id"].iloc[0], *row]], columns=["id", *names])
 
     kind = dict(points.dtypes)["id"]
-    found = periods.by_curve(periods.usable(points), tasks).applyInPandas(work, f"id {kind}, " + ", ".join(f"{c} double" for c in CURVE_FEATURES))
-    return found.withColumns({c: null_nan(F.col(c)) for c in CURVE_FEATURES})
+    found = periods.by_curve(periods.usable(points), tasks).applyInPandas(work, f"id {kind}, " + ", ".join(f"{c} double" for c in names))
+    return found.withColumns({c: null_nan(F.col(c)) for c in names})
 
 
 def sampling_features(points: DataFrame, tasks: int | None = None) -> DataFrame:

@@ -6,7 +6,9 @@ import math
 import random
 import re
 
-from starfold.operators import agreement, predictions
+import numpy as np
+
+from starfold.operators import agreement, cadence, periods, predictions
 
 NAMES = ["LS", "CE", "AOV"]
 
@@ -68,3 +70,17 @@ def test_merged_models_of_few_sources_are_dealt(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     want = {(1, s): 0.1 * s if s < 25 else 0.2 * s if s >= 50 else 0.15 * s for s in range(75)}
     assert set(ours) == set(want) and all(math.isclose(ours[k], v, abs_tol=1e-12) for k, v in want.items())
+
+
+def test_searched_fourier_is_one_pass(spark):
+    rng = random.Random(7)
+    rows = [(i, rng.uniform(0, 30), rng.gauss(20, 1), 0.1) for i in range(3) for _ in range(40)] + [(9, 1.0, 20.0, 0.1)]
+    x = spark.createDataFrame(rows, "id long, t double, m double, e double")
+    freqs = np.linspace(0.05, 5, 400)
+    one = periods.searched_fourier(x, freqs)
+    assert plan(one).count("FlatMapGroupsInPandas") == 1 and "Join" not in plan(one)
+    two = periods.fourier(x, periods.search(x, freqs, ["LS"], 1).select("id", "period"))
+    assert sorted(map(tuple, one.collect()), key=str) == sorted(map(tuple, two.collect()), key=str)
+    without = cadence.curve_features(x, pairs=False)
+    assert without.columns == ["id", *cadence.WALK_FEATURES]
+    assert sorted(map(str, without.collect())) == sorted(map(str, cadence.curve_features(x).select(without.columns).collect()))
