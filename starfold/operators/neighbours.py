@@ -227,8 +227,8 @@ def impute_nearest(table: DataFrame, features: Sequence[str], reference: DataFra
     own = list(features)
     plain = table.select("id", *[null_nan(F.col(c).cast("double")).alias(c) for c in own])
     lacks = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in own])
-    # equal rows get equal values, so the key of a row is all of it
-    keyed = plain.withColumn("__row", F.to_json(F.struct("id", *own)))
+    # rows with the same features get the same values and are looked up once, whatever their ids; the values of rows that lack nothing are there
+    keyed = plain.withColumn("__row", F.to_json(F.struct(*own)))
     rows = keyed.filter(lacks).dropDuplicates(["__row"]).select("__row", *own)
     best = Index(reference, own, cell).best(rows, k)
     values = best.groupBy("__row").agg(*[F.avg(F.when(F.col("j") == j, F.col("value"))).alias(f"__{j}") for j in range(len(own))])

@@ -78,3 +78,32 @@ def test_odd_tables(spark):
     same = spark.createDataFrame([(i, float(i), 2.0) for i in range(10, 20)] + [(1, None, 2.0)], schema)
     # all donors are equally far: the least ids count
     assert {r.id: r.x for r in neighbours.impute_nearest(t, ["x", "y"], same, 3).collect()} == {1: 11.0, 2: None, 3: 1.0}
+
+
+def looked_up(monkeypatch):
+    """The rows that an index is asked for, as they come."""
+    seen, plain = [], neighbours.Index.best
+
+    def best(self, rows, k):
+        seen.append(rows.collect())
+        return plain(self, rows, k)
+
+    monkeypatch.setattr(neighbours.Index, "best", best)
+    return seen
+
+
+def test_rows_with_the_same_features_are_looked_up_once(spark, monkeypatch):
+    seen = looked_up(monkeypatch)
+    schema = "id long, x double, y double"
+    rows = [(i, None, float(i % 3)) for i in range(90)] + [(i, float(i), float(i % 3)) for i in range(90, 120)]
+    found = {r.id: r.x for r in neighbours.impute_nearest(spark.createDataFrame(rows, schema), ["x", "y"], spark.createDataFrame(rows, schema), 2).collect()}
+    assert len(seen[0]) == 3
+    assert found == {i: 91.5 + i % 3 if i < 90 else float(i) for i in range(120)}
+
+
+def test_only_rows_that_lack_the_feature_are_looked_up(spark, monkeypatch):
+    from starfold.plans import model_queries
+
+    seen = looked_up(monkeypatch)
+    assert model_queries.impute_knn(spark, "/root/testdata/sf0.001").count()
+    assert seen[0] and all(r["x"] is None for r in seen[0])
