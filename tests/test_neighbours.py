@@ -102,8 +102,8 @@ def test_rows_with_the_same_features_are_looked_up_once(spark, monkeypatch):
 
 
 def test_only_rows_that_lack_the_feature_are_looked_up(spark, monkeypatch):
-    from starfold.plans import model_queries
+    from starfold.plans import catalogue
 
     seen = looked_up(monkeypatch)
-    assert model_queries.impute_knn(spark, "/root/testdata/sf0.001").count()
+    assert catalogue.QUERIES["impute_knn"](spark, "/root/testdata/sf0.001").count()
     assert seen[0] and all(r["x"] is None for r in seen[0])
