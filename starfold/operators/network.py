@@ -28,6 +28,8 @@ from starfold.functions.photometry import null_nan
 Weights = dict[str, np.ndarray]
 #: Rows that a gradient is computed of at once.
 ROWS = 256
+#: Images that are convolved at once.
+IMAGES = 16
 #: Sums that reach the driver in one step, at most.
 SUMS = 16
 
@@ -43,22 +45,43 @@ def shared_folder(df: DataFrame) -> None:
 
 
 def correlate(x: np.ndarray, kernel: np.ndarray) -> np.ndarray:
-    """Each channel with its own kernel, inside the image: (n, h, w, c) and (a, b, c)."""
-    a, b, _ = kernel.shape
-    h, w = x.shape[1] - a + 1, x.shape[2] - b + 1
-    return sum(x[:, i : i + h, j : j + w] * kernel[i, j] for i in range(a) for j in range(b))
+    """Each channel with its own kernel, inside the image: (n, h, w, c) and (a, b, c).
 
-
-def correlate_back(x: np.ndarray, kernel: np.ndarray, grad: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Gradients of :func:`correlate` by its input and by the kernel."""
-    a, b, _ = kernel.shape
+    A line of the image and its channels are one dimension here, so that numpy's inner loops are long; a few images at a time stay in the cache.
+    """
+    (n, high, wide, c), (a, b, _) = x.shape, kernel.shape
+    h, w = high - a + 1, wide - b + 1
+    lines, rows = np.tile(kernel, w), np.ascontiguousarray(x).reshape(n, high, wide * c)
+    out = np.empty((n, h, w * c))
+    for k in range(0, n, IMAGES):
+        into, held = out[k : k + IMAGES], rows[k : k + IMAGES]
+        part = np.empty_like(into)
+        for i in range(a):
+            for j in range(b):
+                np.multiply(held[:, i : i + h, j * c : (j + w) * c], lines[i, j], out=part if i or j else into)
+                if i or j:
+                    into += part
+    return out.reshape(n, h, w, c)
+
+
+def correlate_back(x: np.ndarray, kernel: np.ndarray, grad: np.ndarray, further: bool = True) -> tuple[np.ndarray | None, np.ndarray]:
+    """Gradients of :func:`correlate` by its input (if the way back goes ``further``) and by the kernel."""
+    (n, high, wide, c), (a, b, _) = x.shape, kernel.shape
     h, w = grad.shape[1:3]
-    to_x, to_kernel = np.zeros_like(x), np.empty_like(kernel)
-    for i in range(a):
-        for j in range(b):
-            to_x[:, i : i + h, j : j + w] += grad * kernel[i, j]
-            to_kernel[i, j] = (x[:, i : i + h, j : j + w] * grad).sum((0, 1, 2))
-    return to_x, to_kernel
+    lines, rows, grad = np.tile(kernel, w), np.ascontiguousarray(x).reshape(n, high, wide * c), np.ascontiguousarray(grad).reshape(n, h, w * c)
+    to_x, to_kernel = np.zeros_like(rows) if further else None, np.zeros((a, b, w * c))
+    for k in range(0, n, IMAGES):
+        come, held = grad[k : k + IMAGES], rows[k : k + IMAGES]
+        part = np.empty_like(come)
+        for i in range(a):
+            for j in range(b):
+                at = np.s_[:, i : i + h, j * c : (j + w) * c]
+                if further:
+                    np.multiply(come, lines[i, j], out=part)
+                    to_x[k : k + IMAGES][at] += part
+                np.multiply(held[at], come, out=part)
+                to_kernel[i, j] += part.sum((0, 1))
+    return to_x.reshape(x.shape) if further else None, to_kernel.reshape(a, b, w, c).sum(2)
 
 
 @dataclass
@@ -192,7 +215,7 @@ class Network:
                 delta = delta * (found > 0)
                 out[f"conv{k}_point"] = deep.reshape(-1, deep.shape[-1]).T @ delta.reshape(-1, delta.shape[-1])
                 out[f"conv{k}_bias"] = delta.sum((0, 1, 2))
-                delta, out[f"conv{k}_depth"] = correlate_back(v, w[f"conv{k}_depth"], delta @ w[f"conv{k}_point"].T)
+                delta, out[f"conv{k}_depth"] = correlate_back(v, w[f"conv{k}_depth"], delta @ w[f"conv{k}_point"].T, k > 0)
         return loss, out
 
     def predict(self, x: np.ndarray, image: np.ndarray) -> np.ndarray:

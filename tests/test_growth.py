@@ -8,7 +8,7 @@ import re
 
 import numpy as np
 
-from starfold.operators import agreement, cadence, periods, predictions
+from starfold.operators import agreement, cadence, curves, periods, predictions
 
 NAMES = ["LS", "CE", "AOV"]
 
@@ -84,3 +84,16 @@ def test_searched_fourier_is_one_pass(spark):
     without = cadence.curve_features(x, pairs=False)
     assert without.columns == ["id", *cadence.WALK_FEATURES]
     assert sorted(map(str, without.collect())) == sorted(map(str, cadence.curve_features(x).select(without.columns).collect()))
+
+
+def test_images_by_blocks_of_curves(spark):
+    rng = random.Random(9)
+    rows = [(i, rng.uniform(0, 300), rng.gauss(20, 1)) for i in range(30) for _ in range(12)] + [(98, 1.0, None), (99, 1.0, 20.0)]
+    out = curves.dmdt_images(spark.createDataFrame(rows, "id long, t double, m double"))
+    assert "FlatMapGroupsInPandas" not in plan(out) and "Join" not in plan(out)
+    ours = {r["id"]: np.array(r["dmdt"]) for r in out.collect()}
+    assert set(ours) == {r[0] for r in rows} and not ours[98].any() and not ours[99].any()
+    for i in range(30):
+        own = np.array(sorted(r[1:] for r in rows if r[0] == i))
+        n = curves.dmdt_histogram(own[:, 0], own[:, 1])
+        assert np.array_equal(ours[i], (n / np.sqrt((n * n).sum())).astype(np.float32))
