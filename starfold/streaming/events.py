@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -21,10 +21,10 @@ def windowed_counts(points: DataFrame, late: str = "7 days", width: str = "1 day
     return points.withWatermark("ts", late).groupBy(F.window("ts", width), "band").agg(F.count(F.lit(1)).alias("n"), F.avg("m").alias("mean_m"))
 
 
-def thinned_stream(points: DataFrame, cadence_days: float, idle_days: float | None = None, late_days: float = 0.0) -> DataFrame:
+def thinned_stream(points: DataFrame, cadence_days: float, idle_days: float | None = None, late_days: float = 0.0, tie: Sequence[str] = ()) -> DataFrame:
     """Greedy thinning of (id, t, m), t in days since 1970: the state of a curve is the time of the last point that stayed.
 
-    Points of one micro-batch are put in time order.  A point that comes in a later one but is not after the last point that stayed is
+    Points of one micro-batch are put in time order, those of one time in the order of the columns ``tie``, then of m.  A point that comes in a later one but is not after the last point that stayed is
     left out, as are points without a time: nothing that was given out is taken back.
 
     With ``idle_days``, of the cadence or more, the state of a curve ends when the stream's time, ``late_days`` behind the latest point, has gone
@@ -45,18 +45,18 @@ def thinned_stream(points: DataFrame, cadence_days: float, idle_days: float | No
         # one frame: batches of a key may come in any order
         held = list(frames)
         if held:
-            frame = pd.concat(held)[["id", "t", "m"]]
-            frame = frame.sort_values(["t", "m"], kind="stable")
+            frame = pd.concat(held)[["id", "t", "m", *tie]]
+            frame = frame.sort_values(["t", *tie, "m"], kind="stable")
             t = frame["t"].to_numpy(dtype=float)
             rows = thinned_rows(t, cadence_days, last)
             last = float(t[rows[-1]]) if rows else last
-            yield frame.iloc[rows]
+            yield frame[["id", "t", "m"]].iloc[rows]
         if last is not None:
             state.update((last,))
             if expires:
                 state.setTimeoutTimestamp(max(int((last + idle_days) * milli), state.getCurrentWatermarkMs() + 1))
 
-    rows = points.select("id", "t", "m").filter(F.abs("t") < float("inf"))
+    rows = points.select("id", "t", "m", *tie).filter(F.abs("t") < float("inf"))
     kind = dict(points.dtypes)["id"]
     timeout = GroupStateTimeout.NoTimeout
     if expires:
