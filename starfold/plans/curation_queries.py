@@ -58,7 +58,7 @@ select source, rid, claims from (select *, count(*) over (partition by rid) as c
 def ambiguous_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = positions(spark, sf_dir, "supplier", "s_suppkey").select("id", "ra", "dec")
     c = positions(spark, sf_dir, "customer", "c_custkey").select(F.col("id").alias("rid"), "ra", "dec")
-    return curation.resolve_matches(spatial.within(t, c, CLAIM, deal="right").withColumnRenamed("id", "source")).select("source", "rid", "claims")
+    return spatial.claimed(t, c, CLAIM).withColumnRenamed("id", "source")
 
 
 @query("features_labels_join", "select d.doc_id as id, n_chars, quality, toxic from documents d join labels l using (doc_id)")
