@@ -101,6 +101,18 @@ def thin(points: DataFrame, cadence_days: float, by: list[str] | None = None, ti
     return points.filter(F.abs("t") < float("inf")).groupBy(*by).applyInPandas(keep, points.schema)
 
 
+def thin_many(points: DataFrame, cadence_days: float, columns: list[str], least: int = 1) -> DataFrame:
+    """:func:`thin` of (id, t, *columns) with ``columns`` as ties, of curves of which ``least`` points or more stay.
+
+    Curves go to Python in blocks and as times alone, not a frame each: for tables of many short curves.
+    """
+    last = [F.coalesce(F.col(c).cast("double"), F.lit(float("nan"))).alias(f"__{i}") for i, c in enumerate(columns)]  # missing values come last
+    rows = F.sort_array(F.collect_list(F.struct("t", *last, *columns)))
+    whole = points.filter(F.abs("t") < float("inf")).groupBy("id").agg(rows.alias("rows"))
+    kept = whole.select("id", thinned(F.col("rows"), cadence_days).alias("rows")).filter(F.size("rows") >= least)
+    return kept.select("id", F.explode("rows").alias("row")).select("id", *[f"row.{c}" for c in ("t", *columns)])
+
+
 def with_minimum(points: DataFrame, n: int, by: list[str] | None = None) -> DataFrame:
     """Points of curves that have ``n`` points or more."""
     return points.withColumn("__n", F.count(F.lit(1)).over(Window.partitionBy(*(by or ["id"])))).filter(F.col("__n") >= n).drop("__n")

@@ -18,7 +18,8 @@ def feature_table(points: DataFrame, algorithms: Sequence[str] = ALGORITHMS, cad
 
     The frequency grid needs the longest baseline of all curves: the one scalar that comes to the driver, unless it is given.
     """
-    kept = clean.with_minimum(clean.thin(points.select("id", "t", "m", "e"), cadence_days, tie=["m", "e"]), least)
+    # the baseline, the search, the fits, the images and the statistics read the thinned points: without keeping them, each would thin anew
+    kept = clean.thin_many(points, cadence_days, ["m", "e"], least).persist(StorageLevel.MEMORY_AND_DISK)
     base = base or curves.baseline(kept).first()["baseline"] or 0.0
     grid = curves.frequency_grid(base, samples_per_peak, max_freq, remove=curves.TERRESTRIAL)
     # four parts read the ranked periods: without keeping them, each would search anew
